@@ -51,7 +51,7 @@ def stage_copy_files(
     )
 
 
-def _read_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _read_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     names = [T.StructField(f.name, T.StringType()) for f in schema.fields]
     # Only files that hold whole batches lie here; each is one task.
     return (
@@ -62,12 +62,12 @@ def _read_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     )
 
 
-def read_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_staged(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """The staged rows as values of the source ``schema``."""
     return read_back(_read_lines(spark, path, schema), schema)
 
 
-def target_row_count(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def target_row_count(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """One row, ``target_rows``: the records in the staged files."""
     return _read_lines(spark, path, schema).agg(F.count(F.lit(1)).alias("target_rows"))
 
