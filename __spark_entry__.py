@@ -124,7 +124,7 @@ def q_partition_for_load(spark, sf_dir):
     rows = source_row_count(source).first()["row_count"]
 
     def report(mode: str) -> DataFrame:
-        loaded = partition_for_load(source.select("_src_file", "_src_row"), PARTITION, rows=rows, mode=mode)
+        loaded = partition_for_load(source, PARTITION, rows=rows, mode=mode)
         return partition_sizes(loaded).agg(
             F.lit(mode).alias("mode"),
             F.sum("rows").alias("row_count"),

@@ -1,0 +1,284 @@
+"""Type map, target projection, line format and reject rules on edge values."""
+
+import csv
+import io
+import warnings
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from conftest import SF01
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidehaul.functions import (
+    copy_statement,
+    create_table_statement,
+    encode_copy_rows,
+    nested_to_json,
+    project_to_target,
+    rejected,
+    target_type,
+)
+from tidehaul.session import scratch_path
+from tidehaul.sinks import read_staged, stage_copy_files, target_row_count
+from tidehaul.sources import scan_source
+
+TARGETS = {
+    "c_byte tinyint": "SMALLINT",
+    "c_short smallint": "SMALLINT",
+    "c_int int": "INTEGER",
+    "c_long bigint": "BIGINT",
+    "c_float float": "REAL",
+    "c_double double": "DOUBLE PRECISION",
+    "c_dec decimal(10,2)": "NUMERIC(10,2)",
+    "c_str string": "TEXT",
+    "c_bool boolean": "BOOLEAN",
+    "c_date date": "DATE",
+    "c_ts timestamp": "TIMESTAMP",
+    "c_ntz timestamp_ntz": "TIMESTAMP",
+    "c_bin binary": "BYTEA",
+    "c_arr array<int>": "JSONB",
+    "c_map map<string,int>": "JSONB",
+    "c_struct struct<a:int,b:string>": "JSONB",
+}
+FALLBACKS = ["interval day to second", "void", "variant", "time(6)"]
+
+
+def schema_of(*columns):
+    return T._parse_datatype_string(", ".join(columns))
+
+
+def round_trip(spark, df, **options):
+    """``df`` as it comes back from staged lines."""
+    path = scratch_path(spark, "test")
+    lines = encode_copy_rows(df, df.columns, carry=[F.lit(0).alias("batch_id")], **options)
+    stage_copy_files(lines, path)
+    return read_staged(spark, path, df.schema)
+
+
+def assert_same(a, b):
+    assert a.exceptAll(b).isEmpty()
+    assert b.exceptAll(a).isEmpty()
+
+
+def lines_of(df, **options):
+    return [r["line"] for r in encode_copy_rows(df, **options).collect()]
+
+
+@pytest.mark.parametrize("column", TARGETS)
+def test_target_types(spark, column):
+    assert target_type(schema_of(column).fields[0].dataType) == TARGETS[column]
+
+
+@pytest.mark.parametrize("kind", FALLBACKS)
+def test_other_types_become_text(spark, kind):
+    value = {
+        "interval day to second": "INTERVAL '1 02:03:04' DAY TO SECOND",
+        "void": "NULL",
+        "variant": "parse_json('{\"a\":[1]}')",
+        "time(6)": "TIME '10:00:01.5'",
+    }[kind]
+    df = spark.sql(f"SELECT {value} AS c")
+    with pytest.warns(UserWarning, match="TEXT"):
+        assert target_type(df.schema["c"].dataType) == "TEXT"
+    text = project_to_target(df)
+    assert text.schema["c"].dataType == T.StringType()
+    assert text.first()["c"] == {"void": None, "variant": '{"a":[1]}', "time(6)": "10:00:01.5"}.get(kind, value)
+
+
+@pytest.fixture(scope="module")
+def all_types(spark):
+    values = (
+        1,
+        2,
+        3,
+        4,
+        1.5,
+        2.5,
+        Decimal("12.30"),
+        "x",
+        True,
+        date(2024, 2, 29),
+        datetime(2024, 1, 2, 3, 4, 5, 678901),
+        datetime(2024, 1, 2, 3, 4, 5),
+        bytearray(b"\x00\xffA"),
+        [1, None, 3],
+        {"n": None},
+        (7, "y"),
+    )
+    return spark.createDataFrame([values, (None,) * len(values)], schema_of(*TARGETS))
+
+
+def test_line_of_every_type(all_types):
+    rows = list(csv.reader(io.StringIO("\n".join(lines_of(all_types)))))
+    assert rows[0] == [
+        "1", "2", "3", "4", "1.5", "2.5", "12.30", "x", "true", "2024-02-29", "2024-01-02 03:04:05.678901",
+        "2024-01-02 03:04:05", "\\x00FF41", "[1,null,3]", '{"n":null}', '{"a":7,"b":"y"}',
+    ]
+    assert rows[1] == [""] * 16
+
+
+def test_all_types_come_back(spark, all_types):
+    source, back = (
+        df.withColumn("c_map", F.to_json("c_map")) for df in (all_types, round_trip(spark, all_types))
+    )
+    assert_same(source, back)
+
+
+def test_instants_are_utc_in_any_session_zone(spark):
+    df = spark.sql("SELECT timestamp_micros(1704164645000001) AS t, timestamp_micros(-1) AS u")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert lines_of(df) == ["2024-01-02 03:04:05.000001,1969-12-31 23:59:59.999999"]
+        assert_same(df, round_trip(spark, df))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+EDGE = [
+    None, "", " ", " x ", 'a"b', '"', '""', "a,b", "a\nb", "a\rb", "a\r\nb", "\n", "\\.", "\\N", "NULL",
+    "ÄÖ €", "日本", "😀", "a\\b", "\\", "#x", "'", "\t", "x" * 1_000_000,
+]
+
+
+@pytest.fixture(scope="module")
+def edge_values(spark):
+    return spark.createDataFrame(list(enumerate(EDGE)), "id bigint, s string")
+
+
+def test_edge_text_comes_back(spark, edge_values):
+    assert_same(edge_values, round_trip(spark, edge_values))
+
+
+def test_quoting_rule(edge_values):
+    """The rule is csv's QUOTE_MINIMAL, but an empty string is quoted."""
+    for row, line in zip(edge_values.collect(), lines_of(edge_values), strict=True):
+        if row["s"] == "":
+            assert line == f'{row["id"]},""'
+            continue
+        buffer = io.StringIO()
+        csv.writer(buffer, quoting=csv.QUOTE_MINIMAL, lineterminator="").writerow([row["id"], row["s"]])
+        expected = buffer.getvalue()
+        if row["s"] is not None and expected != line:
+            # csv also quotes some fields that need none, e.g. with a single quote
+            assert line == f"{row['id']},{row['s']}"
+        else:
+            assert line == expected
+
+
+def test_merge_mode_writes_nothing_for_empty_text(edge_values):
+    lines = lines_of(edge_values.where("s = '' OR s IS NULL"), null_mode="merge")
+    assert lines == ["0,", "1,"]
+    with pytest.raises(ValueError):
+        encode_copy_rows(edge_values, null_mode="other")
+
+
+def test_one_column(spark):
+    df = spark.createDataFrame([(None,), ("",), ("\\.",), ("\\.x",)], "s string")
+    assert lines_of(df) == ["", '""', '"\\."', "\\.x"]
+
+
+def test_edge_numbers_come_back(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES
+           (1, double('NaN'), float('NaN'), 1.0000000001BD), (2, double('Infinity'), float('-Infinity'), -1BD),
+           (3, -0.0D, 1e20F, 0.0000000001BD), (4, 1e-7D, 3.4e38F, 99999999999999999999BD),
+           (5, 9007199254740993D, 1e-45F, NULL), (6, NULL, NULL, NULL), (7, 4.9E-324D, 0.1F, 1BD)
+           AS t(id, d, f, n)"""
+    ).select("id", "d", "f", F.col("n").cast("decimal(38,10)").alias("n"))
+    assert_same(df, round_trip(spark, df))
+    assert "NaN" in lines_of(df)[0] and "Infinity" in lines_of(df)[1]
+
+
+def test_edge_nested(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES
+           (1, named_struct('a', 1, 'b', 'x"y'), map(1, 'p'), array(named_struct('p', 1)),
+            named_struct('d', DATE'2024-01-01', 't', TIMESTAMP_NTZ'2024-01-01 01:02:03.000004',
+                         'x', 1.50BD, 'b', X'00FF'), array(1.5D, double('NaN'), NULL)),
+           (2, named_struct('a', NULL, 'b', NULL), map(), array(), NULL, array()),
+           (3, NULL, NULL, NULL, NULL, NULL)
+           AS t(id, st, m, ast, sd, an)"""
+    ).select(
+        "id",
+        F.col("st").cast("struct<a:int,b:string>").alias("st"),
+        F.col("m").cast("map<int,string>").alias("m"),
+        F.col("ast").cast("array<struct<p:int>>").alias("ast"),
+        F.col("sd").cast("struct<d:date,t:timestamp_ntz,x:decimal(10,2),b:binary>").alias("sd"),
+        F.col("an").cast("array<double>").alias("an"),
+    )
+    text = {r["id"]: r for r in nested_to_json(df).collect()}
+    assert text[1]["st"] == '{"a":1,"b":"x\\"y"}'
+    assert text[1]["m"] == '{"1":"p"}'
+    assert text[1]["an"] == '[1.5,"NaN",null]'
+    assert text[2]["st"] == '{"a":null,"b":null}'
+    assert (text[2]["m"], text[2]["ast"], text[2]["an"]) == ("{}", "[]", "[]")
+    assert text[3]["st"] is None and text[3]["an"] is None
+    back = round_trip(spark, df)
+    hashable = [F.to_json(c).alias(c) if c == "m" else c for c in df.columns]
+    assert_same(df.select(*hashable), back.select(*hashable))
+
+
+def test_json_is_made_once_per_value(spark):
+    """Quoting looks at the JSON text several times; the plan must build it once."""
+    df = scan_source(spark, f"{SF01}/embeddings.parquet")
+    plan = encode_copy_rows(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("StructsToJsonEvaluator") == 1
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_odd_names(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4, 5, 6)], ["a b", "select", 'a"b', "ÄÖ", "p.q", "b`t"])
+    assert lines_of(df) == ["1,2,3,4,5,6"]
+    assert project_to_target(df).columns == df.columns
+    assert create_table_statement(df.schema, 'my.t"x', ["select"]) == (
+        'CREATE TABLE IF NOT EXISTS "my"."t""x" ("a b" BIGINT, "select" BIGINT NOT NULL, "a""b" BIGINT, '
+        '"ÄÖ" BIGINT, "p.q" BIGINT, "b`t" BIGINT)'
+    )
+    assert copy_statement(df.schema, "t").startswith('COPY "t" ("a b", "select", "a""b", "ÄÖ", "p.q", "b`t") FROM')
+    with pytest.raises(ValueError):
+        create_table_statement(df.schema, "t", ["missing"])
+
+
+def test_rejected_rows(spark):
+    df = spark.sql(
+        r"""SELECT * FROM VALUES
+            (1, 'fine', array('fine'), 1), (2, concat('a', char(0)), NULL, 1), (3, NULL, array(concat('b', char(0))), 1),
+            (4, 'x', array(r'\u0000'), 1), (5, 'x', NULL, NULL), (6, 'x', NULL, 99)
+            AS t(id, s, a, n)"""
+    )
+    rule = rejected(df.schema, not_null=["n"], check=F.col("n") > 50)
+    assert {r["id"] for r in df.where(rule).collect()} == {2, 3, 5, 6}
+    assert df.where(rejected(df.schema)).count() == 2
+    numbers = df.select("id", "n")
+    assert numbers.where(rejected(numbers.schema)).count() == 0
+
+
+def test_required_columns_read_as_nullable(spark):
+    """A file's own NOT NULL is lost in Spark's reader, so it has to be asked for."""
+    path = scratch_path(spark, "required")
+    spark.range(3).write.parquet(path)
+    df = scan_source(spark, path)
+    assert df.schema["id"].nullable
+    assert "NOT NULL" in create_table_statement(df.schema, "t", ["id"])
+
+
+@pytest.mark.parametrize("table", ["documents", "pages", "customer", "part", "orders", "events", "conversations"])
+def test_tables_come_back(spark, table):
+    df = scan_source(spark, f"{SF01}/{table}.parquet")
+    assert_same(df, round_trip(spark, df))
+
+
+def test_compressed_files_and_counts(spark):
+    df = scan_source(spark, f"{SF01}/documents.parquet")
+    path = scratch_path(spark, "test")
+    lines = encode_copy_rows(df, df.columns, carry=[(F.col("doc_id") % 3).alias("batch_id")])
+    stage_copy_files(lines, path, compression="gzip")
+    assert target_row_count(spark, path, df.schema).first()["target_rows"] == df.count()
+
+
+def test_no_warning_for_known_types(spark):
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        create_table_statement(schema_of(*TARGETS), "t")

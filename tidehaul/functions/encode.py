@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidehaul.functions.typemap import is_nested, ref, to_target
+from tidehaul.functions.typemap import JSON_OPTIONS, is_nested, ref, to_target
 
 NULL_MODES = ("lossless", "merge")
 NUL = "\u0000"
@@ -116,10 +116,22 @@ def rejected(
     return reduce(lambda a, b: a | b, [F.coalesce(r, F.lit(False)) for r in rules])
 
 
+def _open(data_type: T.DataType, text_keys: bool) -> T.DataType:
+    """``data_type`` with all members nullable and, if asked, text as map keys, the only kind JSON has."""
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(_open(data_type.elementType, text_keys))
+    if isinstance(data_type, T.MapType):
+        key = T.StringType() if text_keys else _open(data_type.keyType, text_keys)
+        return T.MapType(key, _open(data_type.valueType, text_keys))
+    if isinstance(data_type, T.StructType):
+        return T.StructType([T.StructField(f.name, _open(f.dataType, text_keys)) for f in data_type.fields])
+    return data_type
+
+
 def from_target(col: Column, data_type: T.DataType) -> Column:
     """The source value of a field's text."""
     if is_nested(data_type):
-        return F.from_json(col, data_type, {"timeZone": "UTC"})
+        return F.from_json(col, _open(data_type, True), JSON_OPTIONS).cast(_open(data_type, False))
     if isinstance(data_type, T.BinaryType):
         return F.unhex(F.substring(col, 3, 2**31 - 1))
     if isinstance(data_type, T.TimestampType):

@@ -27,8 +27,13 @@ SIMPLE_TARGETS = {
 
 NESTED = (T.ArrayType, T.MapType, T.StructType)
 
-# Null members stay visible and instants print in UTC.
-JSON_OPTIONS = {"ignoreNullFields": "false", "timeZone": "UTC"}
+# Null members stay visible; times keep their microseconds, instants are in UTC.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timeZone": "UTC",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 @dataclass(frozen=True)

@@ -11,15 +11,14 @@ Three ways to number batches, cheapest first:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidehaul.functions.typemap import is_nested, ref, whole_div
-from tidehaul.session import scratch_path
+from tidehaul.functions.typemap import ref, whole_div
+from tidehaul.session import scratch_path, written
 from tidehaul.sources.parquet import FILE_COL, ROW_COL, row_count
 
 # Most partitions one exchange should have. More batches than this share partitions.
@@ -113,12 +112,19 @@ def batch_within_partition(
     )
 
 
-def _offsets(counts: DataFrame, order: str, rows: str) -> DataFrame:
-    """``order`` with the rows before it; ``counts`` has one row per file or range."""
+def _offsets(counts: DataFrame, order: str) -> DataFrame:
+    """Adds the rows before each file or range; ``counts`` has one row for each."""
     before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(
-        order, F.coalesce(F.sum(rows).over(before), F.lit(0).cast("bigint")).alias("__offset"), rows
-    )
+    return counts.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0).cast("bigint")))
+
+
+def _content(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in (FILE_COL, ROW_COL)]
+
+
+def _with_batch(placed: DataFrame, index: str, columns: list[str], batch_size: int, batch: str) -> DataFrame:
+    numbered = placed.withColumn("__position", F.col("__offset") + F.col(index))
+    return numbered.select(*[ref(c) for c in columns], whole_div("__position", batch_size).alias(batch))
 
 
 def batch_by_position(
@@ -130,16 +136,20 @@ def batch_by_position(
 ) -> DataFrame:
     """Batches of exactly ``batch_size`` rows in file order, the last one shorter.
 
-    ``df`` is a whole source scanned with ``position=True`` and not filtered.
-    The row's number is its index in its file plus the rows of the files before
-    it. Those come from one count per file, which reads row-group counts only.
-    The rows are not shuffled while the source has at most
-    ``max_broadcast_rows`` files; beyond that the offsets are joined on slices
-    of the files, so that a very large file is not one join key.
+    ``df`` is a whole source scanned with ``position=True``. The row's number is
+    its index in its file plus the rows of the files before it. Those come from
+    one count per file, which reads no column data and is written down, as
+    later jobs need it again. The rows are not shuffled while the source has at
+    most ``max_broadcast_rows`` files; beyond that the offsets are joined on
+    slices of the files, so that a very large file is not one join key.
     """
     _check_size(batch_size)
-    counts = df.groupBy(FILE_COL).agg(F.count(F.lit(1)).alias("__rows"))
-    offsets = _offsets(counts, FILE_COL, "__rows")
+    counts = written(
+        df.groupBy(FILE_COL).agg(F.count(F.lit(1)).alias("__rows"), (F.max(ROW_COL) + 1).alias("__end")), "files"
+    )
+    if not counts.where("__rows <> __end").isEmpty():
+        raise ValueError("batches by position need the whole source; filter after batching")
+    offsets = _offsets(counts, FILE_COL).select(FILE_COL, "__offset", "__rows")
     if len(df.inputFiles()) <= max_broadcast_rows:
         placed = df.join(F.broadcast(offsets.drop("__rows")), FILE_COL)
     else:
@@ -150,9 +160,7 @@ def batch_by_position(
         )
         sliced = df.withColumn("__slice", whole_div(ROW_COL, ROWS_PER_SLICE))
         placed = sliced.join(slices.hint("shuffle_hash"), [FILE_COL, "__slice"])
-    position = placed.withColumn("__position", F.col("__offset") + F.col(ROW_COL))
-    kept = [ref(c) for c in df.columns if c not in (FILE_COL, ROW_COL)]
-    return position.select(*kept, whole_div("__position", batch_size).alias(batch))
+    return _with_batch(placed, ROW_COL, _content(df), batch_size, batch)
 
 
 def _is_integral(data_type: T.DataType) -> bool:
@@ -171,12 +179,14 @@ def batch_global(
     """Batches of exactly ``batch_size`` rows in key order, the last one shorter.
 
     NULL keys come last. For an integer key the rows are numbered inside equal
-    ranges of the key and the rows of the ranges before are added; only
-    ``max_ranges`` counts or fewer are ever broadcast. If a range turns out far
-    larger than the others (a sparse key, or one value on many rows), or the
-    key is no integer, the rows are range-partitioned on key and row hash
-    instead, which also splits a single hot value. The keys need not be unique,
-    but only a unique key fixes which of two equal rows comes first.
+    ranges of the key and the rows of the ranges before are added; at most
+    ``max_ranges`` counts are broadcast. If a range turns out far larger than
+    the others (a sparse key, or one value on many rows), or the key is no
+    integer, the rows are sorted into files instead, which also splits a single
+    hot value or many copies of one row.
+
+    The key need not be unique. Equal keys are kept in source order if ``df``
+    was scanned with ``position=True``; otherwise their order is open.
     """
     _check_size(batch_size)
     names = [keys] if isinstance(keys, str) else list(keys)
@@ -185,37 +195,34 @@ def batch_global(
         lead = ref(names[0])
         lo, hi, n = df.agg(F.min(lead), F.max(lead), F.count(F.lit(1))).first()
         ranges = max(1, min(-(-n // rows_per_range), max_ranges))
-        width = 1 if lo is None else -(-(hi - lo + 1) // ranges)
+        width = 1 if lo is None else min(-(-(hi - lo + 1) // ranges), (1 << 63) - 1)
         # Division rounds towards zero, so ranges stay in key order.
         null_range = 0 if hi is None else abs(hi) // width + 1
         tagged = df.withColumn(
             "__range", F.coalesce(whole_div(names[0], width), F.lit(null_range).cast("bigint"))
         )
-        counts = tagged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
+        counts = written(tagged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")), "ranges")
         largest = counts.agg(F.max("__rows")).first()[0] or 0
         if largest <= 4 * max(rows_per_range, -(-n // ranges)):
-            return _number_in_ranges(tagged, counts, names, batch_size, batch, ranges + 2)
+            return _number_in_ranges(tagged, counts, names, batch_size, batch, ranges)
     return _number_sorted_files(df, names, batch_size, batch, rows_per_range, max_ranges)
 
 
+def _source_order(df: DataFrame) -> list[Column]:
+    if ROW_COL in df.columns:
+        return [F.xxhash64(FILE_COL), F.col(ROW_COL)]
+    return []
+
+
 def _number_in_ranges(
     tagged: DataFrame, counts: DataFrame, names: list[str], batch_size: int, batch: str, ranges: int
 ) -> DataFrame:
-    order = [ref(k).asc_nulls_last() for k in names]
+    order = [ref(k).asc_nulls_last() for k in names] + _source_order(tagged)
     numbered = tagged.repartition(min(ranges, MAX_PARTITIONS), "__range").withColumn(
         "__index", F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1
     )
-    placed = numbered.join(F.broadcast(_offsets(counts, "__range", "__rows").drop("__rows")), "__range")
-    position = placed.withColumn("__position", F.col("__offset") + F.col("__index"))
-    kept = [ref(c) for c in tagged.columns if c != "__range"]
-    return position.select(*kept, whole_div("__position", batch_size).alias(batch))
-
-
-def _hashable(df: DataFrame) -> list[Column]:
-    return [
-        F.to_json(ref(f.name)) if is_nested(f.dataType) or isinstance(f.dataType, T.VariantType) else ref(f.name)
-        for f in df.schema.fields
-    ]
+    placed = numbered.join(F.broadcast(_offsets(counts, "__range").drop("__rows")), "__range")
+    return _with_batch(placed, "__index", [c for c in _content(tagged) if c != "__range"], batch_size, batch)
 
 
 def _number_sorted_files(
@@ -225,21 +232,23 @@ def _number_sorted_files(
 
     The bounds of a range exchange are sampled, so they are used once and their
     outcome is written down. A file is one range; row indexes in it are final.
+    The last sort column differs between any two rows, so every group of equal
+    rows can be split between files.
     """
-    spark = df.sparkSession
-    parts = max(1, min(math.ceil(row_count(df) / rows_per_range), max_ranges, MAX_PARTITIONS))
-    order = [ref(k).asc_nulls_last() for k in names] + [F.col("__tie")]
-    path = scratch_path(spark, "sorted")
+    parts = max(1, min(-(-row_count(df) // rows_per_range), max_ranges, MAX_PARTITIONS))
+    ties = _source_order(df) or [F.monotonically_increasing_id()]
+    tied = df.select(*[ref(c) for c in df.columns], *[t.alias(f"__tie_{i}") for i, t in enumerate(ties)])
+    order = [ref(k).asc_nulls_last() for k in names] + [F.col(f"__tie_{i}") for i in range(len(ties))]
+    path = scratch_path(df.sparkSession, "sorted")
     (
-        df.withColumn("__tie", F.xxhash64(*_hashable(df)))
-        .repartitionByRange(parts, *order)
+        tied.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .withColumn("__range", F.spark_partition_id())
+        .select(*[ref(c) for c in _content(df)], F.spark_partition_id().alias("__range"))
         .write.option("maxRecordsPerFile", 0)
         .parquet(path)
     )
-    written = spark.read.parquet(path).select("*", F.col("_metadata.row_index").alias("__index"))
-    counts = written.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
-    placed = written.join(F.broadcast(_offsets(counts, "__range", "__rows").drop("__rows")), "__range")
-    position = placed.withColumn("__position", F.col("__offset") + F.col("__index"))
-    return position.select(*[ref(c) for c in df.columns], whole_div("__position", batch_size).alias(batch))
+    stored = df.sparkSession.read.parquet(path)
+    counts = stored.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
+    indexed = stored.select("*", F.col("_metadata.row_index").alias("__index"))
+    placed = indexed.join(F.broadcast(_offsets(counts, "__range").drop("__rows")), "__range")
+    return _with_batch(placed, "__index", _content(df), batch_size, batch)

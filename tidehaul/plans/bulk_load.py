@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 
 from tidehaul.functions.encode import encode_copy_rows, rejected
 from tidehaul.functions.statements import copy_statement, create_table_statement
+from tidehaul.functions.typemap import ref
 from tidehaul.operators.batching import batch_by_position, batch_global
 from tidehaul.operators.isolate import isolate_failed_batches, rows_of_loaded_batches
 from tidehaul.operators.ledger import load_ledger, load_summary
 from tidehaul.operators.verify import reconcile_counts, require_match
-from tidehaul.session import scratch_path
+from tidehaul.session import scratch_path, written
 from tidehaul.sinks.staged import stage_copy_files, staged_manifest, target_row_count
 from tidehaul.sources.parquet import FILE_COL, ROW_COL, scan_source, source_row_count
 
@@ -65,23 +66,30 @@ def bulk_load(
     path = path or scratch_path(spark, "staged")
     scanned = scan_source(spark, source, position=True)
     schema = T.StructType([f for f in scanned.schema.fields if f.name not in (FILE_COL, ROW_COL)])
+    names = schema.fieldNames()
+    refused = rejected(schema, not_null=not_null, check=check).alias("refused")
     if keys is None:
-        batched = batch_by_position(scanned, batch_size, batch="__batch")
+        lines = encode_copy_rows(scanned, names, carry=[refused, FILE_COL, ROW_COL], null_mode=null_mode)
+        batched = batch_by_position(lines, batch_size)
     else:
-        batched = batch_global(
-            scanned.drop(FILE_COL, ROW_COL), keys, batch_size, batch="__batch", rows_per_range=rows_per_range
+        order = [keys] if isinstance(keys, str) else list(keys)
+        sort = {f"__key_{i}": key for i, key in enumerate(order)}
+        carry = [refused, FILE_COL, ROW_COL, *[ref(key).alias(name) for name, key in sort.items()]]
+        lines = encode_copy_rows(scanned, names, carry=carry, null_mode=null_mode)
+        # Rows are exchanged once: the outcome is written down, and the ledger
+        # then reads two narrow columns of it.
+        batched = written(
+            batch_global(lines, list(sort), batch_size, rows_per_range=rows_per_range).drop(*sort), "batched"
         )
-    # The ledger is a table of its own before any row is staged: it decides
-    # which batches are, and later readers must not scan the source again.
-    ledger_path = scratch_path(spark, "ledger")
-    refused = rejected(schema, not_null=not_null, check=check)
-    isolate_failed_batches(batched, refused, batch="__batch").write.parquet(ledger_path)
-    batches = spark.read.parquet(ledger_path)
-    good = rows_of_loaded_batches(batched, batches, batch="__batch")
-    lines = encode_copy_rows(
-        good, schema.fieldNames(), carry=[F.col("__batch").alias("batch_id")], null_mode=null_mode
+    # The ledger stands before any row is staged, as it decides which ones are.
+    # From a source scan it needs only the columns that the reject rules look at.
+    batches = written(isolate_failed_batches(batched, F.col("refused")), "ledger")
+    stage_copy_files(
+        rows_of_loaded_batches(batched, batches),
+        path,
+        batches_per_folder=batches_per_folder,
+        compression=compression,
     )
-    stage_copy_files(lines, path, batches_per_folder=batches_per_folder, compression=compression)
     ledger = load_ledger(batches)
     counts = reconcile_counts(source_row_count(scanned), target_row_count(spark, path, schema))
     if strict:

@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a load relies on. Speculation would start a second copy of a task
 # that is talking to a database, so it stays off.
@@ -18,6 +18,9 @@ LOAD_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A task that writes one folder per batch range keeps this many files open
+    # before it sorts its rows by range.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.speculation": "false",
     "spark.ui.enabled": "false",
 }
@@ -59,6 +62,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidehaul/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and safe when executors are lost."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def filesystem_path(path: str) -> str:
     """The plain form of a local or mounted path given as ``file:`` URI."""
     parsed = urlparse(path)
