@@ -15,7 +15,7 @@ def spark():
 
     session = build_session(
         "tests",
-        "local[8]",
+        "local[8,4]",
         spark_sql_shuffle_partitions="8",
         spark_driver_memory="8g",
     )

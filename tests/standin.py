@@ -1,0 +1,90 @@
+"""A stand-in for a psycopg2-style connection, on a SQLite file.
+
+There is no PostgreSQL where the tests run. The stand-in takes the statements
+the loader sends, keeps its transactions, and reads COPY lines by the rules of
+the line format. It can refuse values and lose its connection at chosen points.
+"""
+
+import csv
+import io
+import os
+import re
+import sqlite3
+
+csv.field_size_limit(1 << 28)
+
+
+class Lost(Exception):
+    """The connection is gone, and with it every later call."""
+
+
+def connect(path, refuse=None, lose=None):
+    """``refuse``: a field that no batch may hold. ``lose``: when to lose the
+    connection once, ``"before commit"`` or ``"after commit"`` of a COPY."""
+    return Connection(path, refuse, lose)
+
+
+class Connection:
+    def __init__(self, path, refuse, lose):
+        self.path, self.refuse, self.lose = path, refuse, lose
+        self.db = sqlite3.connect(path, timeout=120, isolation_level=None)
+        self.open, self.copied, self.lost = False, False, False
+
+    def start(self):
+        if self.lost:
+            raise Lost()
+        if not self.open:
+            self.db.execute("BEGIN IMMEDIATE")
+            self.open = True
+
+    def cursor(self):
+        return Cursor(self)
+
+    def _lose_once(self, when):
+        if self.lose == when and self.copied:
+            try:
+                os.close(os.open(self.path + ".lost", os.O_CREAT | os.O_EXCL))
+            except FileExistsError:
+                return
+            self.lost = True
+            raise Lost()
+
+    def commit(self):
+        self._lose_once("before commit")
+        if self.open:
+            self.db.execute("COMMIT")
+        self.open = False
+        self._lose_once("after commit")
+        self.copied = False
+
+    def rollback(self):
+        if self.lost:
+            raise Lost()
+        if self.open:
+            self.db.execute("ROLLBACK")
+        self.open = self.copied = False
+
+    def close(self):
+        self.db.close()
+
+
+class Cursor:
+    def __init__(self, conn):
+        self.conn = conn
+
+    def execute(self, statement, values=()):
+        self.conn.start()
+        self.result = self.conn.db.execute(statement.replace("%s", "?"), values)
+
+    def fetchone(self):
+        return self.result.fetchone()
+
+    def copy_expert(self, statement, file):
+        self.conn.start()
+        table, names = re.match(r'COPY (.+?) \((".*")\) FROM STDIN', statement).groups()
+        rows = list(csv.reader(io.TextIOWrapper(file, "utf-8", newline=""), quoting=csv.QUOTE_NOTNULL))
+        if any(self.conn.refuse in row for row in rows if self.conn.refuse):
+            raise ValueError(f"value {self.conn.refuse!r} refused")
+        marks = ", ".join("?" for _ in rows[0])
+        self.conn.db.executemany(f"INSERT INTO {table} ({names}) VALUES ({marks})", rows)
+        self.conn.copied = True

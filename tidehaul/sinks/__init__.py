@@ -1,5 +1,5 @@
 from tidehaul.sinks.copy_load import CopyLoad, copy_ledger, load_copy
-from tidehaul.sinks.jdbc import jdbc_row_count, load_jdbc
+from tidehaul.sinks.jdbc import jdbc_columns, jdbc_row_count, load_jdbc
 from tidehaul.sinks.staged import read_staged, stage_copy_files, staged_manifest, target_row_count
 from tidehaul.sinks.targets import FolderTarget, PostgresTarget
 
@@ -8,6 +8,7 @@ __all__ = [
     "FolderTarget",
     "PostgresTarget",
     "copy_ledger",
+    "jdbc_columns",
     "jdbc_row_count",
     "load_copy",
     "load_jdbc",
