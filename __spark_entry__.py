@@ -49,6 +49,7 @@ from tidehaul.sources import scan_source, source_row_count
 BATCH = 1000
 RANGE = 4096
 PARTITION = 7000
+FOLDER = 25
 REJECT = "o_totalprice > 499500"
 
 
@@ -159,7 +160,7 @@ def q_batch_global_events(spark, sf_dir):
 
 def q_batch_global_skewed(spark, sf_dir):
     """A key of three values, each far larger than a range."""
-    batched = batch_global(_scan(spark, sf_dir, "lineitem"), "l_returnflag", BATCH, rows_per_range=RANGE)
+    batched = batch_global(_scan(spark, sf_dir, "lineitem"), "l_returnflag", BATCH, rows_per_range=4 * RANGE)
     return batched.groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("l_returnflag").alias("first_key"),
@@ -209,18 +210,19 @@ def _staged(spark, sf_dir, table: str, batch_size: int = BATCH):
     names = source.columns[:-2]
     lines = encode_copy_rows(batch_by_position(source, batch_size), names, carry=["batch_id"])
     path = scratch_path(spark, "staged")
-    stage_copy_files(lines, path)
+    stage_copy_files(lines, path, batches_per_folder=FOLDER)
     return path, source.select(*names).schema
 
 
 def q_stage_copy_files(spark, sf_dir):
-    path, schema = _staged(spark, sf_dir, "documents", 100)
+    path, schema = _staged(spark, sf_dir, "documents", 20)
     return read_staged(spark, path, schema)
 
 
 def q_stage_copy_manifest(spark, sf_dir):
-    path, schema = _staged(spark, sf_dir, "documents", 100)
-    return staged_manifest(spark, path, schema).groupBy("first_batch", "last_batch").agg(F.sum("rows").alias("rows"))
+    path, schema = _staged(spark, sf_dir, "documents", 20)
+    files = staged_manifest(spark, path, schema, batches_per_folder=FOLDER)
+    return files.groupBy("first_batch", "last_batch").agg(F.sum("rows").alias("rows"))
 
 
 def q_target_row_count(spark, sf_dir):
@@ -293,14 +295,25 @@ def q_reconcile_counts(spark, sf_dir):
 
 def q_bulk_load(spark, sf_dir):
     path = f"{sf_dir}/orders.parquet"
-    return bulk_load(spark, path, "public.orders", batch_size=BATCH, check=F.expr(REJECT)).ledger
+    load = bulk_load(
+        spark, path, "public.orders", batch_size=BATCH, check=F.expr(REJECT), batches_per_folder=FOLDER
+    )
+    return load.ledger
 
 
 def q_bulk_load_by_key(spark, sf_dir):
     path = f"{sf_dir}/orders.parquet"
-    return bulk_load(
-        spark, path, "public.orders", keys="o_orderkey", batch_size=BATCH, rows_per_range=RANGE, check=F.expr(REJECT)
-    ).ledger
+    load = bulk_load(
+        spark,
+        path,
+        "public.orders",
+        keys="o_orderkey",
+        batch_size=BATCH,
+        rows_per_range=RANGE,
+        check=F.expr(REJECT),
+        batches_per_folder=FOLDER,
+    )
+    return load.ledger
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -506,8 +519,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stage_copy_files": "SELECT * FROM documents",
         "stage_copy_manifest": (
-            "SELECT batch_id AS first_batch, batch_id AS last_batch, count(*) AS rows "
-            f"FROM ({_sql_batches('documents', 'doc_id', 100)}) GROUP BY batch_id"
+            f"SELECT batch_id // {FOLDER} * {FOLDER} AS first_batch, batch_id // {FOLDER} * {FOLDER} + {FOLDER - 1} "
+            f"AS last_batch, count(*) AS rows FROM ({_sql_batches('documents', 'doc_id', 20)}) GROUP BY ALL"
         ),
         "target_row_count": "SELECT count(*) AS target_rows FROM orders",
         "load_jdbc": "SELECT * FROM orders",

@@ -9,6 +9,7 @@ from tidehaul.operators import (
     batch_global,
     batch_within_partition,
     co_locate_batches,
+    is_lopsided,
     partition_count,
     partition_for_load,
     partition_sizes,
@@ -218,3 +219,12 @@ def test_batches_of_projected_rows(spark):
     source = project_to_target(scan_source(spark, path, position=True))
     assert sizes_of(batch_by_position(source, B)) == [100, 100, 100]
     assert row_count(source) == 300
+
+
+def test_lopsided_scans_are_seen(spark):
+    even = spark.range(0, 8000, 1, 8)
+    assert not is_lopsided(even, B)
+    lopsided = spark.range(0, 8000, 1, 8).where("id < 1000 OR id % 100 = 0")
+    assert is_lopsided(lopsided, B)
+    assert not is_lopsided(lopsided, 1000)
+    assert not is_lopsided(spark.range(0), B)

@@ -3,6 +3,7 @@ from tidehaul.operators.batching import (
     batch_global,
     batch_within_partition,
     co_locate_batches,
+    is_lopsided,
     partition_count,
     partition_for_load,
     partition_sizes,
@@ -20,6 +21,7 @@ __all__ = [
     "batch_global",
     "batch_within_partition",
     "co_locate_batches",
+    "is_lopsided",
     "isolate_failed_batches",
     "load_ledger",
     "load_summary",

@@ -78,6 +78,20 @@ def partition_sizes(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def is_lopsided(df: DataFrame, batch_size: int) -> bool:
+    """Whether some scan partition has so many rows that its task would hold up all others.
+
+    That is more than twice its even share, and more than two batches. A file
+    with one huge row group is read by one task, however many there are. Only
+    row counts are read.
+    """
+    largest, total = partition_sizes(df).agg(F.max("rows"), F.sum("rows")).first()
+    if not total:
+        return False
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return largest > 2 * max(batch_size, -(-total // cores))
+
+
 def co_locate_batches(
     df: DataFrame, *, batches: int, batch: str = "batch_id", max_partitions: int = MAX_PARTITIONS
 ) -> DataFrame:

@@ -13,13 +13,19 @@ from pyspark.sql import types as T
 from tidehaul.functions.encode import encode_copy_rows, rejected
 from tidehaul.functions.statements import copy_statement, create_table_statement
 from tidehaul.functions.typemap import ref
-from tidehaul.operators.batching import batch_by_position, batch_global
+from tidehaul.operators.batching import (
+    batch_by_position,
+    batch_global,
+    co_locate_batches,
+    is_lopsided,
+    partition_count,
+)
 from tidehaul.operators.isolate import isolate_failed_batches, rows_of_loaded_batches
 from tidehaul.operators.ledger import load_ledger, load_summary
 from tidehaul.operators.verify import reconcile_counts, require_match
 from tidehaul.session import scratch_path, written
 from tidehaul.sinks.staged import stage_copy_files, staged_manifest, target_row_count
-from tidehaul.sources.parquet import FILE_COL, ROW_COL, scan_source, source_row_count
+from tidehaul.sources.parquet import FILE_COL, ROW_COL, row_count, scan_source, source_row_count
 
 # Fixed value: rows per COPY batch where the caller names none.
 DEFAULT_BATCH_SIZE = 100_000
@@ -68,24 +74,32 @@ def bulk_load(
     schema = T.StructType([f for f in scanned.schema.fields if f.name not in (FILE_COL, ROW_COL)])
     names = schema.fieldNames()
     refused = rejected(schema, not_null=not_null, check=check).alias("refused")
+
+    def encoded(df: DataFrame) -> DataFrame:
+        carry = [ref("__batch").alias("batch_id"), refused]
+        return encode_copy_rows(df, names, carry=carry, null_mode=null_mode)
+
     if keys is None:
-        lines = encode_copy_rows(scanned, names, carry=[refused, FILE_COL, ROW_COL], null_mode=null_mode)
-        batched = batch_by_position(lines, batch_size)
+        batched = batch_by_position(scanned, batch_size, batch="__batch")
+        # The ledger needs only the columns that the reject rules look at, in
+        # whatever partitions they are.
+        judged = encoded(batched)
+        # Encoding and writing follow the scan's partitions unless one of them
+        # would do most of the work.
+        if is_lopsided(scanned, batch_size):
+            expected = partition_count(row_count(scanned), batch_size)
+            lines = encoded(co_locate_batches(batched, batches=expected, batch="__batch"))
+        else:
+            lines = judged
     else:
-        order = [keys] if isinstance(keys, str) else list(keys)
-        sort = {f"__key_{i}": key for i, key in enumerate(order)}
-        carry = [refused, FILE_COL, ROW_COL, *[ref(key).alias(name) for name, key in sort.items()]]
-        lines = encode_copy_rows(scanned, names, carry=carry, null_mode=null_mode)
         # Rows are exchanged once: the outcome is written down, and the ledger
         # then reads two narrow columns of it.
-        batched = written(
-            batch_global(lines, list(sort), batch_size, rows_per_range=rows_per_range).drop(*sort), "batched"
-        )
+        in_order = batch_global(scanned, keys, batch_size, batch="__batch", rows_per_range=rows_per_range)
+        lines = judged = written(encoded(in_order), "batched")
     # The ledger stands before any row is staged, as it decides which ones are.
-    # From a source scan it needs only the columns that the reject rules look at.
-    batches = written(isolate_failed_batches(batched, F.col("refused")), "ledger")
+    batches = written(isolate_failed_batches(judged, F.col("refused")), "ledger")
     stage_copy_files(
-        rows_of_loaded_batches(batched, batches),
+        rows_of_loaded_batches(lines, batches),
         path,
         batches_per_folder=batches_per_folder,
         compression=compression,
