@@ -187,6 +187,7 @@ def test_within_partition(spark, n, parts):
 def test_partition_count():
     assert [partition_count(n, B) for n in SIZES] == [1, 1, 1, 1, 2, 3, 4]
     assert [partition_count(n, B, "floor") for n in SIZES] == [1, 1, 1, 1, 1, 3, 3]
+    assert [partition_count(n, B, "floor", at_least=2) for n in SIZES] == [2, 2, 2, 2, 2, 3, 3]
     with pytest.raises(ValueError):
         partition_count(1, 0)
     with pytest.raises(ValueError):

@@ -37,8 +37,8 @@ def _check_size(batch_size: int) -> None:
 # -- load partitions ---------------------------------------------------------
 
 
-def partition_count(rows: int, batch_size: int, mode: str = "ceil") -> int:
-    """Partitions of about ``batch_size`` rows, at least one.
+def partition_count(rows: int, batch_size: int, mode: str = "ceil", at_least: int = 1) -> int:
+    """Partitions of about ``batch_size`` rows, and at least ``at_least``.
 
     ``"ceil"`` keeps each at or below ``batch_size``; with ``"floor"`` the
     remainder is spread over the others.
@@ -46,7 +46,7 @@ def partition_count(rows: int, batch_size: int, mode: str = "ceil") -> int:
     _check_size(batch_size)
     if mode not in ("ceil", "floor"):
         raise ValueError("mode must be 'ceil' or 'floor'")
-    return max(-(-rows // batch_size) if mode == "ceil" else rows // batch_size, 1)
+    return max(-(-rows // batch_size) if mode == "ceil" else rows // batch_size, at_least, 1)
 
 
 def partition_for_load(
@@ -55,6 +55,7 @@ def partition_for_load(
     *,
     rows: int | None = None,
     mode: str = "ceil",
+    at_least: int = 1,
     max_partitions: int = MAX_PARTITIONS,
 ) -> DataFrame:
     """``df`` in evenly filled partitions of about ``batch_size`` rows.
@@ -64,7 +65,7 @@ def partition_for_load(
     make the exchange repeatable. Other inputs go round-robin. Above
     ``max_partitions`` each partition holds several batches.
     """
-    n = min(partition_count(row_count(df) if rows is None else rows, batch_size, mode), max_partitions)
+    n = min(partition_count(row_count(df) if rows is None else rows, batch_size, mode, at_least), max_partitions)
     if ROW_COL in df.columns:
         # Files start at different partitions, or the first ones would get
         # one row more from every file.
@@ -161,19 +162,25 @@ def batch_by_position(
     counts = written(
         df.groupBy(FILE_COL).agg(F.count(F.lit(1)).alias("__rows"), (F.max(ROW_COL) + 1).alias("__end")), "files"
     )
-    if not counts.where("__rows <> __end").isEmpty():
+    filtered, slices = counts.agg(
+        F.count(F.when(F.col("__rows") != F.col("__end"), F.lit(1))),
+        F.sum(whole_div("__rows", ROWS_PER_SLICE) + 1),
+    ).first()
+    if filtered:
         raise ValueError("batches by position need the whole source; filter after batching")
     offsets = _offsets(counts, FILE_COL).select(FILE_COL, "__offset", "__rows")
     if len(df.inputFiles()) <= max_broadcast_rows:
         placed = df.join(F.broadcast(offsets.drop("__rows")), FILE_COL)
     else:
-        slices = offsets.select(
+        per_slice = offsets.select(
             FILE_COL,
             "__offset",
             F.explode(F.sequence(F.lit(0).cast("bigint"), whole_div("__rows", ROWS_PER_SLICE))).alias("__slice"),
         )
-        sliced = df.withColumn("__slice", whole_div(ROW_COL, ROWS_PER_SLICE))
-        placed = sliced.join(slices.hint("shuffle_hash"), [FILE_COL, "__slice"])
+        sliced = df.withColumn("__slice", whole_div(ROW_COL, ROWS_PER_SLICE)).repartition(
+            min(slices or 1, MAX_PARTITIONS), FILE_COL, "__slice"
+        )
+        placed = sliced.join(per_slice.hint("shuffle_hash"), [FILE_COL, "__slice"])
     return _with_batch(placed, ROW_COL, _content(df), batch_size, batch)
 
 

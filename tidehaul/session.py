@@ -6,7 +6,6 @@ import os
 import tempfile
 import uuid
 import zipfile
-from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,14 +68,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def filesystem_path(path: str) -> str:
-    """The plain form of a local or mounted path given as ``file:`` URI."""
-    parsed = urlparse(path)
-    if parsed.scheme in ("", "file"):
-        return unquote(parsed.path)
-    raise ValueError(f"{path} is not on a mounted file system")
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable on the executors (``--py-files`` at run time)."""
     marker = "_tidehaul_shipped"

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import io
 import json
+import tempfile
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass
+from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,6 +30,8 @@ from tidehaul.sinks.targets import LoadPlan, plan_load, resolve
 
 FORMAT = "tidehaul_copy"
 REJECTED = "rejected row in batch"
+# Bytes of a batch that a task keeps in memory.
+PAYLOAD_IN_MEMORY = 64 << 20
 
 
 @dataclass
@@ -89,12 +92,17 @@ class CopyWriter(DataSourceArrowWriter):
         """Nothing is taken back: a run with the same load id goes on from here."""
 
 
-def whole_batches(iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bool, io.BytesIO]]:
+def _new_payload() -> BinaryIO:
+    return tempfile.SpooledTemporaryFile(max_size=PAYLOAD_IN_MEMORY)
+
+
+def whole_batches(iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bool, BinaryIO]]:
     """``batch_id, rows, refused, payload`` of each run of equal batch ids.
 
-    Holds one batch at a time. Lines are joined by Arrow, not one by one.
+    Holds one batch at a time, the larger ones on the task's disk. Lines are
+    joined by Arrow, not one by one.
     """
-    current, rows, refused, payload = None, 0, False, io.BytesIO()
+    current, rows, refused, payload = None, 0, False, _new_payload()
     seen: set[int] = set()
     for chunk in iterator:
         for values, length, start in _runs(chunk.column(0)):
@@ -105,7 +113,8 @@ def whole_batches(iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int
                 if values in seen:
                     raise ValueError(f"batch {values} is not in one piece")
                 seen.add(values)
-                current, rows, refused, payload = values, 0, False, io.BytesIO()
+                payload.close()
+                current, rows, refused, payload = values, 0, False, _new_payload()
             part = chunk.slice(start, length)
             rows += length
             refused = refused or bool(pc.any(part.column(2)).as_py())

@@ -8,19 +8,21 @@ by a later run with the same load id, finds the record and sends nothing.
 from __future__ import annotations
 
 import importlib
+import io
 import json
-import os
+import shutil
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from typing import BinaryIO
 
+from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidehaul.functions.statements import copy_statement, create_table_statement, quote_identifier, quote_table
 from tidehaul.operators.isolate import FAILED, LOADED
-from tidehaul.session import filesystem_path
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -158,7 +160,7 @@ class _PostgresTask:
             (*key, rows, status, message, _now()),
         )
 
-    def send(self, batch_id: int, rows: int, payload) -> str:
+    def send(self, batch_id: int, rows: int, payload: BinaryIO) -> str:
         """COPY one batch in a transaction of its own, unless it is there already."""
         cur = self.conn.cursor()
         if self._status(cur, batch_id) == LOADED:
@@ -195,78 +197,88 @@ class FolderTarget:
 
     The folder form of the same contract, for targets that executors cannot
     reach and for tests: a batch is one file that appears whole, and the loads
-    that make up a table are listed in a file that is replaced whole.
+    that make up a table are listed in a file that is replaced whole. The path
+    is anything Arrow's file systems open, by URI or as a mounted folder.
     """
 
     def __init__(self, path: str):
-        self.path = filesystem_path(path)
+        plain = path.removeprefix("file:")
+        if plain.startswith("/"):
+            path = "file:///" + plain.lstrip("/")
+        self.path = path.rstrip("/")
 
     def spec(self) -> tuple[str, dict]:
         return f"{__name__}:FolderTarget", {"path": self.path}
 
     def _folder(self, plan: LoadPlan) -> str:
-        return os.path.join(self.path, plan.table, plan.load_id)
+        return f"{self.path}/{plan.table}/{plan.load_id}"
 
     def _ledger_folder(self, plan: LoadPlan) -> str:
-        return os.path.join(self.path, f"{plan.table}__batches", plan.load_id)
+        return f"{self.path}/{plan.table}__batches/{plan.load_id}"
 
     def begin(self, plan: LoadPlan) -> None:
-        os.makedirs(self._folder(plan), exist_ok=True)
-        os.makedirs(self._ledger_folder(plan), exist_ok=True)
+        for folder in (self._folder(plan), self._ledger_folder(plan)):
+            fs, place = FileSystem.from_uri(folder)
+            fs.create_dir(place, recursive=True)
 
     def open(self, plan: LoadPlan) -> _FolderTask:
         return _FolderTask(self._folder(plan), self._ledger_folder(plan))
 
     def _listing(self, table: str) -> str:
-        return os.path.join(self.path, table, "loads.json")
+        return f"{self.path}/{table}/loads.json"
 
     def loads(self, table: str) -> list[str]:
         """The ids of the loads that make up ``table``."""
-        try:
-            with open(self._listing(table), encoding="utf-8") as file:
-                return json.load(file)
-        except FileNotFoundError:
+        fs, place = FileSystem.from_uri(self._listing(table))
+        if fs.get_file_info(place).type == FileType.NotFound:
             return []
+        with fs.open_input_stream(place) as file:
+            return json.loads(file.read())
 
     def publish(self, plan: LoadPlan) -> None:
         before = self.loads(plan.table) if plan.mode == "append" else []
-        _put(self._listing(plan.table), json.dumps([*before, plan.load_id]).encode())
+        fs, place = FileSystem.from_uri(self._listing(plan.table))
+        _put(fs, place, io.BytesIO(json.dumps([*before, plan.load_id]).encode()))
 
     def data_paths(self, table: str) -> list[str]:
-        return [os.path.join(self.path, table, load) for load in self.loads(table)]
+        return [f"{self.path}/{table}/{load}" for load in self.loads(table)]
 
     def ledger(self, spark: SparkSession, plan: LoadPlan, jdbc: Mapping[str, str] | None = None) -> DataFrame:
-        return spark.read.schema(LEDGER_SCHEMA).json("file:" + self._ledger_folder(plan))
+        return spark.read.schema(LEDGER_SCHEMA).json(self._ledger_folder(plan))
 
 
-def _put(path: str, data: bytes) -> None:
+def _put(fs: FileSystem, path: str, data: BinaryIO) -> None:
     """Write a file that appears whole or not at all."""
-    folder, name = os.path.split(path)
-    draft = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
-    with open(draft, "wb") as file:
-        file.write(data)
-    os.replace(draft, path)
+    folder, _, name = path.rpartition("/")
+    draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(draft) as file:
+        shutil.copyfileobj(data, file, 1 << 20)
+    fs.move(draft, path)
 
 
 class _FolderTask:
     def __init__(self, folder: str, ledger: str):
-        self.folder, self.ledger = folder, ledger
+        self.fs, self.folder = FileSystem.from_uri(folder)
+        _, self.ledger = FileSystem.from_uri(ledger)
 
     def _file(self, batch_id: int) -> str:
-        return os.path.join(self.folder, f"batch-{batch_id:020d}.csv")
+        return f"{self.folder}/batch-{batch_id:020d}.csv"
+
+    def _loaded(self, batch_id: int) -> bool:
+        return self.fs.get_file_info(self._file(batch_id)).type != FileType.NotFound
 
     def _record(self, batch_id: int, rows: int, status: str, message: str | None) -> str:
         row = {"batch_id": batch_id, "rows": rows, "status": status, "message": message, "finished_at": _now()}
-        _put(os.path.join(self.ledger, f"batch-{batch_id:020d}.json"), json.dumps(row).encode() + b"\n")
+        _put(self.fs, f"{self.ledger}/batch-{batch_id:020d}.json", io.BytesIO(json.dumps(row).encode() + b"\n"))
         return status
 
-    def send(self, batch_id: int, rows: int, payload) -> str:
-        if not os.path.exists(self._file(batch_id)):
-            _put(self._file(batch_id), payload.read())
+    def send(self, batch_id: int, rows: int, payload: BinaryIO) -> str:
+        if not self._loaded(batch_id):
+            _put(self.fs, self._file(batch_id), payload)
         return self._record(batch_id, rows, LOADED, None)
 
     def fail(self, batch_id: int, rows: int, message: str) -> str:
-        if os.path.exists(self._file(batch_id)):
+        if self._loaded(batch_id):
             return self._record(batch_id, rows, LOADED, None)
         return self._record(batch_id, rows, FAILED, message[:1000])
 
