@@ -32,6 +32,7 @@ from tidehaul.sinks import (
     staged_manifest,
     target_row_count,
 )
+from tidehaul.sinks.targets import OtherBatches, beside
 from tidehaul.sources import scan_source, source_row_count
 
 
@@ -60,7 +61,7 @@ def ask(path, query):
 
 
 def ledger_of(path, table="orders"):
-    rows = ask(path, f"SELECT batch_id, row_count, status FROM {table}__batches ORDER BY batch_id")
+    rows = ask(path, f"SELECT batch_id, row_count, status FROM {table}__batches WHERE batch_id >= 0 ORDER BY batch_id")
     return {b: (n, s) for b, n, s in rows}
 
 
@@ -151,6 +152,74 @@ def test_lost_connection_leaves_no_duplicates(orders, database, when):
     assert {s for _, s in ledger_of(database).values()} == {"LOADED"}
 
 
+@pytest.mark.parametrize("kind", ["database", "folder"])
+def test_other_batches_are_not_taken_for_the_same(spark, orders, database, kind):
+    """Batches of another size or source under an old load id would skip rows that never arrived."""
+    target = standin(database) if kind == "database" else FolderTarget(scratch_path(spark, "test"))
+    load_id = load_copy(orders, target, "orders", batch_size=100, layout="position", mode="append").plan.load_id
+    more = {"layout": "position", "mode": "append", "load_id": load_id}
+    load_copy(orders, target, "orders", batch_size=100, **more)
+    with pytest.raises(OtherBatches):
+        load_copy(orders, target, "orders", batch_size=50, **more)
+    with pytest.raises(OtherBatches):
+        load_copy(orders, target, "orders", batch_size=100, **{**more, "layout": "partition"})
+    with pytest.raises(OtherBatches):
+        load_copy(scan_source(spark, f"{SF01}/orders.parquet", position=True), target, "orders", batch_size=100, **more)
+
+
+def test_in_place_batches_depend_on_the_split(spark, database):
+    path = scratch_path(spark, "test")
+    spark.range(0, 3000, 1, 6).write.parquet(path)
+    target = standin(database)
+    load_id = load_copy(scan_source(spark, path), target, "t", batch_size=100, mode="append").plan.load_id
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        with pytest.raises(OtherBatches):
+            load_copy(scan_source(spark, path), target, "t", batch_size=100, mode="append", load_id=load_id)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_lopsided_scan_is_spread(spark, database):
+    """One file with one row group is one task; the position of its rows lets others help."""
+    path = scratch_path(spark, "test")
+    spark.range(0, 5000, 1, 1).write.parquet(path)
+    load_copy(scan_source(spark, path, position=True), standin(database), "t", batch_size=100)
+    assert list(ledger_of(database, "t")) == list(range(50))
+    assert ask(database, "SELECT count(*), count(DISTINCT id) FROM t") == [(5000, 5000)]
+
+
+def test_a_load_in_place_is_not_replaced_by_nothing(orders, database):
+    """Its batches are marked as sent, so another run would land an empty table."""
+    options = {"batch_size": 100, "layout": "position"}
+    load_id = load_copy(orders, standin(database, refuse="777"), "orders", **options).plan.load_id
+    assert ask(database, "SELECT count(*) FROM orders")[0][0] < 1500
+    with pytest.raises(ValueError, match="in place already"):
+        load_copy(orders, standin(database), "orders", load_id=load_id, **options)
+    load_copy(orders, standin(database), "orders", load_id=load_id, mode="append", **options)
+    assert ask(database, "SELECT count(*), count(DISTINCT o_orderkey) FROM orders") == [(1500, 1500)]
+
+
+def test_strict_load_goes_on_where_it_broke_off(orders, database):
+    options = {"batch_size": 100, "layout": "position", "strict": True, "load_id": "again"}
+    with pytest.raises(Exception, match="left as it was"):
+        load_copy(orders, standin(database, refuse="777"), "orders", **options)
+    before = dict(ask(database, "SELECT batch_id, finished_at FROM orders__batches WHERE status = 'LOADED'"))
+    load_copy(orders, standin(database), "orders", **options)
+    after = dict(ask(database, "SELECT batch_id, finished_at FROM orders__batches WHERE batch_id >= 0"))
+    assert before.items() <= after.items() and len(after) == 15
+    assert ask(database, "SELECT count(*), count(DISTINCT o_orderkey) FROM orders") == [(1500, 1500)]
+
+
+def test_derived_names_fit_the_target():
+    assert beside("s.orders", "__batches") == "s.orders__batches"
+    long = beside("s." + "ä" * 60, "__load_0123456789ab")
+    assert long.startswith("s.ä") and len(long.split(".")[1].encode()) <= 63
+    assert long.endswith("__load_0123456789ab")
+
+
 def test_folder_target(spark, orders):
     target = FolderTarget(scratch_path(spark, "test"))
     schema = content(orders).schema

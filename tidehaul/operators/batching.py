@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidehaul.functions.typemap import ref, whole_div
-from tidehaul.session import scratch_path, written
+from tidehaul.session import parallel_tasks, scratch_path, written
 from tidehaul.sources.parquet import FILE_COL, ROW_COL, row_count
 
 # Most partitions one exchange should have. More batches than this share partitions.
@@ -89,8 +89,7 @@ def is_lopsided(df: DataFrame, batch_size: int) -> bool:
     largest, total = partition_sizes(df).agg(F.max("rows"), F.sum("rows")).first()
     if not total:
         return False
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return largest > 2 * max(batch_size, -(-total // cores))
+    return largest > 2 * max(batch_size, -(-total // parallel_tasks(df.sparkSession)))
 
 
 def co_locate_batches(

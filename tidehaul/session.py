@@ -38,6 +38,20 @@ def build_session(app: str = "tidehaul", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+# Cores to reckon with where executors come and go without a stated limit.
+ELASTIC_CORES = 4096
+
+
+def parallel_tasks(spark: SparkSession) -> int:
+    """How many tasks the session can run at once, executors still to come included."""
+    cores = spark.sparkContext.defaultParallelism
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        limit = spark.conf.get("spark.dynamicAllocation.maxExecutors", None)
+        each = int(spark.conf.get("spark.executor.cores", "1"))
+        cores = max(cores, int(limit) * each if limit and limit.isdigit() else ELASTIC_CORES)
+    return cores
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tidehaul.functions.encode import encode_copy_rows, rejected
+from tidehaul.functions.typemap import ref
 from tidehaul.operators.batching import (
     batch_by_position,
     batch_global,
     batch_within_partition,
     co_locate_batches,
+    is_lopsided,
     partition_count,
 )
 from tidehaul.operators.isolate import LOADED
@@ -159,13 +161,31 @@ def _batched(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> Dat
     return co_locate_batches(numbered, batches=partition_count(row_count(df), batch_size), batch="__batch")
 
 
+def _cut(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> str:
+    """How the batches are cut: equal for two runs only if their batches hold the same rows.
+
+    Reads row counts, or the keys where batches are in key order.
+    """
+    placed = ROW_COL in df.columns
+    if layout == "partition":
+        start = [F.min(F.struct(FILE_COL, ROW_COL)).alias("start")] if placed else []
+        pieces = df.groupBy(F.spark_partition_id().alias("piece")).agg(F.count(F.lit(1)).alias("rows"), *start)
+    elif layout == "position":
+        pieces = df.groupBy(F.col(FILE_COL).alias("piece")).agg(F.count(F.lit(1)).alias("rows"))
+    else:
+        keys = [layout] if isinstance(layout, str) else list(layout)
+        pieces = df.select(*[ref(k) for k in keys], F.lit(1).alias("rows"))
+    row = pieces.agg(F.sum("rows"), F.bit_xor(F.xxhash64(*[ref(c) for c in pieces.columns]))).first()
+    return json.dumps({"layout": layout, "batch_size": batch_size, "rows": row[0] or 0, "hash": row[1]})
+
+
 def load_copy(
     df: DataFrame,
     target,
     table: str,
     *,
     batch_size: int = 100_000,
-    layout: str | Sequence[str] = "partition",
+    layout: str | Sequence[str] = "auto",
     mode: str = "overwrite",
     null_mode: str = "lossless",
     not_null: Sequence[str] = (),
@@ -176,26 +196,35 @@ def load_copy(
 ) -> CopyLoad:
     """COPY ``df`` into ``table``, each batch a transaction, all tasks at once.
 
+    ``df`` is a scan, or a projection of one: a task that is started again must
+    find the same rows in the same order.
+
     ``layout`` says what a batch is: ``"partition"`` cuts each scan partition
     by itself and moves no rows; ``"position"`` gives batches of exactly
     ``batch_size`` rows of a source scanned with ``position=True``; a list of
     keys gives them in key order. The last two exchange the rows once.
+    ``"auto"`` is the first, or the second where it can be and one scan
+    partition would hold up all others.
 
     A batch with a rejected row, or one the target refuses, is FAILED and the
     load goes on; with ``strict`` it then ends in an error and the target keeps
     its old rows. A load that broke off is continued by its ``load_id``, given
-    the same source, settings and ``batch_size``. ``max_connections`` merges
-    partitions where the target allows fewer connections than Spark has cores.
+    the same source, ``layout`` and ``batch_size``; if the batches would not hold
+    the same rows as before, it refuses. Failed batches of a finished load are
+    sent again by ``mode="append"`` with its ``load_id``. ``max_connections`` merges partitions
+    where the target allows fewer connections than Spark has cores.
     """
     spark = df.sparkSession
     ship_package(spark)
     spark.dataSource.register(CopySource)
     content = [f for f in df.schema.fields if f.name not in (FILE_COL, ROW_COL)]
     schema = type(df.schema)(content)
-    plan = plan_load(schema, table, mode, load_id, tuple(not_null))
     names = schema.fieldNames()
+    if layout == "auto":
+        layout = "position" if ROW_COL in df.columns and is_lopsided(df, batch_size) else "partition"
     if layout == "partition" and max_connections:
         df = df.coalesce(max_connections)
+    plan = plan_load(schema, table, mode, load_id, tuple(not_null), _cut(df, batch_size, layout))
     batched = _batched(df, batch_size, layout)
     refused = rejected(schema, not_null=not_null, check=check)
     lines = encode_copy_rows(

@@ -7,12 +7,14 @@ by a later run with the same load id, finds the record and sends nothing.
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 import io
 import json
 import shutil
 import uuid
 from collections.abc import Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from typing import BinaryIO
@@ -44,24 +46,57 @@ class LoadPlan:
     mode: str
     landing: str
     create_landing: str
-    create_table: str
     copy_into: str
+    batches: str
 
 
-def plan_load(schema: T.StructType, table: str, mode: str, load_id: str | None, not_null: tuple[str, ...]) -> LoadPlan:
-    """``overwrite`` lands in a table of its own that later takes the target's place."""
+# Fixed value: the longest name PostgreSQL keeps.
+NAME_BYTES = 63
+# The entry under which a ledger keeps how a load's batches were cut.
+PLAN_ENTRY = -1
+PUBLISHED = "PUBLISHED"
+
+
+class OtherBatches(ValueError):
+    """A load cannot go on, as its batches would now hold other rows than before."""
+
+
+def check_batches(plan: LoadPlan, recorded: str) -> None:
+    if recorded != plan.batches:
+        raise OtherBatches(
+            f"load {plan.load_id} was begun with batches {recorded}, these are {plan.batches}; use a new load id"
+        )
+
+
+def beside(table: str, suffix: str) -> str:
+    """A table name next to ``table``, cut so that the target does not cut it instead."""
+    schema, dot, name = table.rpartition(".")
+    kept = name.encode()[: NAME_BYTES - len(suffix)].decode(errors="ignore")
+    return f"{schema}{dot}{kept}{suffix}"
+
+
+def plan_load(
+    schema: T.StructType, table: str, mode: str, load_id: str | None, not_null: tuple[str, ...], batches: str
+) -> LoadPlan:
+    """``overwrite`` lands in a table of its own that later takes the target's place.
+
+    ``batches`` says how the batches were cut, so that a load that is continued
+    can be told from one that only looks the same.
+    """
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
     load_id = load_id or uuid.uuid4().hex
-    landing = f"{table}__load_{load_id}" if mode == "overwrite" else table
+    landing = beside(table, "__load_" + hashlib.sha256(load_id.encode()).hexdigest()[:12])
+    if mode == "append":
+        landing = table
     return LoadPlan(
         load_id=load_id,
         table=table,
         mode=mode,
         landing=landing,
         create_landing=create_table_statement(schema, landing, not_null),
-        create_table=create_table_statement(schema, table, not_null),
         copy_into=copy_statement(schema, landing),
+        batches=batches,
     )
 
 
@@ -95,36 +130,54 @@ class PostgresTarget:
 
     @staticmethod
     def ledger_table(table: str) -> str:
-        return f"{table}__batches"
+        return beside(table, "__batches")
 
-    def _run(self, *statements: str) -> None:
+    @contextmanager
+    def _transaction(self):
+        """A cursor whose statements are committed together."""
         conn = self.connection()
         try:
-            cur = conn.cursor()
-            for statement in statements:
-                cur.execute(statement)
+            yield conn.cursor()
             conn.commit()
         finally:
             conn.close()
 
     def begin(self, plan: LoadPlan) -> None:
         ledger = quote_table(self.ledger_table(plan.table))
-        self._run(
-            plan.create_landing,
-            f"CREATE TABLE IF NOT EXISTS {ledger} (load_id TEXT NOT NULL, batch_id BIGINT NOT NULL, "
-            "row_count BIGINT, status TEXT, message TEXT, finished_at TEXT, PRIMARY KEY (load_id, batch_id))",
-        )
+        key = (plan.load_id, PLAN_ENTRY)
+        with self._transaction() as cur:
+            cur.execute(
+                f"CREATE TABLE IF NOT EXISTS {ledger} (load_id TEXT NOT NULL, batch_id BIGINT NOT NULL, "
+                "row_count BIGINT, status TEXT, message TEXT, finished_at TEXT, PRIMARY KEY (load_id, batch_id))"
+            )
+            cur.execute(f"SELECT message, status FROM {ledger} WHERE load_id = %s AND batch_id = %s", key)
+            found = cur.fetchone()
+            if not found:
+                cur.execute(
+                    f"INSERT INTO {ledger} (load_id, batch_id, message) VALUES (%s, %s, %s)", (*key, plan.batches)
+                )
+            else:
+                check_batches(plan, found[0])
+                if plan.mode == "overwrite" and found[1] == PUBLISHED:
+                    # Its batches count as sent, but they are not in a new landing table.
+                    raise ValueError(f"load {plan.load_id} is in place already; append to send failed batches again")
+            cur.execute(plan.create_landing)
 
     def open(self, plan: LoadPlan) -> _PostgresTask:
         return _PostgresTask(self.connection(), plan, quote_table(self.ledger_table(plan.table)))
 
     def publish(self, plan: LoadPlan) -> None:
         """Put the landed table in the target's place, in one transaction."""
-        if plan.mode == "overwrite":
-            name = quote_identifier(plan.table.split(".")[-1])
-            self._run(
-                f"DROP TABLE IF EXISTS {quote_table(plan.table)}",
-                f"ALTER TABLE {quote_table(plan.landing)} RENAME TO {name}",
+        if plan.mode == "append":
+            return
+        name = quote_identifier(plan.table.split(".")[-1])
+        ledger = quote_table(self.ledger_table(plan.table))
+        with self._transaction() as cur:
+            cur.execute(f"DROP TABLE IF EXISTS {quote_table(plan.table)}")
+            cur.execute(f"ALTER TABLE {quote_table(plan.landing)} RENAME TO {name}")
+            cur.execute(
+                f"UPDATE {ledger} SET status = '{PUBLISHED}' WHERE load_id = %s AND batch_id = %s",
+                (plan.load_id, PLAN_ENTRY),
             )
 
     def ledger(self, spark: SparkSession, plan: LoadPlan, jdbc: Mapping[str, str]) -> DataFrame:
@@ -132,7 +185,7 @@ class PostgresTarget:
         load_id = plan.load_id.replace("'", "''")
         query = (
             "(SELECT batch_id, row_count, status, message, finished_at "
-            f"FROM {quote_table(self.ledger_table(plan.table))} WHERE load_id = '{load_id}') batches"
+            f"FROM {quote_table(self.ledger_table(plan.table))} WHERE load_id = '{load_id}' AND batch_id >= 0) batches"
         )
         read = spark.read.format("jdbc").options(**jdbc).option("dbtable", query).load()
         return read.withColumnRenamed("row_count", "rows")
@@ -220,6 +273,14 @@ class FolderTarget:
         for folder in (self._folder(plan), self._ledger_folder(plan)):
             fs, place = FileSystem.from_uri(folder)
             fs.create_dir(place, recursive=True)
+        # Spark does not read files whose names begin like this.
+        record = self._ledger_folder(plan) + "/_batches.txt"
+        known = _read(record)
+        if known is None:
+            fs, place = FileSystem.from_uri(record)
+            _put(fs, place, io.BytesIO(plan.batches.encode()))
+        else:
+            check_batches(plan, known.decode())
 
     def open(self, plan: LoadPlan) -> _FolderTask:
         return _FolderTask(self._folder(plan), self._ledger_folder(plan))
@@ -229,11 +290,7 @@ class FolderTarget:
 
     def loads(self, table: str) -> list[str]:
         """The ids of the loads that make up ``table``."""
-        fs, place = FileSystem.from_uri(self._listing(table))
-        if fs.get_file_info(place).type == FileType.NotFound:
-            return []
-        with fs.open_input_stream(place) as file:
-            return json.loads(file.read())
+        return json.loads(_read(self._listing(table)) or b"[]")
 
     def publish(self, plan: LoadPlan) -> None:
         before = self.loads(plan.table) if plan.mode == "append" else []
@@ -247,6 +304,14 @@ class FolderTarget:
         return spark.read.schema(LEDGER_SCHEMA).json(self._ledger_folder(plan))
 
 
+def _read(uri: str) -> bytes | None:
+    fs, place = FileSystem.from_uri(uri)
+    if fs.get_file_info(place).type == FileType.NotFound:
+        return None
+    with fs.open_input_stream(place) as file:
+        return file.read()
+
+
 def _put(fs: FileSystem, path: str, data: BinaryIO) -> None:
     """Write a file that appears whole or not at all."""
     folder, _, name = path.rpartition("/")
