@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidehaul.functions.typemap import JSON_OPTIONS, is_nested, ref, to_target
+from tidehaul.functions.typemap import JSON_OPTIONS, is_nested, ref, sql_name, to_target
 
 NULL_MODES = ("lossless", "merge")
-NUL = "\u0000"
 # A NUL character inside JSON text: an escape whose backslash is not itself escaped.
 JSON_NUL = r"(?<!\\)(?:\\\\)*\\u0000"
 
@@ -27,20 +25,19 @@ PLAIN = (
 )
 
 
-def _field(value: Column, data_type: T.DataType, null_mode: str, alone: bool) -> Column:
+def _field(value: str, data_type: T.DataType, null_mode: str, alone: bool) -> str:
+    """SQL for one field of the line; ``value`` is a column in its target type."""
     if isinstance(data_type, PLAIN):
-        return F.coalesce(value.cast("string"), F.lit(""))
-    special = (
-        value.contains('"') | value.contains(",") | value.contains("\n") | value.contains("\r")
-    )
+        return f"coalesce(cast({value} AS STRING), '')"
+    special = [f"contains({value}, {c})" for c in ("'\"'", "','", "char(10)", "char(13)")]
     if alone:
         # By itself on a line this would end the data.
-        special = special | (value == "\\.")
-    quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
-    text = F.when(value.isNull(), F.lit("")).when(special, quoted)
-    if null_mode == "lossless":
-        text = text.when(value == "", F.lit('""'))
-    return text.otherwise(value)
+        special.append(f"{value} = r'\\.'")
+    empty = f"WHEN {value} = '' THEN '\"\"' " if null_mode == "lossless" else ""
+    quoted = f"concat('\"', replace({value}, '\"', '\"\"'), '\"')"
+    return (
+        f"CASE WHEN {value} IS NULL THEN '' WHEN {' OR '.join(special)} THEN {quoted} {empty}ELSE {value} END"
+    )
 
 
 def encode_copy_rows(
@@ -63,16 +60,14 @@ def encode_copy_rows(
     carried = [c for c in carry if isinstance(c, str)]
     names = list(columns) if columns is not None else [n for n in df.columns if n not in carried]
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    kept = [ref(c).alias(c) if isinstance(c, str) else c for c in carry]
+    kept = [ref(c) if isinstance(c, str) else c for c in carry]
     # The target values get their own projection, so that a JSON value is
     # made once although the quoting rule looks at it several times.
-    values = [to_target(ref(n), kinds[n]).alias(f"__field_{i}") for i, n in enumerate(names)]
+    values = [F.expr(f"{to_target(n, kinds[n])} AS __field_{i}") for i, n in enumerate(names)]
     staged = df.select(*kept, *values)
-    fields = [
-        _field(F.col(f"__field_{i}"), kinds[n], null_mode, len(names) == 1) for i, n in enumerate(names)
-    ]
-    passed = [ref(n) for n in staged.columns if not n.startswith("__field_")]
-    return staged.select(*passed, F.concat_ws(",", *fields).alias(line))
+    fields = [_field(f"__field_{i}", kinds[n], null_mode, len(names) == 1) for i, n in enumerate(names)]
+    passed = [sql_name(n) for n in staged.columns if not n.startswith("__field_")]
+    return staged.selectExpr(*passed, f"concat_ws(',', {', '.join(fields)}) AS {sql_name(line)}")
 
 
 def _holds_text(data_type: T.DataType) -> bool:
@@ -102,18 +97,13 @@ def rejected(
     names = schema.fieldNames() if columns is None else columns
     rules = []
     for field in (schema[n] for n in names):
-        col = ref(field.name)
         if isinstance(field.dataType, T.StringType):
-            rules.append(col.contains(NUL))
+            rules.append(f"contains({sql_name(field.name)}, char(0))")
         elif (is_nested(field.dataType) or isinstance(field.dataType, T.VariantType)) and _holds_text(field.dataType):
-            text = to_target(col, field.dataType)
-            rules.append(text.rlike(JSON_NUL))
-    rules += [ref(n).isNull() for n in not_null]
-    if check is not None:
-        rules.append(check)
-    if not rules:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [F.coalesce(r, F.lit(False)) for r in rules])
+            rules.append(f"rlike({to_target(field.name, field.dataType)}, r'{JSON_NUL}')")
+    rules += [f"{sql_name(n)} IS NULL" for n in not_null]
+    found = F.expr(" OR ".join(f"coalesce({rule}, false)" for rule in rules) or "false")
+    return found if check is None else found | F.coalesce(check, F.lit(False))
 
 
 def _open(data_type: T.DataType, text_keys: bool) -> T.DataType:
@@ -128,19 +118,20 @@ def _open(data_type: T.DataType, text_keys: bool) -> T.DataType:
     return data_type
 
 
-def from_target(col: Column, data_type: T.DataType) -> Column:
+def from_target(name: str, data_type: T.DataType) -> Column:
     """The source value of a field's text."""
+    col = sql_name(name)
     if is_nested(data_type):
-        return F.from_json(col, _open(data_type, True), JSON_OPTIONS).cast(_open(data_type, False))
+        return F.from_json(F.col(col), _open(data_type, True), JSON_OPTIONS).cast(_open(data_type, False))
     if isinstance(data_type, T.BinaryType):
-        return F.unhex(F.substring(col, 3, 2**31 - 1))
+        return F.expr(f"unhex(substring({col}, 3))")
     if isinstance(data_type, T.TimestampType):
-        return F.concat(col, F.lit("Z")).cast(data_type)
+        return F.expr(f"cast(concat({col}, 'Z') AS TIMESTAMP)")
     if isinstance(data_type, T.VariantType):
-        return F.parse_json(col)
-    return col.cast(data_type)
+        return F.expr(f"parse_json({col})")
+    return F.expr(f"cast({col} AS {data_type.simpleString()})")
 
 
 def read_back(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns, in ``schema`` order, as values of the source types."""
-    return df.select(*[from_target(ref(f.name), f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[from_target(f.name, f.dataType).alias(f.name) for f in schema.fields])

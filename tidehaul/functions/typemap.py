@@ -44,14 +44,27 @@ class TargetColumn:
     target_type: str
 
 
+def sql_name(name: str) -> str:
+    """A column's exact name, dots and backticks included, as SQL text.
+
+    Expressions over all columns of a table are put together as SQL text and
+    parsed once, as one call per function and column would take the driver
+    seconds on a wide table.
+    """
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 def ref(name: str) -> Column:
-    """A column by its exact name, dots and backticks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
 
 
 def whole_div(name: str, divisor: int) -> Column:
     """Integer division of a column; never passes through a double."""
-    return F.expr("cast(`" + name.replace("`", "``") + f"` as bigint) div {divisor}L")
+    return F.expr(f"cast({sql_name(name)} as bigint) div {divisor}L")
 
 
 def is_nested(data_type: T.DataType) -> bool:
@@ -85,19 +98,21 @@ def target_columns(schema: T.StructType) -> list[TargetColumn]:
     ]
 
 
-def to_target(col: Column, data_type: T.DataType) -> Column:
-    """``col`` cast to a type that the sinks can store as it is."""
+def to_target(name: str, data_type: T.DataType) -> str:
+    """SQL for the column ``name`` in a type that the sinks can store as it is."""
+    col = sql_name(name)
     if is_nested(data_type):
-        return F.to_json(col, JSON_OPTIONS)
+        options = ", ".join(f"{sql_text(k)}, {sql_text(v)}" for k, v in JSON_OPTIONS.items())
+        return f"to_json({col}, map({options}))"
     if isinstance(data_type, T.BinaryType):
-        return F.concat(F.lit("\\x"), F.hex(col))
+        return f"concat(r'\\x', hex({col}))"
     if isinstance(data_type, T.TimestampType):
         # The UTC wall clock of the instant, whatever the session time zone is.
-        return F.timestamp_add("MICROSECOND", F.unix_micros(col), F.lit("1970-01-01").cast("timestamp_ntz"))
+        return f"timestampadd(MICROSECOND, unix_micros({col}), TIMESTAMP_NTZ'1970-01-01 00:00:00')"
     if isinstance(data_type, T.VariantType):
-        return F.to_json(col)
+        return f"to_json({col})"
     if _known(data_type) is None or isinstance(data_type, T.StringType):
-        return col.cast("string")
+        return f"cast({col} AS STRING)"
     return col
 
 
@@ -107,14 +122,14 @@ def project_to_target(df: DataFrame) -> DataFrame:
     Nested values and variants become JSON text, binary ``\\x`` hex text,
     instants their UTC wall clock, and types without a target plain text.
     """
-    return df.select(*[to_target(ref(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
+    return df.selectExpr(*[f"{to_target(f.name, f.dataType)} AS {sql_name(f.name)}" for f in df.schema.fields])
 
 
 def nested_to_json(df: DataFrame) -> DataFrame:
     """Array, map and struct columns as JSON text; all others as they are."""
-    return df.select(
+    return df.selectExpr(
         *[
-            (to_target(ref(f.name), f.dataType) if is_nested(f.dataType) else ref(f.name)).alias(f.name)
+            f"{to_target(f.name, f.dataType) if is_nested(f.dataType) else sql_name(f.name)} AS {sql_name(f.name)}"
             for f in df.schema.fields
         ]
     )

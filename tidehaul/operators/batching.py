@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidehaul.functions.typemap import ref, whole_div
+from tidehaul.functions.typemap import ref, sql_name, whole_div
 from tidehaul.session import parallel_tasks, scratch_path, written
 from tidehaul.sources.parquet import FILE_COL, ROW_COL, row_count
 
@@ -119,10 +119,10 @@ def batch_within_partition(
     _check_size(batch_size)
     numbered = df.withColumn("__id", F.monotonically_increasing_id())
     # The id holds the partition in its upper bits, the row's index in the lower 33.
-    return numbered.select(
-        *[ref(c) for c in df.columns],
-        F.shiftright("__id", 33).cast("int").alias(part),
-        F.expr(f"(`__id` & {(1 << 33) - 1}L) div {batch_size}L").alias(batch),
+    return numbered.selectExpr(
+        *[sql_name(c) for c in df.columns],
+        f"cast(shiftright(`__id`, 33) AS INT) AS {sql_name(part)}",
+        f"(`__id` & {(1 << 33) - 1}L) div {batch_size}L AS {sql_name(batch)}",
     )
 
 
@@ -137,8 +137,8 @@ def _content(df: DataFrame) -> list[str]:
 
 
 def _with_batch(placed: DataFrame, index: str, columns: list[str], batch_size: int, batch: str) -> DataFrame:
-    numbered = placed.withColumn("__position", F.col("__offset") + F.col(index))
-    return numbered.select(*[ref(c) for c in columns], whole_div("__position", batch_size).alias(batch))
+    number = f"(`__offset` + `{index}`) div {batch_size}L AS {sql_name(batch)}"
+    return placed.selectExpr(*[sql_name(c) for c in columns], number)
 
 
 def batch_by_position(
@@ -257,13 +257,13 @@ def _number_sorted_files(
     """
     parts = max(1, min(-(-row_count(df) // rows_per_range), max_ranges, MAX_PARTITIONS))
     ties = _source_order(df) or [F.monotonically_increasing_id()]
-    tied = df.select(*[ref(c) for c in df.columns], *[t.alias(f"__tie_{i}") for i, t in enumerate(ties)])
+    tied = df.select("*", *[t.alias(f"__tie_{i}") for i, t in enumerate(ties)])
     order = [ref(k).asc_nulls_last() for k in names] + [F.col(f"__tie_{i}") for i in range(len(ties))]
     path = scratch_path(df.sparkSession, "sorted")
     (
         tied.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .select(*[ref(c) for c in _content(df)], F.spark_partition_id().alias("__range"))
+        .selectExpr(*[sql_name(c) for c in _content(df)], "spark_partition_id() AS __range")
         .write.option("maxRecordsPerFile", 0)
         .parquet(path)
     )

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidehaul.functions.encode import NUL
-from tidehaul.functions.typemap import ref, target_columns
+from tidehaul.functions.typemap import TargetColumn, sql_name, target_columns
 
 MEASURES = ("null_count", "empty_count", "max_length", "nul_count", "nan_count")
 
 
-def _measures(field: T.StructField) -> list:
-    col = ref(field.name)
+def _measures(field: T.StructField) -> str:
+    """SQL for a struct of the measures of one column."""
+    col = sql_name(field.name)
     text = isinstance(field.dataType, T.StringType)
     floating = isinstance(field.dataType, (T.FloatType, T.DoubleType))
-    nothing = F.lit(0).cast("bigint")
-    return [
-        F.count(F.when(col.isNull(), F.lit(1))),
-        F.count(F.when(col == "", F.lit(1))) if text else nothing,
-        F.coalesce(F.max(F.length(col)), F.lit(0)).cast("bigint") if text else nothing,
-        F.count(F.when(col.contains(NUL), F.lit(1))) if text else nothing,
-        F.count(F.when(F.isnan(col), F.lit(1))) if floating else nothing,
-    ]
+    sql = {
+        "null_count": f"count_if({col} IS NULL)",
+        "empty_count": f"count_if({col} = '')" if text else "0L",
+        "max_length": f"cast(coalesce(max(length({col})), 0) AS BIGINT)" if text else "0L",
+        "nul_count": f"count_if(contains({col}, char(0)))" if text else "0L",
+        "nan_count": f"count_if(isnan({col}))" if floating else "0L",
+    }
+    return "named_struct(" + ", ".join(f"'{m}', {sql[m]}" for m in MEASURES) + ")"
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
@@ -34,23 +34,19 @@ def profile_columns(df: DataFrame) -> DataFrame:
     measured in one aggregate, which meets as one row per task.
     """
     columns = target_columns(df.schema)
-    fields = df.schema.fields
     totals = df.agg(
         *[
-            F.struct(*[m.alias(n) for m, n in zip(_measures(f), MEASURES, strict=True)]).alias(f"c{c.position}")
-            for f, c in zip(fields, columns, strict=True)
+            F.expr(f"{_measures(f)} AS c{c.position}") for f, c in zip(df.schema.fields, columns, strict=True)
         ]
     )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(c.position).alias("position"),
-                F.lit(c.name).alias("column_name"),
-                F.lit(c.source_type).alias("source_type"),
-                F.lit(c.target_type).alias("target_type"),
-                *[F.col(f"c{c.position}.{n}").alias(n) for n in MEASURES],
-            )
-            for c in columns
-        ]
+    return totals.select(F.inline(F.array(*[_entry(c) for c in columns])))
+
+
+def _entry(column: TargetColumn) -> Column:
+    return F.struct(
+        F.lit(column.position).alias("position"),
+        F.lit(column.name).alias("column_name"),
+        F.lit(column.source_type).alias("source_type"),
+        F.lit(column.target_type).alias("target_type"),
+        F.expr(f"c{column.position}.*"),
     )
-    return totals.select(F.inline(entries))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidehaul.functions.typemap import ref, target_columns
+from tidehaul.functions.typemap import ref, sql_name, target_columns
 
 
 class CountMismatch(RuntimeError):
@@ -39,7 +39,7 @@ def require_match(reconciled: DataFrame) -> None:
 def _filled(df: DataFrame, side: str) -> DataFrame:
     """One row per column with its position, target type and non-null count."""
     columns = target_columns(df.schema)
-    counts = df.agg(*[F.count(ref(c.name)).alias(f"c{c.position}") for c in columns])
+    counts = df.selectExpr(*[f"count({sql_name(c.name)}) AS c{c.position}" for c in columns])
     entries = F.array(
         *[
             F.struct(

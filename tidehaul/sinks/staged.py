@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidehaul.functions.encode import NUL, read_back
+from tidehaul.functions.encode import read_back
 from tidehaul.functions.typemap import ref, whole_div
 
 RANGE_COL = "batch_range"
@@ -21,7 +21,7 @@ READ_OPTIONS = {
     "lineSep": "\n",
     "multiLine": "true",
     "emptyValue": "",
-    "nullValue": NUL,
+    "nullValue": "\u0000",
     "mode": "FAILFAST",
 }
 
