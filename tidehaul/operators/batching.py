@@ -97,12 +97,14 @@ def co_locate_batches(
 ) -> DataFrame:
     """Each batch whole in one partition, its rows next to each other.
 
-    The partition is the batch number itself, not its hash, so no partition
-    gets two batches while another gets none.
+    ``batches`` is how many there are, numbered from 0. The partition is the
+    batch number itself, not its hash, so no partition gets two batches while
+    another gets none. Only partitions that have to hold several are sorted.
     """
     n = max(min(batches, max_partitions), 1)
     target = F.pmod(F.coalesce(ref(batch), F.lit(0)), F.lit(n)).cast("int")
-    return df.repartitionById(n, target).sortWithinPartitions(ref(batch))
+    placed = df.repartitionById(n, target)
+    return placed if n >= batches else placed.sortWithinPartitions(ref(batch))
 
 
 # -- batches -----------------------------------------------------------------

@@ -27,7 +27,7 @@ from tidehaul.operators.batching import (
 from tidehaul.operators.isolate import LOADED
 from tidehaul.operators.verify import CountMismatch
 from tidehaul.session import ship_package
-from tidehaul.sources.parquet import FILE_COL, ROW_COL, row_count
+from tidehaul.sources.parquet import FILE_COL, ROW_COL
 from tidehaul.sinks.targets import LoadPlan, plan_load, resolve
 
 FORMAT = "tidehaul_copy"
@@ -147,7 +147,7 @@ class CopySource(DataSource):
         return CopyWriter(self.options)
 
 
-def _batched(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> DataFrame:
+def _batched(df: DataFrame, batch_size: int, layout: str | Sequence[str], rows: int) -> DataFrame:
     """``df`` with a ``__batch`` column, each batch whole in one partition."""
     if layout == "partition":
         parts = batch_within_partition(df, batch_size, part="__part", batch="__no")
@@ -158,12 +158,13 @@ def _batched(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> Dat
         numbered = batch_by_position(df, batch_size, batch="__batch")
     else:
         numbered = batch_global(df, layout, batch_size, batch="__batch")
-    return co_locate_batches(numbered, batches=partition_count(row_count(df), batch_size), batch="__batch")
+    return co_locate_batches(numbered, batches=partition_count(rows, batch_size), batch="__batch")
 
 
-def _cut(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> str:
-    """How the batches are cut: equal for two runs only if their batches hold the same rows.
+def _cut(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> tuple[int, str]:
+    """All rows, and how the batches are cut.
 
+    The text is equal for two runs only if their batches hold the same rows.
     Reads row counts, or the keys where batches are in key order.
     """
     placed = ROW_COL in df.columns
@@ -176,7 +177,8 @@ def _cut(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> str:
         keys = [layout] if isinstance(layout, str) else list(layout)
         pieces = df.select(*[ref(k) for k in keys], F.lit(1).alias("rows"))
     row = pieces.agg(F.sum("rows"), F.bit_xor(F.xxhash64(*[ref(c) for c in pieces.columns]))).first()
-    return json.dumps({"layout": layout, "batch_size": batch_size, "rows": row[0] or 0, "hash": row[1]})
+    rows = row[0] or 0
+    return rows, json.dumps({"layout": layout, "batch_size": batch_size, "rows": rows, "hash": row[1]})
 
 
 def load_copy(
@@ -224,8 +226,9 @@ def load_copy(
         layout = "position" if ROW_COL in df.columns and is_lopsided(df, batch_size) else "partition"
     if layout == "partition" and max_connections:
         df = df.coalesce(max_connections)
-    plan = plan_load(schema, table, mode, load_id, tuple(not_null), _cut(df, batch_size, layout))
-    batched = _batched(df, batch_size, layout)
+    rows, cut = _cut(df, batch_size, layout)
+    plan = plan_load(schema, table, mode, load_id, tuple(not_null), cut)
+    batched = _batched(df, batch_size, layout, rows)
     refused = rejected(schema, not_null=not_null, check=check)
     lines = encode_copy_rows(
         batched,
