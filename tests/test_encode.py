@@ -2,6 +2,7 @@
 
 import csv
 import io
+import random
 import warnings
 from datetime import date, datetime
 from decimal import Decimal
@@ -282,3 +283,20 @@ def test_no_warning_for_known_types(spark):
     with warnings.catch_warnings():
         warnings.simplefilter("error")
         create_table_statement(schema_of(*TARGETS), "t")
+
+
+def test_random_text_comes_back(spark):
+    """Fields drawn from the characters that the line format treats in a special way."""
+    draw = random.Random(7)
+    alphabet = ['"', ",", "\n", "\r", "\\", ".", "N", " ", "\t", "'", "a", "ß", "語", "😀", " ", "﻿"]
+
+    def text():
+        if draw.random() < 0.1:
+            return None
+        return "".join(draw.choice(alphabet) for _ in range(draw.randint(0, 8)))
+
+    rows = [(i, text(), text(), [text(), text()]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id int, a string, b string, c array<string>").repartition(5)
+    assert_same(df, round_trip(spark, df))
+    merged = round_trip(spark, df, null_mode="merge")
+    assert_same(df.select("id", F.expr("nullif(a, '')").alias("a"), F.expr("nullif(b, '')").alias("b"), "c"), merged)
