@@ -149,12 +149,12 @@ def q_batch_by_position(spark, sf_dir):
 
 
 def q_batch_global(spark, sf_dir):
-    batched = batch_global(_scan(spark, sf_dir, "orders"), "o_orderkey", BATCH, rows_per_range=RANGE)
+    batched = batch_global(_scan(spark, sf_dir, "orders"), "o_orderkey", BATCH, unique=True, rows_per_range=RANGE)
     return batched.select("o_orderkey", "batch_id")
 
 
 def q_batch_global_events(spark, sf_dir):
-    batched = batch_global(_scan(spark, sf_dir, "events"), "event_id", BATCH, rows_per_range=RANGE)
+    batched = batch_global(_scan(spark, sf_dir, "events"), "event_id", BATCH, unique=True, rows_per_range=RANGE)
     return batched.select("event_id", "batch_id")
 
 

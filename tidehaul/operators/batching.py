@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidehaul.functions.typemap import ref, sql_name, whole_div
+from tidehaul.functions.typemap import is_nested, ref, sql_name, to_target, whole_div
 from tidehaul.session import parallel_tasks, scratch_path, written
 from tidehaul.sources.parquet import FILE_COL, ROW_COL, row_count
 
@@ -195,6 +195,7 @@ def batch_global(
     batch_size: int,
     *,
     batch: str = "batch_id",
+    unique: bool = False,
     rows_per_range: int = 1_000_000,
     max_ranges: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
@@ -208,7 +209,9 @@ def batch_global(
     hot value or many copies of one row.
 
     The key need not be unique. Equal keys are kept in source order if ``df``
-    was scanned with ``position=True``; otherwise their order is open.
+    was scanned with ``position=True``, and else are told apart by a hash of the
+    row; ``unique`` says that neither is needed, so that only the key is read
+    where no other column is asked for. ``df`` is a scan or a stored table.
     """
     _check_size(batch_size)
     names = [keys] if isinstance(keys, str) else list(keys)
@@ -226,7 +229,7 @@ def batch_global(
         counts = written(tagged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")), "ranges")
         largest = counts.agg(F.max("__rows")).first()[0] or 0
         if largest <= 4 * max(rows_per_range, -(-n // ranges)):
-            return _number_in_ranges(tagged, counts, names, batch_size, batch, ranges)
+            return _number_in_ranges(tagged, counts, names, batch_size, batch, ranges, unique)
     return _number_sorted_files(df, names, batch_size, batch, rows_per_range, max_ranges)
 
 
@@ -236,10 +239,28 @@ def _source_order(df: DataFrame) -> list[Column]:
     return []
 
 
+def _content_hash(df: DataFrame) -> Column:
+    """Equal for equal rows. Nested values are hashed as JSON, as maps have no hash."""
+    values = [
+        to_target(f.name, f.dataType) if is_nested(f.dataType) or isinstance(f.dataType, T.VariantType) else sql_name(f.name)
+        for f in df.schema.fields
+    ]
+    return F.expr(f"xxhash64({', '.join(values)})")
+
+
 def _number_in_ranges(
-    tagged: DataFrame, counts: DataFrame, names: list[str], batch_size: int, batch: str, ranges: int
+    tagged: DataFrame,
+    counts: DataFrame,
+    names: list[str],
+    batch_size: int,
+    batch: str,
+    ranges: int,
+    unique: bool,
 ) -> DataFrame:
-    order = [ref(k).asc_nulls_last() for k in names] + _source_order(tagged)
+    # A task that runs again must number its rows as before, or a row could be
+    # in two batches and another in none. So equal keys get an order of their own.
+    ties = [] if unique else _source_order(tagged) or [_content_hash(tagged)]
+    order = [ref(k).asc_nulls_last() for k in names] + ties
     numbered = tagged.repartition(min(ranges, MAX_PARTITIONS), "__range").withColumn(
         "__index", F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1
     )
