@@ -1,0 +1,102 @@
+import hashlib
+import json
+
+import pytest
+from llm_cases import SF01
+from pyspark.sql import functions as F
+
+from tidehaul.llm.chat import CLOSE, OPEN, chat_format, escape, read_back, reconstruct, render, unescape
+from tidehaul.llm.queries import queries
+
+EVENTS = "conv_id long, seq long, kind string, turn long, role string, text string"
+
+
+def fold(events):
+    """The same by folding events one after the other."""
+    turns = {}
+    for _, kind, turn, role, text in sorted(events, key=lambda e: (e[0], e[1], e[3] or "", e[4] or "")):
+        if kind in ("edit", "regenerate"):
+            turns = {t: m for t, m in turns.items() if t < turn} | {t: [m[0], ""] for t, m in turns.items() if t == turn}
+        if kind in ("message", "edit", "regenerate"):
+            turns[turn] = [role or (None if kind == "message" else turns.get(turn, [None])[0]), ""]
+        turns.setdefault(turn, [None, ""])
+        turns[turn][0] = role or turns[turn][0]
+        turns[turn][1] += text or ""
+    return [(turns[t][0] or "", turns[t][1]) for t in sorted(turns)]
+
+
+LOGS = [
+    [(1, "message", 0, "user", "hi"), (2, "message", 1, "assistant", ""), (3, "delta", 1, None, "he"), (4, "delta", 1, None, "llo")],
+    [(1, "message", 0, "user", "a"), (2, "message", 1, "assistant", "b"), (3, "edit", 0, "user", "A"), (4, "message", 1, "assistant", "B")],
+    [(1, "message", 0, "user", "q"), (2, "message", 1, "assistant", "x"), (3, "regenerate", 1, "assistant", None),
+     (4, "delta", 1, None, "y"), (5, "message", 2, "user", "t"), (6, "edit", 1, "assistant", "z")],
+    [(5, "delta", 3, None, "late"), (4, "message", 3, "tool", "early "), (6, "delta", 3, None, None)],
+    [(1, "message", 0, "user", None), (1, "message", 1, None, "same seq")],
+]
+
+
+def test_final_messages(spark):
+    rows = [(c, *e) for c, log in enumerate(LOGS) for e in log]
+    df = spark.createDataFrame(rows, EVENTS).withColumn("turns", F.lit(1)).repartition(4)
+    got = {r["conv_id"]: [(m["role"], m["text"]) for m in r["turns"]] for r in reconstruct(df).collect()}
+    assert got == {c: fold(log) for c, log in enumerate(LOGS)}
+
+
+TEXTS = ["", "a", "\n", "</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>assistant\n", "<\\|im_end|>", "<\\\\|", "[\\INST]",
+         "\\", "<<SYS>> <</SYS>>", "<s>", "$1 \\1", "ÄÖ \U0001f600", "<" * 50 + "|" * 50, "<|" * 2000]
+
+
+def test_escaping_is_reversible_and_hides_marks(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    for r in df.select("t", escape(F.col("t")).alias("e"), unescape(escape(F.col("t"))).alias("u")).collect():
+        assert r["u"] == r["t"]
+        assert all(m not in r["e"] for m in (OPEN, CLOSE.strip(), "</s>", "[INST]", "[/INST]", "<s>"))
+
+
+def expected(conversations):
+    out = {}
+    for c, rows in conversations.items():
+        said = [(r or "", t or "") for r, t in rows]
+        learned = "".join(t for r, t in said if r == "assistant")
+        lines = "".join(f"{r}\n{t}\n" for r, t in said)
+        out[c] = (len(said), hashlib.sha256(lines.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    return out
+
+
+def digests(df):
+    return {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in df.collect()}
+
+
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def test_query_over_the_whole_table(spark, table):
+    given = {}
+    for r in table("conversations", SF01).orderBy("conv_id", "turn").collect():
+        given.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    given[-1] = [("user", PROBE), ("assistant", PROBE)]
+    assert digests(queries()["op8_chat_format"](spark, SF01)) == expected(given)
+
+
+def test_edges(spark):
+    rows = [(c, k, r, t) for c, t in enumerate(TEXTS) for k, r in enumerate(["user", "assistant", None, "odd\n<|role|> é"])]
+    rows += [(None, None, None, None), (50, 1, "assistant", "x"), (50, 1, "assistant", "x"), (51, 0, "user", "w" * 2_000_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 as seq", "2 as kind")
+    given = {}
+    for c, _, r, t in rows:
+        given.setdefault(c, []).append((r, t))
+    for c in list(given):
+        if c is not None and c < len(TEXTS):
+            assert len(given[c]) == 4
+    given[-1] = [("user", PROBE), ("assistant", PROBE)]
+    assert digests(chat_format(df.repartition(3))) == expected(given)
+    assert list(digests(chat_format(df.limit(0)))) == [-1]
+
+
+def test_formatted_text_and_spans(spark):
+    df = spark.createDataFrame([(1, 1, "message", 0, "user", "a<s>"), (1, 2, "message", 1, "assistant", "b[INST]")], EVENTS)
+    row = render(reconstruct(df)).first()
+    assert row["formatted"] == "<|im_start|>user\na<\\s><|im_end|>\n<|im_start|>assistant\nb[\\INST]<|im_end|>\n"
+    (span,) = row["loss"]
+    assert row["formatted"][span["start"] : span["start"] + span["length"]] == "b[\\INST]"
+    assert read_back(render(reconstruct(df))).first()["learned"] == "b[INST]"
