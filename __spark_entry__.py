@@ -6,6 +6,7 @@ at the default of 100,000 rows a small table would be a single batch.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 import tempfile
@@ -46,6 +47,16 @@ from tidehaul.sinks import (
 )
 from tidehaul.sources import scan_source, source_row_count
 
+# Operators for training data and their pipeline can be taken out as a whole.
+_OPTIONAL = ("tidehaul.llm", "tidehaul.llm.queries", "corpus_pipeline")
+_more: list = []
+for _name in _OPTIONAL[1:]:
+    try:
+        _more.append(importlib.import_module(_name))
+    except ModuleNotFoundError as missing:
+        if missing.name not in _OPTIONAL:
+            raise
+
 BATCH = 1000
 RANGE = 4096
 PARTITION = 7000
@@ -355,6 +366,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reconcile_counts": q_reconcile_counts,
         "bulk_load": q_bulk_load,
         "bulk_load_by_key": q_bulk_load_by_key,
+        **{k: q for m in _more for k, q in m.queries().items()},
     }
 
 
@@ -539,4 +551,5 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bulk_load": ledger,
         "bulk_load_by_key": ledger,
+        **{k: sql for m in _more for k, sql in m.oracle_sql().items()},
     }
