@@ -1,0 +1,72 @@
+import pytest
+
+from tidehaul.llm.html_text import blocks_of, classify, extract_main_text, grow_tree, labelled_table, main_text
+from tidehaul.llm.queries import queries
+
+TREE = grow_tree(*labelled_table())
+PROSE = "The river ran past the old mill and on to the sea, and nobody in the village had ever asked where it began. " * 2
+PROSE = PROSE.strip()
+
+PAGES = {
+    "article": (f"<nav><a href=/>Home</a></nav><article><h1>A &amp; B</h1><p>{PROSE}</p><p>So.</p></article><footer>c 2020</footer>", f"A & B {PROSE} So."),
+    "sections": (
+        f"<body><header><h1>Site</h1><ul class='menu'><li>One</li></ul></header><div id='cookie-notice'><p>We use cookies to "
+        f"make this site work for you.</p></div><main><h2>Title</h2><p>{PROSE}<aside>Read <a href=x>this</a></aside><p>End</main>"
+        f"<div class=sidebar>{PROSE}</div><section id=comments><article><p>I liked it. {PROSE}</p></article></section>"
+        f"<form><label>Mail</label><input></form>", f"Title {PROSE} End"),
+    "no article": (f"<div><a href=/>x</a> <a href=/>y</a></div><div><h1>Head line here</h1><p>{PROSE}</p><p>{PROSE}</p></div><div><a href=/>z</a></div>",
+                   f"Head line here {PROSE} {PROSE}"),
+    "inline": ("<article><p>fo<b>o</b><i>bar</i> a<br>b &eacute;&#233;&#xe9; &lt;p&gt;\n\t x&nbsp;y</p></article>", "foobar a b ééé <p> x y"),
+    "scripts": (f"<article><script>var t='<p>no</p></article>';</script><style>p{{}}</style><p>{PROSE}<!-- <p>no</p> --></p></article>", PROSE),
+    "quotes in tags": (f"<article><p title='a > b' data-x=\"</article>\">{PROSE}</p></article>", PROSE),
+    "cut off": (f"<article><p>{PROSE} AT&am", f"{PROSE} AT&am"),
+    "cut off tag": (f"<article><p>{PROSE}</p><p cla", PROSE),
+    "cut off script": (f"<article><p>{PROSE}</p><script>x", PROSE),
+    "unclosed menu": (f"<nav><ul><li><a href=/>Home</a><article><p>{PROSE}</p></article>", PROSE),
+    "empty": ("", ""),
+    "only tags": ("<html><body><div></div></body></html>", ""),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_pages(name):
+    page, want = PAGES[name]
+    assert main_text(page, TREE) == want
+
+
+def test_tree_fits_its_table():
+    x, y = labelled_table()
+    assert len(y) > 50 and (classify(TREE, x) == y.astype(bool)).all()
+
+
+def test_blocks_know_links_and_containers():
+    blocks = blocks_of("<p>one <a href=/>two three</a></p><nav><p>four</p></nav><article>five</article>")
+    assert [(b.text, b.words, round(b.link_density, 2), b.state) for b in blocks] == [
+        ("one two three", 3, 0.67, 0), ("four", 1, 0.0, -1), ("five", 1, 0.0, 1)]
+
+
+def test_query_over_the_whole_table(spark, table):
+    """The tables' pages have one plain form, so the article can be cut out by its tags."""
+    import html
+    import re
+
+    sf = "/root/testdata/sf0.1"
+    pages = {r["page_id"]: r for r in table("pages", sf).collect()}
+    out = queries()["op7_main_text"](spark, sf).collect()
+    assert {r["page_id"] for r in out} == set(pages) and len(out) == len(pages)
+    for r in out:
+        inner = re.search(r"<article>(.*?)(?:</article>|<footer>|\Z)", pages[r["page_id"]]["html"], re.S)[1]
+        inner = re.sub(r"<[^>]*>?", "", re.sub(r"</?(?:p|h1|br)\b[^>]*>", " ", inner))
+        assert r["text"] == " ".join(html.unescape(inner).split()) and r["n_chars"] == len(r["text"])
+        assert r["url"] == pages[r["page_id"]]["url"]
+
+
+def test_edges(spark):
+    rows = [(1, None, None), (2, "u", ""), (None, "u", "<p>x</p>"), (3, "u", f"<article>{'<p>word</p>' * 50_000}</article>"),
+            (4, "u", "<" * 100_000), (5, "u", "<a " * 20_000), (1, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
+    got = extract_main_text(df.repartition(3)).collect()
+    assert len(got) == len(rows)
+    by = {r["page_id"]: r for r in got}
+    assert by[1]["text"] == "" and by[2]["n_chars"] == 0 and by[3]["n_chars"] == 5 * 50_000 - 1
+    assert extract_main_text(df.limit(0)).collect() == []

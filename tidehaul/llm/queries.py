@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidehaul.llm.chat import chat_format
+from tidehaul.llm.fingerprints import edited_fingerprints
+from tidehaul.llm.html_text import extract_main_text
 from tidehaul.llm.minhash import near_duplicates
 from tidehaul.llm.mixing import document_mix
 from tidehaul.llm.shards import document_shards
+from tidehaul.llm.toxicity import document_toxicity
+from tidehaul.llm.tokens import read_vocabulary, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_edit_fingerprints(spark, sf_dir):
+    return edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op2_near_duplicates(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"), words=3, part=85, whole=100)
 
@@ -22,19 +30,35 @@ def op3_hilbert_shards(spark, sf_dir):
     return document_shards(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark, sf_dir):
+    return document_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_mix_sources(spark, sf_dir):
     return document_mix(_table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark, sf_dir):
+    return token_counts(_table(spark, sf_dir, "documents"), read_vocabulary())
+
+
+def op7_main_text(spark, sf_dir):
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_chat_format(spark, sf_dir):
     return chat_format(_table(spark, sf_dir, "conversations"))
 
 
 def queries():
     return {
+        "op1_edit_fingerprints": op1_edit_fingerprints,
         "op2_near_duplicates": op2_near_duplicates,
         "op3_hilbert_shards": op3_hilbert_shards,
+        "op4_toxicity": op4_toxicity,
         "op5_mix_sources": op5_mix_sources,
+        "op6_token_counts": op6_token_counts,
+        "op7_main_text": op7_main_text,
         "op8_chat_format": op8_chat_format,
     }
 
