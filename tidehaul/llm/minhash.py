@@ -16,6 +16,7 @@ from tidehaul.llm.common import components
 from tidehaul.session import ship_package, written
 
 COORDINATES = 256
+WIDE = 2048
 BAND_ROWS = 6
 BANDS = 42
 SEED = 0x9E3779B97F4A7C15
@@ -184,6 +185,33 @@ def _verified(words: int, part: int, whole: int):
     return run
 
 
+def _wide(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(t.as_py(), words) for t in batch.column("text")]
+            bits = np.empty((len(sets), WIDE // 64), np.int64)
+            at = 0
+            while at < len(sets):
+                stop, held = at, 0
+                while stop < len(sets) and (held == 0 or held + len(sets[stop]) + WIDE <= TOGETHER):
+                    held += len(sets[stop]) + WIDE
+                    stop += 1
+                rows = sketch(sets[at:stop], WIDE, SEED ^ 0x5BD1E995)
+                bits[at:stop] = np.packbits((rows >> np.uint64(40)).astype(np.uint8) & 1, axis=1).view(np.int64)
+                at = stop
+            ends = np.arange(0, len(sets) * (WIDE // 64) + 1, WIDE // 64, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(bits.reshape(-1))),
+                ],
+                names=["rep", "n", "w"],
+            )
+
+    return run
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -205,10 +233,12 @@ def near_duplicates(
     3. Pairs whose sizes rule the similarity out, or that differ in more of 256
        sketch bits than such a pair can (six standard deviations), are left
        out; the rest is compared on full sets, computed again from both texts.
-    4. Links give components. Only in buckets whose members are still in
-       several components, each member outside the main one is compared with
-       the others of other components in the same way, so no candidate pair of
-       two components is left out, however large its bucket.
+    4. Links give components. In buckets whose members are still in several
+       components, members get a sketch of 2048 bits from their texts, and each
+       member outside the bucket's largest component is held against those of
+       other components: pairs within five standard deviations of a link are
+       compared on full sets. So no candidate pair of two components is left
+       out, however large its bucket, and pairs inside a component are not made.
 
     Rows without words are linked with nothing; so are rows with a NULL id,
     whose component is NULL. Rows that share an id are one document to the
@@ -236,10 +266,13 @@ def near_duplicates(
         differ = " + ".join(f"bit_count({x}.b{k} ^ {y}.b{k})" for k in range(4))
         return f"{whole} * least({x}.n, {y}.n) >= {part} * greatest({x}.n, {y}.n) and {differ} <= {most}"
 
-    def links(pairs: DataFrame) -> DataFrame:
+    def texts_of(ids: DataFrame) -> DataFrame:
+        # The ids grow with the data, so they are not broadcast.
+        wanted = texts.join(ids.hint("merge"), "id", "left_semi")
+        return written(wanted.dropDuplicates(["id"]), "texts")
+
+    def links(pairs: DataFrame, have: DataFrame) -> DataFrame:
         """Those of the candidate pairs (a, b) that are links on full sets."""
-        asked = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-        have = written(texts.join(asked, "id", "left_semi").dropDuplicates(["id"]), "texts")
         side = lambda name: have.select(F.col("id").alias(name), F.col("text").alias(f"{name}_text"))
         both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_text", "b_text")
         return written(both.mapInArrow(_verified(words, part, whole), "a bigint, b bigint"), "links")
@@ -247,28 +280,36 @@ def near_duplicates(
     stars = crowded.where("a <> b").select("a", "b").distinct().alias("p")
     first = stars.join(bits.alias("x"), F.expr("p.a = x.rep")).join(bits.alias("y"), F.expr("p.b = y.rep"))
     first = written(first.where(F.expr(plausible("x", "y"))).select("p.a", "p.b"), "pairs")
-    found = links(first)
+    ends = first.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    found = links(first, texts_of(ends))
     known = components(found)
 
-    member = crowded.select("key", F.col("b").alias("rep")).join(known, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("comp")
-    )
-    spread = member.groupBy("key").agg(
-        F.count("*").alias("c"), F.min("comp").alias("main"), F.max("comp").alias("other")
-    ).where("c > 2 and main <> other").select("key", "main")
-    # The component of most members would be the best main one; the least one needs no second pass and
-    # is that of the leader, whose star has joined whatever is alike.
-    rest = written(member.join(spread, "key").join(bits, "rep"), "unsettled")
-    x, y = rest.where("comp <> main").alias("x"), rest.alias("y")
-    test = F.expr(
-        "x.key = y.key and x.comp <> y.comp and (y.comp = y.main or x.rep < y.rep) and " + plausible("x", "y")
-    )
-    more = x.join(y, test).select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
-    ).distinct()
-    more = written(more.join(first, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        known = components(found.unionAll(links(more)))
+    member = crowded.select("key", F.col("b").alias("rep")).join(known, F.col("rep") == F.col("node"), "left")
+    member = written(member.select("key", "rep", F.coalesce("component", "rep").alias("comp")), "members")
+    spread = member.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.count("*").alias("comps"), F.sum("c").alias("all"), F.max_by("comp", F.struct("c", "comp")).alias("main")
+    ).where("comps > 1 and all > 2").select("key", "main")
+    rest = written(member.join(spread, "key"), "unsettled")
+    if not rest.isEmpty():
+        have = texts_of(rest.select(F.col("rep").alias("id")).distinct())
+        wide = written(have.mapInArrow(_wide(words), "rep bigint, n bigint, w array<bigint>"), "wide")
+        rest = rest.join(wide, "rep").join(reps.select("rep", "keys"), "rep")
+        apart = (1 - similar) / 2 * WIDE
+        most = math.ceil(apart + 5 * math.sqrt(apart * (1 - (1 - similar) / 2)))
+        differ = " + ".join(f"bit_count(x.w[{k}] ^ y.w[{k}])" for k in range(WIDE // 64))
+        test = F.expr(
+            "x.key = y.key and x.comp <> y.comp and (y.comp = y.main or x.rep < y.rep) "
+            f"and {whole} * least(x.n, y.n) >= {part} * greatest(x.n, y.n) and {differ} <= {most} "
+            # Of the buckets that two members share, one gives the pair.
+            "and array_min(array_intersect(x.keys, y.keys)) = x.key"
+        )
+        x, y = rest.where("comp <> main").alias("x"), rest.alias("y")
+        more = x.join(y, test).select(
+            F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")
+        ).distinct()
+        more = written(more.join(first, ["a", "b"], "left_anti"), "pairs")
+        if not more.isEmpty():
+            known = components(found.unionAll(links(more, have)))
 
     named = reps.select("d0", "d1", "rep").join(known, F.col("rep") == F.col("node"), "left").select(
         "d0", "d1", F.coalesce("component", "rep").alias("component")
