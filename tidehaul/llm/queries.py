@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidehaul.llm import licenses
 from tidehaul.llm.chat import chat_format
+from tidehaul.llm.decontaminate import contaminated
 from tidehaul.llm.fingerprints import edited_fingerprints
 from tidehaul.llm.html_text import extract_main_text
 from tidehaul.llm.minhash import near_duplicates
@@ -50,6 +52,14 @@ def op8_chat_format(spark, sf_dir):
     return chat_format(_table(spark, sf_dir, "conversations"))
 
 
+def op9_decontamination(spark, sf_dir):
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_license_scan(spark, sf_dir):
+    return licenses.license_scan(_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op1_edit_fingerprints": op1_edit_fingerprints,
@@ -60,8 +70,10 @@ def queries():
         "op6_token_counts": op6_token_counts,
         "op7_main_text": op7_main_text,
         "op8_chat_format": op8_chat_format,
+        "op9_decontamination": op9_decontamination,
+        "op10_license_scan": op10_license_scan,
     }
 
 
 def oracle_sql():
-    return {}
+    return {"op10_license_scan": licenses.oracle()}
