@@ -21,8 +21,8 @@ BAND_ROWS = 6
 BANDS = 42
 SEED = 0x9E3779B97F4A7C15
 # Shingles that are sketched together: bounds a task's memory, not what is read.
-TOGETHER = 400_000
-KNOWN_WORDS = 500_000
+TOGETHER = 250_000
+KNOWN_WORDS = 200_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

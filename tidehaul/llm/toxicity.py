@@ -21,12 +21,12 @@ from tidehaul.session import ship_package, written
 TRAINING_DOCUMENTS = 20_000
 TRAINING_SEQUENCES = 4_000
 SEQUENCE = 32
-BUCKETS = 1 << 20
+BUCKETS = 1 << 19
 REJECT_FROM = 0.7
 SEGMENT = 64
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 # Tokens whose marginals are computed together: bounds a task's memory, not what is read.
-TOGETHER = 400_000
+TOGETHER = 250_000
 
 TOKEN = re.compile(r"\w+")
 
@@ -422,6 +422,7 @@ def learn(
         ),
         "sequences",
     )
+    seeds.destroy()
     chosen = []
     for toxic in (1, 0):
         chosen += drawn.where(F.col("toxic") == toxic).orderBy("draw", "words").limit(training_sequences // 2).collect()
@@ -441,6 +442,7 @@ def learn(
     x = sample.select("text", "toxic").mapInArrow(
         summaries, "a double, b double, c double, d double, toxic int"
     ).orderBy("a", "b", "c", "d", "toxic").toPandas()
+    held.destroy()
     field.curve = _fit_curve(x[["a", "b", "c", "d"]].to_numpy(), (x.toxic > 0).to_numpy(float))
     field.base = rate
     return field
