@@ -36,6 +36,7 @@ from tidehaul.plans import bulk_load
 from tidehaul.session import scratch_path
 from tidehaul.sinks import (
     FolderTarget,
+    copy_counts,
     copy_ledger,
     jdbc_row_count,
     load_copy,
@@ -236,6 +237,35 @@ def q_stage_copy_manifest(spark, sf_dir):
     return files.groupBy("first_batch", "last_batch").agg(F.sum("rows").alias("rows"))
 
 
+def _one_column(spark, sf_dir):
+    """One nullable column: the names of customers who owe nothing."""
+    source = _scan(spark, sf_dir, "customer", position=True)
+    lone = source.select(F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("c_name"), "_src_file", "_src_row")
+    lines = encode_copy_rows(batch_by_position(lone, 100), ["c_name"], carry=["batch_id"])
+    path, schema = scratch_path(spark, "one-column"), lone.select("c_name").schema
+    stage_copy_files(lines, path, batches_per_folder=FOLDER)
+    return path, schema
+
+
+def q_one_column_rows(spark, sf_dir):
+    return read_staged(spark, *_one_column(spark, sf_dir))
+
+
+def q_one_column_count(spark, sf_dir):
+    return target_row_count(spark, *_one_column(spark, sf_dir))
+
+
+def q_batch_global_equal_keys(spark, sf_dir):
+    """The same batches by the ranges of a number and by sorted files of the text that it stands for."""
+    source = _scan(spark, sf_dir, "events", position=True)
+    number = source.withColumn("kind", F.ascii("event_type"))
+    ranges = batch_global(number, "kind", BATCH, rows_per_range=1_000_000).select("event_id", "batch_id")
+    files = batch_global(source.withColumn("kind", F.substring("event_type", 1, 1)), "kind", BATCH, rows_per_range=RANGE)
+    return ranges.select(F.lit("ranges").alias("way"), "*").unionAll(
+        files.select(F.lit("files").alias("way"), "event_id", "batch_id")
+    )
+
+
 def q_target_row_count(spark, sf_dir):
     return target_row_count(spark, *_staged(spark, sf_dir, "orders"))
 
@@ -281,6 +311,16 @@ def q_load_copy(spark, sf_dir):
     return copy_ledger(spark, load).select("batch_id", "rows", "status")
 
 
+def q_load_copy_ledger(spark, sf_dir):
+    load, _ = _copied(spark, sf_dir)
+    return copy_ledger(spark, load).select("batch_id", "rows", "status", "loaded_rows", "percent")
+
+
+def q_load_copy_counts(spark, sf_dir):
+    load, _ = _copied(spark, sf_dir)
+    return copy_counts(spark, load, _scan(spark, sf_dir, "events", position=True))
+
+
 def q_load_copy_rows(spark, sf_dir):
     load, schema = _copied(spark, sf_dir)
     return read_staged(spark, load.target.data_paths("events"), schema)
@@ -350,6 +390,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_by_position": q_batch_by_position,
         "batch_global": q_batch_global,
         "batch_global_events": q_batch_global_events,
+        "batch_global_equal_keys": q_batch_global_equal_keys,
         "batch_global_skewed": q_batch_global_skewed,
         "isolate_failed_batches": q_isolate_failed_batches,
         "rows_of_loaded_batches": q_rows_of_loaded_batches,
@@ -357,10 +398,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_summary": q_load_summary,
         "stage_copy_files": q_stage_copy_files,
         "stage_copy_manifest": q_stage_copy_manifest,
+        "one_column_rows": q_one_column_rows,
+        "one_column_count": q_one_column_count,
         "target_row_count": q_target_row_count,
         "load_jdbc": q_load_jdbc,
         "jdbc_row_count": q_jdbc_row_count,
         "load_copy": q_load_copy,
+        "load_copy_ledger": q_load_copy_ledger,
+        "load_copy_counts": q_load_copy_counts,
         "load_copy_rows": q_load_copy_rows,
         "reconcile_columns": q_reconcile_columns,
         "reconcile_counts": q_reconcile_counts,
@@ -402,7 +447,9 @@ def _sql_profile(columns: list[tuple[str, str, str]]) -> str:
             + (f"coalesce(max(length({name})), 0) " if text else "CAST(0 AS BIGINT) ")
             + "AS max_length, "
             + (f"count(*) FILTER (contains({name}, chr(0))) " if text else "CAST(0 AS BIGINT) ")
-            + "AS nul_count, "
+            + "AS nul_count, CAST(0 AS BIGINT) AS invalid_count, "
+            + (f"count(*) FILTER (year({name}) NOT BETWEEN 1 AND 9999) " if source == "timestamp_ntz" else "CAST(0 AS BIGINT) ")
+            + "AS far_date_count, "
             + (f"count(*) FILTER (isnan({name})) " if floating else "CAST(0 AS BIGINT) ")
             + "AS nan_count FROM events"
         )
@@ -516,6 +563,10 @@ def oracle_sql() -> dict[str, str]:
         "batch_by_position": f"SELECT o_orderkey, batch_id FROM ({orders})",
         "batch_global": f"SELECT o_orderkey, batch_id FROM ({orders})",
         "batch_global_events": f"SELECT event_id, batch_id FROM ({_sql_batches('events', 'event_id', BATCH)})",
+        "batch_global_equal_keys": (
+            "SELECT unnest(['ranges', 'files']) AS way, event_id, batch_id "
+            f"FROM ({_sql_batches('events', 'ascii(event_type), event_id', BATCH)})"
+        ),
         "batch_global_skewed": (
             "SELECT batch_id, count(*) AS rows, min(l_returnflag) AS first_key, max(l_returnflag) AS last_key "
             f"FROM ({_sql_batches('lineitem', 'l_returnflag', BATCH)}) GROUP BY batch_id"
@@ -534,6 +585,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT batch_id // {FOLDER} * {FOLDER} AS first_batch, batch_id // {FOLDER} * {FOLDER} + {FOLDER - 1} "
             f"AS last_batch, count(*) AS rows FROM ({_sql_batches('documents', 'doc_id', 20)}) GROUP BY ALL"
         ),
+        "one_column_rows": "SELECT CASE WHEN c_acctbal >= 0 THEN c_name END AS c_name FROM customer",
+        "one_column_count": "SELECT count(*) AS target_rows FROM customer",
         "target_row_count": "SELECT count(*) AS target_rows FROM orders",
         "load_jdbc": "SELECT * FROM orders",
         "jdbc_row_count": "SELECT count(*) AS target_rows FROM orders",
@@ -541,6 +594,14 @@ def oracle_sql() -> dict[str, str]:
             "SELECT batch_id, count(*) AS rows, 'LOADED' AS status "
             f"FROM ({_sql_batches('events', 'event_id', BATCH)}) GROUP BY batch_id"
         ),
+        "load_copy_ledger": (
+            "SELECT batch_id, rows, 'LOADED' AS status, CAST(sum(rows) OVER (ORDER BY batch_id) AS BIGINT) AS loaded_rows, "
+            "round(sum(rows) OVER (ORDER BY batch_id) * 100.0 / sum(rows) OVER (), 1) AS percent FROM "
+            f"(SELECT batch_id, count(*) AS rows FROM ({_sql_batches('events', 'event_id', BATCH)}) GROUP BY batch_id)"
+        ),
+        "load_copy_counts": (
+            "SELECT count(*) AS source_rows, count(*) AS target_rows, CAST(0 AS BIGINT) AS diff, true AS match FROM events"
+        ),
         "load_copy_rows": "SELECT * FROM events",
         "reconcile_columns": _sql_columns(),
         "reconcile_counts": (

@@ -83,6 +83,9 @@ class Cursor:
         self.conn.start()
         table, names = re.match(r'COPY (.+?) \((".*")\) FROM STDIN', statement).groups()
         rows = list(csv.reader(io.TextIOWrapper(file, "utf-8", newline=""), quoting=csv.QUOTE_NOTNULL))
+        null = re.search(r"NULL '(.*?)'", statement).group(1)
+        if null:
+            rows = [[None if value == null else value for value in row] for row in rows]
         if any(self.conn.refuse in row for row in rows if self.conn.refuse):
             raise ValueError(f"value {self.conn.refuse!r} refused")
         marks = ", ".join("?" for _ in rows[0])

@@ -50,7 +50,7 @@ def test_global_boundaries(spark, n, parts):
 def test_position_boundaries(spark, n, files):
     source = scan_source(spark, stored(spark, spark.range(n), files), position=True)
     for limit in (1000, 0):
-        batched = batch_by_position(source, B, max_broadcast_rows=limit)
+        batched = batch_by_position(source, B, max_broadcast_files=limit)
         assert batched.columns == ["id", "batch_id"]
         assert sizes_of(batched) == expected(n)
 
@@ -67,7 +67,7 @@ def test_position_without_broadcast_is_the_same(spark, monkeypatch):
     monkeypatch.setattr(batching, "ROWS_PER_SLICE", 16)
     source = scan_source(spark, stored(spark, spark.range(1003), 5), position=True)
     plain = batch_by_position(source, B).sort("id").collect()
-    sliced = batch_by_position(source, B, max_broadcast_rows=0)
+    sliced = batch_by_position(source, B, max_broadcast_files=0)
     assert sliced.sort("id").collect() == plain
     assert "BroadcastHashJoin" not in sliced._jdf.queryExecution().executedPlan().toString()
 
@@ -75,9 +75,8 @@ def test_position_without_broadcast_is_the_same(spark, monkeypatch):
 def test_position_moves_no_rows(spark):
     source = scan_source(spark, stored(spark, spark.range(1000), 3), position=True)
     plan = batch_by_position(source, B)._jdf.queryExecution().executedPlan().toString()
-    # The only exchange gathers the per-file counts for their running total.
     assert plan.count("Exchange hashpartitioning") == 0
-    assert plan.count("Exchange SinglePartition") == 1
+    assert plan.count("Exchange SinglePartition") == 0
 
 
 def test_position_refuses_a_filtered_source(spark):
@@ -249,3 +248,23 @@ def test_unique_key_reads_only_the_key(spark):
     batched = batch_global(scan_source(spark, path), "id", B, unique=True, rows_per_range=300).select("id", "batch_id")
     assert "pad" not in batched._jdf.queryExecution().executedPlan().toString()
     assert batched.where(f"batch_id <> id div {B}").isEmpty()
+
+
+@pytest.mark.parametrize("key", ["n", "t"])
+def test_equal_keys_keep_the_order_of_files_and_rows(spark, key):
+    """One order of equal keys, by ranges of a number and by sorted files of a text."""
+    path = scratch_path(spark, "test")
+    for k in range(4):
+        part = spark.range(1000 * k, 1000 * k + 1000, 1, 1).selectExpr("id", "1L AS n", "'x' AS t")
+        part.write.parquet(f"{path}/part-{3 - k}")
+    source = scan_source(spark, [f"{path}/part-{k}" for k in range(4)], position=True)
+    firsts = batch_global(source, key, 1000).groupBy("batch_id").agg(F.min("id").alias("first")).sort("batch_id").collect()
+    assert [r["first"] for r in firsts] == [3000, 2000, 1000, 0]
+
+
+def test_many_files_move_no_rows(spark):
+    source = scan_source(spark, stored(spark, spark.range(3000), 300), position=True)
+    batched = batch_by_position(source, B)
+    plan = batched._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    assert batched.count() == 3000 and batched.where("batch_id < 0 or batch_id >= 30").isEmpty()

@@ -21,6 +21,7 @@ from tidehaul.functions import (
     rejected,
     target_type,
 )
+from tidehaul.operators import profile_columns
 from tidehaul.session import scratch_path
 from tidehaul.sinks import read_staged, stage_copy_files, target_row_count
 from tidehaul.sources import scan_source
@@ -176,8 +177,28 @@ def test_merge_mode_writes_nothing_for_empty_text(edge_values):
 
 
 def test_one_column(spark):
-    df = spark.createDataFrame([(None,), ("",), ("\\.",), ("\\.x",)], "s string")
-    assert lines_of(df) == ["", '""', '"\\."', "\\.x"]
+    """NULL has a text of its own, as a reader would skip an empty line; a value equal to it is refused."""
+    df = spark.createDataFrame([(None,), ("",), ("\\.",), ("\\.x",), ("a\nb",)], "s string")
+    assert lines_of(df) == ["\\N-null", '""', '"\\."', "\\.x", '"a\nb"']
+    assert lines_of(df, null_mode="merge")[:2] == ["\\N-null", "\\N-null"]
+    assert_same(df, round_trip(spark, df))
+    numbers = spark.createDataFrame([(None,), (1,), (None,)], "n int")
+    assert_same(numbers, round_trip(spark, numbers))
+    assert "NULL '\\N-null'" in copy_statement(df.schema, "t") and "NULL ''" in copy_statement(spark.range(1).selectExpr("id", "id AS j").schema, "t")
+    odd = spark.createDataFrame([("\\N-null",), ("x",)], "s string")
+    assert [r[0] for r in odd.select(rejected(odd.schema)).collect()] == [True, False]
+
+
+def test_values_the_target_would_not_read_are_refused(spark):
+    df = spark.sql(
+        """SELECT * FROM VALUES (1, cast(X'61FF' AS STRING), DATE'2020-01-01', TIMESTAMP_NTZ'2020-01-01 00:00:00'),
+           (2, 'é', make_date(12000, 1, 1), TIMESTAMP_NTZ'2020-01-01 00:00:00'),
+           (3, 'é', DATE'2020-01-01', make_timestamp_ntz(-4, 1, 1, 0, 0, 0)),
+           (4, 'é', DATE'9999-12-31', TIMESTAMP_NTZ'0001-01-01 00:00:00'), (5, NULL, NULL, NULL) AS t(id, s, d, t)"""
+    )
+    assert [r[0] for r in df.sort("id").select(rejected(df.schema)).collect()] == [True, True, True, False, False]
+    found = {r["column_name"]: (r["invalid_count"], r["far_date_count"]) for r in profile_columns(df).collect()}
+    assert found == {"id": (0, 0), "s": (1, 0), "d": (0, 1), "t": (0, 1)}
 
 
 def test_edge_numbers_come_back(spark):

@@ -30,7 +30,7 @@ def test_no_task_sorts_all_batches(spark):
     plan = load_ledger(batches)._jdf.queryExecution().executedPlan().toString()
     lone = plan.split("Exchange SinglePartition")
     assert len(lone) == 2
-    assert "HashAggregate(keys=[__block" in lone[1].split("\n")[1]
+    assert "HashAggregate(keys=[__part" in lone[1].split("\n")[1]
 
 
 def test_ledger_and_summary(spark):

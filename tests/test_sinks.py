@@ -22,6 +22,7 @@ from tidehaul.session import scratch_path, shared_folder
 from tidehaul.sinks import (
     FolderTarget,
     PostgresTarget,
+    copy_counts,
     copy_ledger,
     jdbc_columns,
     jdbc_row_count,
@@ -218,6 +219,7 @@ def test_derived_names_fit_the_target():
     long = beside("s." + "ä" * 60, "__load_0123456789ab")
     assert long.startswith("s.ä") and len(long.split(".")[1].encode()) <= 63
     assert long.endswith("__load_0123456789ab")
+    assert beside("s." + "t" * 62 + "a", "__batches") != beside("s." + "t" * 62 + "b", "__batches")
 
 
 def test_folder_target(spark, orders):
@@ -235,6 +237,95 @@ def test_folder_target(spark, orders):
     assert target_row_count(spark, target.data_paths("orders"), schema).first()[0] == 3000
 
 
+@pytest.mark.parametrize("layout", ["position", "partition", ["id"]], ids=str)
+def test_connections_can_be_capped_in_every_layout(spark, layout):
+    from tidehaul.sinks.copy_load import _batched, _cut
+
+    path = scratch_path(spark, "test")
+    spark.range(0, 1000, 1, 10).write.parquet(path)
+    df = scan_source(spark, path, position=True)
+    load = load_copy(df, FolderTarget(scratch_path(spark, "test")), "t", batch_size=50, layout=layout, max_connections=2)
+    assert copy_ledger(spark, load).agg(F.sum("rows")).first()[0] == 1000
+    source = df.coalesce(2) if layout == "partition" else df
+    batched = _batched(source, 50, layout, _cut(source, 50, layout)[0], 2)
+    assert batched.select(F.spark_partition_id().alias("p")).distinct().count() <= 2
+
+
+def rewritten(spark, path, values):
+    spark.createDataFrame([(v,) for v in values], "id long").repartition(1).write.mode("overwrite").parquet(path)
+    return scan_source(spark, path), scan_source(spark, path, position=True)
+
+
+@pytest.mark.parametrize("layout", ["partition", "position", ["id"]], ids=str)
+def test_a_rewritten_source_is_not_continued(spark, database, layout):
+    """Equal counts, and keys whose hashes would cancel out in pairs, are still other rows."""
+    path = scratch_path(spark, "test")
+    options = {"batch_size": 2, "layout": layout, "mode": "append", "load_id": "same"}
+    load_copy(rewritten(spark, path, [1, 1, 5, 7])[1], standin(database, refuse="5"), "t", **options)
+    with pytest.raises(OtherBatches):
+        load_copy(rewritten(spark, path, [9, 9, 5, 7])[1], standin(database), "t", **options)
+    assert sorted(ask(database, "SELECT id FROM t")) == [(1,), (1,)]
+
+
+def test_values_count_where_there_are_no_files(spark, database):
+    options = {"batch_size": 2, "mode": "append", "load_id": "same"}
+    load_copy(spark.createDataFrame([(1,), (1,)], "id long").coalesce(1), standin(database), "t", **options)
+    with pytest.raises(OtherBatches):
+        load_copy(spark.createDataFrame([(9,), (9,)], "id long").coalesce(1), standin(database), "t", **options)
+
+
+@pytest.mark.parametrize("kind", ["database", "folder"])
+def test_a_broken_off_overwrite_is_not_continued_by_append(spark, orders, database, kind):
+    """Its batches lie in the landing table, where an append would never look."""
+    target = standin(database) if kind == "database" else FolderTarget(scratch_path(spark, "test"))
+    options = {"batch_size": 100, "layout": "position", "load_id": "broken"}
+    with pytest.raises(Exception, match="left as it was"):
+        load_copy(orders, target, "orders", check=F.col("o_orderkey") == 250, strict=True, **options)
+    with pytest.raises(OtherBatches, match="begun as overwrite"):
+        load_copy(orders, target, "orders", mode="append", **options)
+    load_copy(orders, target, "orders", strict=True, **options)
+
+
+def test_strict_append_is_refused(orders, database):
+    with pytest.raises(ValueError, match="overwrite"):
+        load_copy(orders, standin(database), "orders", mode="append", strict=True)
+
+
+def test_copy_ends_with_totals_and_counts(spark, orders):
+    target = FolderTarget(scratch_path(spark, "test"))
+    load = load_copy(orders, target, "orders", batch_size=100, check=F.col("o_orderkey") == 250)
+    ledger = copy_ledger(spark, load).sort("batch_id").collect()
+    assert [r["loaded_rows"] for r in ledger][:4] == [100, 200, 200, 300] and ledger[-1]["percent"] == 93.3
+    assert {r["message"] for r in ledger} == {None, "rejected row in batch"}
+    counts = copy_counts(spark, load, orders).first()
+    assert (counts["source_rows"], counts["target_rows"], counts["diff"], counts["match"]) == (1500, 1400, 100, False)
+
+
+def test_a_load_is_listed_once(orders, spark):
+    target = FolderTarget(scratch_path(spark, "test"))
+    options = {"batch_size": 100, "layout": "position", "load_id": "x"}
+    for mode in ("overwrite", "append", "append"):
+        load_copy(orders, target, "orders", mode=mode, **options)
+    assert target.loads("orders") == ["x"]
+
+
+def test_messages_are_kept_whole(database, spark):
+    df = spark.createDataFrame([("v" * 5000,)], "s string")
+    load_copy(df, standin(database, refuse="v" * 5000), "t", batch_size=1)
+    ((message,),) = ask(database, "SELECT message FROM t__batches WHERE batch_id >= 0")
+    assert len(message) > 5000
+
+
+def test_one_column_load(spark, database):
+    path = scratch_path(spark, "test")
+    spark.range(300).selectExpr("CASE WHEN id % 3 <> 0 THEN cast(id AS STRING) END AS s").write.parquet(path)
+    load = bulk_load(spark, path, "t", batch_size=50, strict=True)
+    assert load.counts.first()["target_rows"] == 300
+    assert read_staged(spark, load.path, load.schema).where("s is null").count() == 100
+    load_copy(scan_source(spark, path), standin(database), "t", batch_size=50)
+    assert ask(database, "SELECT count(*), count(s) FROM t") == [(300, 200)]
+
+
 def test_connections_can_be_capped(spark, database):
     df = spark.range(0, 1000, 1, 20)
     load_copy(df, standin(database), "t", batch_size=1000, max_connections=2)

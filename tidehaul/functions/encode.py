@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidehaul.functions.statements import NULL_TEXT_ALONE, null_text
 from tidehaul.functions.typemap import JSON_OPTIONS, is_nested, ref, sql_name, to_target
 
 NULL_MODES = ("lossless", "merge")
@@ -27,16 +28,17 @@ PLAIN = (
 
 def _field(value: str, data_type: T.DataType, null_mode: str, alone: bool) -> str:
     """SQL for one field of the line; ``value`` is a column in its target type."""
+    null = f"r'{null_text(1 if alone else 2)}'"
     if isinstance(data_type, PLAIN):
-        return f"coalesce(cast({value} AS STRING), '')"
+        return f"coalesce(cast({value} AS STRING), {null})"
     special = [f"contains({value}, {c})" for c in ("'\"'", "','", "char(10)", "char(13)")]
     if alone:
         # By itself on a line this would end the data.
         special.append(f"{value} = r'\\.'")
-    empty = f"WHEN {value} = '' THEN '\"\"' " if null_mode == "lossless" else ""
+    empty = f"WHEN {value} = '' THEN '\"\"' " if null_mode == "lossless" else f"WHEN {value} = '' THEN {null} "
     quoted = f"concat('\"', replace({value}, '\"', '\"\"'), '\"')"
     return (
-        f"CASE WHEN {value} IS NULL THEN '' WHEN {' OR '.join(special)} THEN {quoted} {empty}ELSE {value} END"
+        f"CASE WHEN {value} IS NULL THEN {null} WHEN {' OR '.join(special)} THEN {quoted} {empty}ELSE {value} END"
     )
 
 
@@ -53,7 +55,8 @@ def encode_copy_rows(
     ``columns`` are the fields of the line (by default all columns that are not
     carried). A field is quoted when it holds a quote, comma, CR or LF. With
     ``null_mode="lossless"`` an empty string is ``""`` and NULL is nothing;
-    ``"merge"`` writes nothing for both, so both load as NULL.
+    ``"merge"`` writes nothing for both, so both load as NULL. A line of one
+    field has ``NULL_TEXT_ALONE`` in place of nothing, so that it is not empty.
     """
     if null_mode not in NULL_MODES:
         raise ValueError(f"null_mode must be one of {NULL_MODES}")
@@ -70,6 +73,13 @@ def encode_copy_rows(
     return staged.selectExpr(*passed, f"concat_ws(',', {', '.join(fields)}) AS {sql_name(line)}")
 
 
+DATED = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def far_date(name: str) -> str:
+    return f"year({sql_name(name)}) NOT BETWEEN 1 AND 9999"
+
+
 def _holds_text(data_type: T.DataType) -> bool:
     if isinstance(data_type, (T.StringType, T.VariantType)):
         return True
@@ -91,14 +101,21 @@ def rejected(
 ) -> Column:
     """True for a row the target would refuse.
 
-    Refused are NUL characters in text (also inside JSON), NULL in a ``not_null``
-    column, and rows for which ``check``, the caller's own rule, is true.
+    Refused are NUL characters in text (also inside JSON), text that is not
+    valid UTF-8, dates and times outside the years 1 to 9999 (which would print in
+    a form the target does not read), the text that stands for NULL in a table
+    of one column, NULL in a ``not_null`` column, and rows for which ``check``, the caller's own rule, is true.
     """
     names = schema.fieldNames() if columns is None else columns
     rules = []
     for field in (schema[n] for n in names):
         if isinstance(field.dataType, T.StringType):
             rules.append(f"contains({sql_name(field.name)}, char(0))")
+            rules.append(f"NOT is_valid_utf8({sql_name(field.name)})")
+            if len(names) == 1:
+                rules.append(f"{sql_name(field.name)} = r'{NULL_TEXT_ALONE}'")
+        elif isinstance(field.dataType, DATED):
+            rules.append(far_date(field.name))
         elif (is_nested(field.dataType) or isinstance(field.dataType, T.VariantType)) and _holds_text(field.dataType):
             rules.append(f"rlike({to_target(field.name, field.dataType)}, r'{JSON_NUL}')")
     rules += [f"{sql_name(n)} IS NULL" for n in not_null]

@@ -9,7 +9,15 @@ from pyspark.sql import types as T
 from tidehaul.functions.typemap import target_columns
 
 # The COPY options the line format is made for.
-COPY_OPTIONS = "FORMAT csv, HEADER false, DELIMITER ',', NULL '', QUOTE '\"', ESCAPE '\"'"
+COPY_OPTIONS = "FORMAT csv, HEADER false, DELIMITER ',', NULL '{null}', QUOTE '\"', ESCAPE '\"'"
+# What stands for NULL: nothing, but in a table of one column a text of its own,
+# as readers skip a line with nothing on it. A text equal to it is refused.
+NULL_TEXT = ""
+NULL_TEXT_ALONE = "\\N-null"
+
+
+def null_text(columns: int) -> str:
+    return NULL_TEXT_ALONE if columns == 1 else NULL_TEXT
 
 
 def quote_identifier(name: str) -> str:
@@ -35,4 +43,4 @@ def create_table_statement(schema: T.StructType, table: str, not_null: Iterable[
 
 def copy_statement(schema: T.StructType, table: str) -> str:
     names = ", ".join(quote_identifier(name) for name in schema.fieldNames())
-    return f"COPY {quote_table(table)} ({names}) FROM STDIN WITH ({COPY_OPTIONS})"
+    return f"COPY {quote_table(table)} ({names}) FROM STDIN WITH ({COPY_OPTIONS.format(null=null_text(len(schema)))})"

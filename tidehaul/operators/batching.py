@@ -25,6 +25,8 @@ from tidehaul.sources.parquet import FILE_COL, ROW_COL, row_count
 MAX_PARTITIONS = 50_000
 # Most rows of a small side that is sent to every executor (a few MB).
 MAX_BROADCAST_ROWS = 100_000
+# Most files whose offsets are sent to every executor, 16 bytes each: over 300 TB in files of 256 MB.
+MAX_BROADCAST_FILES = 1_500_000
 # Rows of a file that share a join key when file offsets are too many to broadcast.
 ROWS_PER_SLICE = 1 << 20
 
@@ -62,8 +64,9 @@ def partition_for_load(
 
     A source scanned with ``position=True`` is dealt out by the rows' indexes,
     so the sizes differ by at most one row per file and no sort is needed to
-    make the exchange repeatable. Other inputs go round-robin. Above
-    ``max_partitions`` each partition holds several batches.
+    make the exchange repeatable. Other inputs go round-robin. There are never
+    more than ``max_partitions``, whatever ``at_least`` says: beyond that each
+    partition holds several batches.
     """
     n = min(partition_count(row_count(df) if rows is None else rows, batch_size, mode, at_least), max_partitions)
     if ROW_COL in df.columns:
@@ -128,12 +131,32 @@ def batch_within_partition(
     )
 
 
-def _offsets(counts: DataFrame, order: str) -> DataFrame:
-    """Adds the rows before each file or range; ``counts`` has one row for each."""
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def _range_offsets(counts: DataFrame) -> DataFrame:
+    """Adds the rows before each range; at most ``MAX_BROADCAST_ROWS`` rows, so one task can add them up."""
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0).cast("bigint")))
 
 
+def _file_offsets(counts: DataFrame) -> DataFrame:
+    """Adds the rows before each file. ``counts`` has one row per file, and there can be millions.
+
+    Files are dealt out in order and added up within each part; only the sums of
+    the parts, one row for each, meet in one task.
+    """
+    parted = written(
+        counts.repartitionByRange(FILE_COL).select("*", F.spark_partition_id().alias("__part")), "files-in-order"
+    )
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parted.groupBy("__part").agg(F.sum("__rows").alias("__sum"))
+    parts = parts.select("__part", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__from"))
+    within = Window.partitionBy("__part").orderBy(FILE_COL).rowsBetween(Window.unboundedPreceding, -1)
+    inside = parted.withColumn("__inside", F.coalesce(F.sum("__rows").over(within), F.lit(0)))
+    placed = inside.join(parts, "__part").select(
+        FILE_COL, "__rows", (F.col("__from") + F.col("__inside")).cast("bigint").alias("__offset")
+    )
+    return written(placed, "file-offsets")
+
+
 def _content(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in (FILE_COL, ROW_COL)]
 
@@ -148,7 +171,7 @@ def batch_by_position(
     batch_size: int,
     *,
     batch: str = "batch_id",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_files: int = MAX_BROADCAST_FILES,
 ) -> DataFrame:
     """Batches of exactly ``batch_size`` rows in file order, the last one shorter.
 
@@ -156,22 +179,27 @@ def batch_by_position(
     its index in its file plus the rows of the files before it. Those come from
     one count per file, which reads no column data and is written down, as
     later jobs need it again. The rows are not shuffled while the source has at
-    most ``max_broadcast_rows`` files; beyond that the offsets are joined on
-    slices of the files, so that a very large file is not one join key.
+    most ``max_broadcast_files`` files: a hash of the file's name and the offset,
+    16 bytes a file, go to every executor. Beyond that, or should two names have
+    the same hash, the offsets are joined on slices of the files, so that a
+    very large file is not one join key. Either way gives the same batches.
     """
     _check_size(batch_size)
     counts = written(
         df.groupBy(FILE_COL).agg(F.count(F.lit(1)).alias("__rows"), (F.max(ROW_COL) + 1).alias("__end")), "files"
     )
-    filtered, slices = counts.agg(
+    filtered, slices, files, hashes = counts.agg(
         F.count(F.when(F.col("__rows") != F.col("__end"), F.lit(1))),
         F.sum(whole_div("__rows", ROWS_PER_SLICE) + 1),
+        F.count(F.lit(1)),
+        F.count_distinct(F.xxhash64(FILE_COL)),
     ).first()
     if filtered:
         raise ValueError("batches by position need the whole source; filter after batching")
-    offsets = _offsets(counts, FILE_COL).select(FILE_COL, "__offset", "__rows")
-    if len(df.inputFiles()) <= max_broadcast_rows:
-        placed = df.join(F.broadcast(offsets.drop("__rows")), FILE_COL)
+    offsets = _file_offsets(counts)
+    if files <= max_broadcast_files and hashes == files:
+        compact = offsets.select(F.xxhash64(FILE_COL).alias("__file"), "__offset")
+        placed = df.withColumn("__file", F.xxhash64(FILE_COL)).join(F.broadcast(compact), "__file")
     else:
         per_slice = offsets.select(
             FILE_COL,
@@ -208,9 +236,10 @@ def batch_global(
     integer, the rows are sorted into files instead, which also splits a single
     hot value or many copies of one row.
 
-    The key need not be unique. Equal keys are kept in source order if ``df``
-    was scanned with ``position=True``, and else are told apart by a hash of the
-    row; ``unique`` says that neither is needed, so that only the key is read
+    The key need not be unique. Equal keys are kept in source order (files by
+    name, rows by index) if ``df`` was scanned with ``position=True``, and else
+    are ordered by a hash of the row, however the key is distributed; rows that
+    are equal in that too are alike. ``unique`` says that neither is needed, so that only the key is read
     where no other column is asked for. ``df`` is a scan or a stored table.
     """
     _check_size(batch_size)
@@ -229,17 +258,20 @@ def batch_global(
         counts = written(tagged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows")), "ranges")
         largest = counts.agg(F.max("__rows")).first()[0] or 0
         if largest <= 4 * max(rows_per_range, -(-n // ranges)):
-            return _number_in_ranges(tagged, counts, names, batch_size, batch, ranges, unique)
-    return _number_sorted_files(df, names, batch_size, batch, rows_per_range, max_ranges)
+            first = 0 if lo is None else -(-lo // width) if lo < 0 else lo // width
+            return _number_in_ranges(tagged, counts, names, batch_size, batch, first, null_range, unique)
+    else:
+        n = row_count(df)
+    return _number_sorted_files(df, names, batch_size, batch, max(1, min(-(-n // rows_per_range), max_ranges)))
 
 
 def _source_order(df: DataFrame) -> list[Column]:
     if ROW_COL in df.columns:
-        return [F.xxhash64(FILE_COL), F.col(ROW_COL)]
-    return []
+        return [F.col(FILE_COL), F.col(ROW_COL)]
+    return [content_hash(df)]
 
 
-def _content_hash(df: DataFrame) -> Column:
+def content_hash(df: DataFrame) -> Column:
     """Equal for equal rows. Nested values are hashed as JSON, as maps have no hash."""
     values = [
         to_target(f.name, f.dataType) if is_nested(f.dataType) or isinstance(f.dataType, T.VariantType) else sql_name(f.name)
@@ -254,22 +286,34 @@ def _number_in_ranges(
     names: list[str],
     batch_size: int,
     batch: str,
-    ranges: int,
+    first_range: int,
+    last_range: int,
     unique: bool,
 ) -> DataFrame:
     # A task that runs again must number its rows as before, or a row could be
     # in two batches and another in none. So equal keys get an order of their own.
-    ties = [] if unique else _source_order(tagged) or [_content_hash(tagged)]
+    ties = [] if unique else _source_order(tagged.drop("__range"))
     order = [ref(k).asc_nulls_last() for k in names] + ties
-    numbered = tagged.repartition(min(ranges, MAX_PARTITIONS), "__range").withColumn(
-        "__index", F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1
+    # A range goes to the partition of its number, not of its hash, so no task
+    # gets several and another none. Rows are numbered by their place in the
+    # sorted partition; ranges that share one are told apart by their counts.
+    n = max(1, min(last_range - first_range + 1, MAX_PARTITIONS))
+    dealt = F.pmod(F.col("__range") - F.lit(first_range), F.lit(n)).cast("int")
+    earlier = Window.partitionBy(dealt).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _range_offsets(counts).select(
+        "__range", (F.col("__offset") - F.coalesce(F.sum("__rows").over(earlier), F.lit(0))).alias("__offset")
+    )
+    numbered = (
+        tagged.repartitionById(n, dealt)
+        .sortWithinPartitions("__range", *order)
+        .withColumn("__index", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
     )
-    placed = numbered.join(F.broadcast(_offsets(counts, "__range").drop("__rows")), "__range")
+    placed = numbered.join(F.broadcast(offsets), "__range")
     return _with_batch(placed, "__index", [c for c in _content(tagged) if c != "__range"], batch_size, batch)
 
 
 def _number_sorted_files(
-    df: DataFrame, names: list[str], batch_size: int, batch: str, rows_per_range: int, max_ranges: int
+    df: DataFrame, names: list[str], batch_size: int, batch: str, ranges: int
 ) -> DataFrame:
     """Sort once into files in the shared folder, then number by position.
 
@@ -278,8 +322,8 @@ def _number_sorted_files(
     The last sort column differs between any two rows, so every group of equal
     rows can be split between files.
     """
-    parts = max(1, min(-(-row_count(df) // rows_per_range), max_ranges, MAX_PARTITIONS))
-    ties = _source_order(df) or [F.monotonically_increasing_id()]
+    parts = min(ranges, MAX_PARTITIONS)
+    ties = [*_source_order(df), F.monotonically_increasing_id()]
     tied = df.select("*", *[t.alias(f"__tie_{i}") for i, t in enumerate(ties)])
     order = [ref(k).asc_nulls_last() for k in names] + [F.col(f"__tie_{i}") for i in range(len(ties))]
     path = scratch_path(df.sparkSession, "sorted")
@@ -293,5 +337,5 @@ def _number_sorted_files(
     stored = df.sparkSession.read.parquet(path)
     counts = stored.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
     indexed = stored.select("*", F.col("_metadata.row_index").alias("__index"))
-    placed = indexed.join(F.broadcast(_offsets(counts, "__range").drop("__rows")), "__range")
+    placed = indexed.join(F.broadcast(_range_offsets(counts).drop("__rows")), "__range")
     return _with_batch(placed, "__index", _content(df), batch_size, batch)

@@ -7,12 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidehaul.functions.typemap import ref, whole_div
+from tidehaul.functions.typemap import ref
 from tidehaul.operators.isolate import FAILED, LOADED
-
-# Batches per block of the running total. The sums of whole blocks, one row for
-# 8192 batches, are the only rows that meet in one task.
-BLOCK = 8192
+from tidehaul.session import written
 
 
 def running_total(
@@ -20,45 +17,50 @@ def running_total(
 ) -> DataFrame:
     """Running sums by ``order``, and sums over all rows.
 
-    ``running`` and ``overall`` map a column to the name of its sum. The sum
-    runs inside blocks of the integer ``order``, and the sums of the blocks
-    before are added. How many blocks there are depends on the input, so the
-    join leaves it to Spark whether to broadcast them.
+    ``running`` and ``overall`` map a column to the name of its sum. Rows are
+    dealt out by ranges of ``order``, whatever gaps it has, and added up within
+    them; only the sums of the ranges, one row for each, meet in one task.
     """
     values = sorted({*running, *overall})
-    blocked = df.withColumn("__block", whole_div(order, BLOCK))
-    sums = blocked.groupBy("__block").agg(*[F.sum(ref(v)).alias(v) for v in values])
-    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    parted = written(df.repartitionByRange(ref(order)).select("*", F.spark_partition_id().alias("__part")), "in-order")
+    sums = parted.groupBy("__part").agg(*[F.sum(ref(v)).alias(v) for v in values])
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     everything = before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     totals = sums.select(
-        "__block",
+        "__part",
         *[F.coalesce(F.sum(ref(v)).over(before), F.lit(0)).alias(f"__before_{i}") for i, v in enumerate(running)],
         *[F.sum(ref(v)).over(everything).alias(name) for v, name in overall.items()],
     )
-    upto = Window.partitionBy("__block").orderBy(ref(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = blocked.select("*", *[F.sum(ref(v)).over(upto).alias(f"__within_{i}") for i, v in enumerate(running)])
-    return inside.join(totals, "__block").select(
+    upto = Window.partitionBy("__part").orderBy(ref(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = parted.select("*", *[F.sum(ref(v)).over(upto).alias(f"__within_{i}") for i, v in enumerate(running)])
+    return inside.join(totals, "__part").select(
         *[ref(c) for c in df.columns],
         *[(F.col(f"__before_{i}") + F.col(f"__within_{i}")).alias(name) for i, name in enumerate(running.values())],
         *overall.values(),
     )
 
 
-def load_ledger(batches: DataFrame) -> DataFrame:
-    """``batch_id, rows, status, loaded_rows, percent`` from ``batch_id, rows, status``.
-
-    ``loaded_rows`` is the running total over committed batches, ``percent`` its
-    share of all source rows (0 for an empty source).
-    """
+def with_totals(batches: DataFrame, *carried: str) -> DataFrame:
+    """``batch_id, rows, status, loaded_rows, percent`` and the ``carried`` columns."""
     marked = batches.select(
         "batch_id",
         "rows",
         "status",
+        *carried,
         F.when(F.col("status") == LOADED, F.col("rows")).otherwise(F.lit(0)).alias("__ok"),
     )
     counted = running_total(marked, "batch_id", running={"__ok": "loaded_rows"}, overall={"rows": "__all_rows"})
     share = F.when(F.col("__all_rows") > 0, F.col("loaded_rows") * 100.0 / F.col("__all_rows")).otherwise(F.lit(0.0))
-    return counted.select("batch_id", "rows", "status", "loaded_rows", F.round(share, 1).alias("percent"))
+    return counted.select("batch_id", "rows", "status", "loaded_rows", F.round(share, 1).alias("percent"), *carried)
+
+
+def load_ledger(batches: DataFrame) -> DataFrame:
+    """``batch_id, rows, status, loaded_rows, percent`` from ``batch_id, rows, status``.
+
+    ``loaded_rows`` is the running total over committed batches, ``percent`` its
+    share of all source rows (0 for an empty source).
+    """
+    return with_totals(batches)
 
 
 def load_summary(ledger: DataFrame, seconds: float | None = None) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import io
 import json
-import tempfile
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass
-from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -17,23 +17,22 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from tidehaul.functions.encode import encode_copy_rows, rejected
 from tidehaul.functions.typemap import ref
 from tidehaul.operators.batching import (
+    MAX_PARTITIONS,
     batch_by_position,
     batch_global,
     batch_within_partition,
     co_locate_batches,
-    is_lopsided,
+    content_hash,
     partition_count,
 )
 from tidehaul.operators.isolate import LOADED
-from tidehaul.operators.verify import CountMismatch
+from tidehaul.operators.ledger import with_totals
+from tidehaul.operators.verify import CountMismatch, reconcile_counts
 from tidehaul.session import ship_package
-from tidehaul.sources.parquet import FILE_COL, ROW_COL
-from tidehaul.sinks.targets import LoadPlan, plan_load, resolve
+from tidehaul.sources.parquet import FILE_COL, ROW_COL, source_row_count
+from tidehaul.sinks.targets import REJECTED_ROW, LoadPlan, Refused, plan_load, resolve
 
 FORMAT = "tidehaul_copy"
-REJECTED = "rejected row in batch"
-# Bytes of a batch that a task keeps in memory.
-PAYLOAD_IN_MEMORY = 64 << 20
 
 
 @dataclass
@@ -68,15 +67,12 @@ class CopyWriter(DataSourceArrowWriter):
         totals = TaskTotals()
         task = self._target().open(self.plan)
         try:
-            for batch_id, rows, refused, payload in whole_batches(iterator):
-                if refused:
-                    status = task.fail(batch_id, rows, REJECTED)
-                else:
-                    status = task.send(batch_id, rows, payload)
+            for batch in whole_batches(iterator):
+                status = task.send(batch)
                 totals.batches += 1
-                totals.rows += rows
+                totals.rows += batch.rows
                 if status == LOADED:
-                    totals.loaded_rows += rows
+                    totals.loaded_rows += batch.rows
                 else:
                     totals.failed_batches += 1
         finally:
@@ -94,39 +90,81 @@ class CopyWriter(DataSourceArrowWriter):
         """Nothing is taken back: a run with the same load id goes on from here."""
 
 
-def _new_payload() -> BinaryIO:
-    return tempfile.SpooledTemporaryFile(max_size=PAYLOAD_IN_MEMORY)
+class BatchStream(io.RawIOBase):
+    """The lines of one batch, read from the task's Arrow chunks as the target asks for them.
+
+    Nothing is kept but the chunk at hand. A rejected row raises ``Refused``, so
+    that the transaction it would be in is rolled back. After ``drain`` all
+    rows of the batch are counted in ``rows``.
+    """
+
+    def __init__(self, batch_id: int, parts: Iterator[pa.RecordBatch]):
+        self.batch_id, self.parts = batch_id, parts
+        self.rows, self.refused, self.left = 0, False, memoryview(b"")
+
+    def _next(self) -> pa.RecordBatch | None:
+        part = next(self.parts, None)
+        if part is not None:
+            self.rows += len(part)
+            self.refused = self.refused or bool(pc.any(part.column(2)).as_py())
+        return part
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, room) -> int:
+        while not self.left:
+            part = self._next()
+            if self.refused:
+                raise Refused(REJECTED_ROW)
+            if part is None:
+                return 0
+            # Lines are joined by Arrow, not one by one.
+            lines = part.column(1).cast(pa.large_string())
+            whole = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), lines)
+            joined = pc.binary_join(whole, pa.scalar("\n", pa.large_string()))[0].as_buffer()
+            self.left = memoryview(joined.to_pybytes() + b"\n")
+        n = min(len(room), len(self.left))
+        room[:n] = self.left[:n]
+        self.left = self.left[n:]
+        return n
 
+    def drain(self) -> None:
+        while self._next() is not None:
+            pass
 
-def whole_batches(iterator: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bool, BinaryIO]]:
-    """``batch_id, rows, refused, payload`` of each run of equal batch ids.
 
-    Holds one batch at a time, the larger ones on the task's disk. Lines are
-    joined by Arrow, not one by one.
-    """
-    current, rows, refused, payload = None, 0, False, _new_payload()
+def whole_batches(iterator: Iterator[pa.RecordBatch]) -> Iterator[BatchStream]:
+    """A stream for each run of equal batch ids; what the caller leaves of one is skipped."""
     seen: set[int] = set()
-    for chunk in iterator:
-        for values, length, start in _runs(chunk.column(0)):
-            if values != current:
-                if current is not None:
-                    payload.seek(0)
-                    yield current, rows, refused, payload
-                if values in seen:
-                    raise ValueError(f"batch {values} is not in one piece")
-                seen.add(values)
-                payload.close()
-                current, rows, refused, payload = values, 0, False, _new_payload()
-            part = chunk.slice(start, length)
-            rows += length
-            refused = refused or bool(pc.any(part.column(2)).as_py())
-            lines = part.column(1).cast(pa.large_string())
-            whole = pa.ListArray.from_arrays(pa.array([0, length], pa.int32()), lines)
-            payload.write(pc.binary_join(whole, pa.scalar("\n", pa.large_string()))[0].as_buffer())
-            payload.write(b"\n")
-    if current is not None:
-        payload.seek(0)
-        yield current, rows, refused, payload
+    ahead: list[tuple[int, pa.RecordBatch]] = []
+    source = (
+        (value, chunk.slice(start, length)) for chunk in iterator for value, length, start in _runs(chunk.column(0))
+    )
+
+    def parts(batch_id: int) -> Iterator[pa.RecordBatch]:
+        while True:
+            found = ahead.pop() if ahead else next(source, None)
+            if found is None:
+                return
+            if found[0] != batch_id:
+                ahead.append(found)
+                return
+            yield found[1]
+
+    while True:
+        if not ahead:
+            found = next(source, None)
+            if found is None:
+                return
+            ahead.append(found)
+        batch_id = ahead[0][0]
+        if batch_id in seen:
+            raise ValueError(f"batch {batch_id} is not in one piece")
+        seen.add(batch_id)
+        batch = BatchStream(batch_id, parts(batch_id))
+        yield batch
+        batch.drain()
 
 
 def _runs(ids: pa.Array) -> Iterator[tuple[int, int, int]]:
@@ -147,7 +185,9 @@ class CopySource(DataSource):
         return CopyWriter(self.options)
 
 
-def _batched(df: DataFrame, batch_size: int, layout: str | Sequence[str], rows: int) -> DataFrame:
+def _batched(
+    df: DataFrame, batch_size: int, layout: str | Sequence[str], rows: int, max_connections: int | None
+) -> DataFrame:
     """``df`` with a ``__batch`` column, each batch whole in one partition."""
     if layout == "partition":
         parts = batch_within_partition(df, batch_size, part="__part", batch="__no")
@@ -158,27 +198,50 @@ def _batched(df: DataFrame, batch_size: int, layout: str | Sequence[str], rows:
         numbered = batch_by_position(df, batch_size, batch="__batch")
     else:
         numbered = batch_global(df, layout, batch_size, batch="__batch")
-    return co_locate_batches(numbered, batches=partition_count(rows, batch_size), batch="__batch")
+    most = min(max_connections or MAX_PARTITIONS, MAX_PARTITIONS)
+    return co_locate_batches(
+        numbered, batches=partition_count(rows, batch_size), batch="__batch", max_partitions=most
+    )
+
+
+def _file_facts(df: DataFrame) -> list[Column]:
+    """Path, size and time of the file of a row, where ``df`` is a scan or a projection of one."""
+    facts = [F.col(f"_metadata.{f}") for f in ("file_path", "file_size", "file_modification_time")]
+    try:
+        df.select(*facts)
+    except AnalysisException:
+        return []
+    return facts
 
 
 def _cut(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> tuple[int, str]:
     """All rows, and how the batches are cut.
 
-    The text is equal for two runs only if their batches hold the same rows.
-    Reads row counts, or the keys where batches are in key order.
+    The text is equal for two runs only if they read the same files (path,
+    size, time and row count of each), cut the same way; with keys, the keys'
+    values count as well. Where rows do not come from files their values are
+    hashed instead. Hashes are added up, so that no pair of rows cancels out.
+    The order in which an input without positions gives its rows is not covered.
     """
-    placed = ROW_COL in df.columns
+    facts = _file_facts(df)
+    by = [f.alias(f"__fact_{i}") for i, f in enumerate(facts)]
+    keys = []
     if layout == "partition":
-        start = [F.min(F.struct(FILE_COL, ROW_COL)).alias("start")] if placed else []
-        pieces = df.groupBy(F.spark_partition_id().alias("piece")).agg(F.count(F.lit(1)).alias("rows"), *start)
-    elif layout == "position":
-        pieces = df.groupBy(F.col(FILE_COL).alias("piece")).agg(F.count(F.lit(1)).alias("rows"))
-    else:
+        by.append(F.spark_partition_id().alias("__piece"))
+    elif layout != "position":
         keys = [layout] if isinstance(layout, str) else list(layout)
-        pieces = df.select(*[ref(k) for k in keys], F.lit(1).alias("rows"))
-    row = pieces.agg(F.sum("rows"), F.bit_xor(F.xxhash64(*[ref(c) for c in pieces.columns]))).first()
+    wide = "decimal(38,0)"
+    values = keys if facts else [c for c in df.columns if c not in (FILE_COL, ROW_COL)]
+    hashed = content_hash(df.select(*[ref(c) for c in values])) if values else F.lit(0)
+    pieces = df.select(*by, hashed.cast(wide).alias("__hash"), F.lit(1).alias("__one"))
+    pieces = pieces.groupBy(*[c for c in pieces.columns if c not in ("__hash", "__one")]).agg(
+        F.count("__one").alias("__rows"), F.sum("__hash").alias("__hash")
+    )
+    each = F.xxhash64(*[ref(c) for c in pieces.columns if c != "__hash"]).cast(wide)
+    row = pieces.agg(F.sum("__rows"), F.sum(each), F.sum("__hash")).first()
     rows = row[0] or 0
-    return rows, json.dumps({"layout": layout, "batch_size": batch_size, "rows": rows, "hash": row[1]})
+    hashes = [str(row[1] or 0), str(row[2] or 0)]
+    return rows, json.dumps({"layout": layout, "batch_size": batch_size, "rows": rows, "hash": hashes})
 
 
 def load_copy(
@@ -187,7 +250,7 @@ def load_copy(
     table: str,
     *,
     batch_size: int = 100_000,
-    layout: str | Sequence[str] = "auto",
+    layout: str | Sequence[str] | None = None,
     mode: str = "overwrite",
     null_mode: str = "lossless",
     not_null: Sequence[str] = (),
@@ -204,31 +267,38 @@ def load_copy(
     ``layout`` says what a batch is: ``"partition"`` cuts each scan partition
     by itself and moves no rows; ``"position"`` gives batches of exactly
     ``batch_size`` rows of a source scanned with ``position=True``; a list of
-    keys gives them in key order. The last two exchange the rows once.
-    ``"auto"`` is the first, or the second where it can be and one scan
-    partition would hold up all others.
+    keys gives them in key order. The last two exchange the rows once and cut
+    the same batches on any cluster; scan partitions depend on its size and
+    settings. The default is ``"position"`` for a source scanned with
+    ``position=True`` and ``"partition"`` for any other.
 
     A batch with a rejected row, or one the target refuses, is FAILED and the
     load goes on; with ``strict`` it then ends in an error and the target keeps
-    its old rows. A load that broke off is continued by its ``load_id``, given
-    the same source, ``layout`` and ``batch_size``; if the batches would not hold
-    the same rows as before, it refuses. Failed batches of a finished load are
-    sent again by ``mode="append"`` with its ``load_id``. ``max_connections`` merges partitions
-    where the target allows fewer connections than Spark has cores.
+    its old rows, which only ``overwrite`` can promise, so ``append`` refuses
+    it. A load that broke off is continued by its ``load_id``, given the same
+    source, ``layout``, ``batch_size`` and ``mode``; if the batches would not
+    hold the same rows as before, it refuses. Failed batches of a finished load
+    are sent again by ``mode="append"`` with its ``load_id``.
+
+    Each task has a connection of its own: as many at a time as Spark has
+    cores, or at most ``max_connections``, whatever the layout; batches then
+    share partitions, and with layout "partition" they are cut anew.
     """
+    if strict and mode == "append":
+        raise ValueError("strict needs mode='overwrite': batches that are appended cannot be taken back")
     spark = df.sparkSession
     ship_package(spark)
     spark.dataSource.register(CopySource)
     content = [f for f in df.schema.fields if f.name not in (FILE_COL, ROW_COL)]
     schema = type(df.schema)(content)
     names = schema.fieldNames()
-    if layout == "auto":
-        layout = "position" if ROW_COL in df.columns and is_lopsided(df, batch_size) else "partition"
+    if layout is None:
+        layout = "position" if ROW_COL in df.columns else "partition"
     if layout == "partition" and max_connections:
         df = df.coalesce(max_connections)
     rows, cut = _cut(df, batch_size, layout)
     plan = plan_load(schema, table, mode, load_id, tuple(not_null), cut)
-    batched = _batched(df, batch_size, layout, rows)
+    batched = _batched(df, batch_size, layout, rows, max_connections)
     refused = rejected(schema, not_null=not_null, check=check)
     lines = encode_copy_rows(
         batched,
@@ -249,5 +319,11 @@ def load_copy(
 
 
 def copy_ledger(spark: SparkSession, load: CopyLoad, jdbc: Mapping[str, str] | None = None) -> DataFrame:
-    """``batch_id, rows, status, message, finished_at`` of a load's batches."""
-    return load.target.ledger(spark, load.plan, jdbc or {})
+    """``batch_id, rows, status, loaded_rows, percent, message, finished_at`` of a load's batches."""
+    return with_totals(load.target.ledger(spark, load.plan, jdbc or {}), "message", "finished_at")
+
+
+def copy_counts(spark: SparkSession, load: CopyLoad, source: DataFrame, jdbc: Mapping[str, str] | None = None) -> DataFrame:
+    """``source_rows, target_rows, diff, match``: the source against what the target itself counts."""
+    schema = type(source.schema)([f for f in source.schema.fields if f.name not in (FILE_COL, ROW_COL)])
+    return reconcile_counts(source_row_count(source), load.target.row_count(spark, load.plan, schema, jdbc or {}))

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidehaul.functions.encode import read_back
+from tidehaul.functions.statements import null_text
 from tidehaul.functions.typemap import ref, whole_div
 
 RANGE_COL = "batch_range"
 
 # How Spark reads the line format. The text standing for NULL is one that no
-# staged field can be, so an unquoted empty field is NULL and "" is empty.
+# staged field can be, so an unquoted empty field is NULL and "" is empty; in a
+# table of one column it is the text that the lines have for NULL.
 READ_OPTIONS = {
     "header": "false",
     "sep": ",",
@@ -56,7 +58,7 @@ def _read_lines(spark: SparkSession, path: str | list[str], schema: T.StructType
     # Only files that hold whole batches lie here; each is one task.
     return (
         spark.read.schema(T.StructType(names))
-        .options(**READ_OPTIONS)
+        .options(**{**READ_OPTIONS, **({"nullValue": null_text(1)} if len(names) == 1 else {})})
         .option("recursiveFileLookup", "true")
         .csv(path)
     )

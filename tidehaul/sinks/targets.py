@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tidehaul.functions.statements import copy_statement, create_table_statement, quote_identifier, quote_table
 from tidehaul.operators.isolate import FAILED, LOADED
+from tidehaul.sinks.staged import target_row_count
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -54,6 +55,7 @@ class LoadPlan:
 NAME_BYTES = 63
 # The entry under which a ledger keeps how a load's batches were cut.
 PLAN_ENTRY = -1
+REJECTED_ROW = "rejected row in batch"
 PUBLISHED = "PUBLISHED"
 
 
@@ -61,18 +63,35 @@ class OtherBatches(ValueError):
     """A load cannot go on, as its batches would now hold other rows than before."""
 
 
-def check_batches(plan: LoadPlan, recorded: str) -> None:
-    if recorded != plan.batches:
+class Refused(ValueError):
+    """A batch holds a row that must not be sent."""
+
+
+def plan_entry(plan: LoadPlan) -> str:
+    return json.dumps({"batches": plan.batches, "mode": plan.mode, "landing": plan.landing})
+
+
+def check_entry(plan: LoadPlan, recorded: str, published: bool) -> None:
+    """Refuse to go on with other batches, or where those already sent do not lie in this load's place."""
+    known = json.loads(recorded)
+    if known["batches"] != plan.batches:
         raise OtherBatches(
-            f"load {plan.load_id} was begun with batches {recorded}, these are {plan.batches}; use a new load id"
+            f"load {plan.load_id} was begun with batches {known['batches']}, these are {plan.batches}; use a new load id"
+        )
+    if not published and (known["mode"], known["landing"]) != (plan.mode, plan.landing):
+        raise OtherBatches(
+            f"load {plan.load_id} was begun as {known['mode']} and is not in place yet; its batches lie in "
+            f"{known['landing']}, so it goes on in that mode only"
         )
 
 
 def beside(table: str, suffix: str) -> str:
-    """A table name next to ``table``, cut so that the target does not cut it instead."""
+    """A table name next to ``table``. One too long for the target is cut, and a hash of the whole takes the rest's place."""
     schema, dot, name = table.rpartition(".")
-    kept = name.encode()[: NAME_BYTES - len(suffix)].decode(errors="ignore")
-    return f"{schema}{dot}{kept}{suffix}"
+    if len((name + suffix).encode()) > NAME_BYTES:
+        mark = "_" + hashlib.sha256(table.encode()).hexdigest()[:12]
+        name = name.encode()[: NAME_BYTES - len(suffix) - len(mark)].decode(errors="ignore") + mark
+    return f"{schema}{dot}{name}{suffix}"
 
 
 def plan_load(
@@ -154,10 +173,10 @@ class PostgresTarget:
             found = cur.fetchone()
             if not found:
                 cur.execute(
-                    f"INSERT INTO {ledger} (load_id, batch_id, message) VALUES (%s, %s, %s)", (*key, plan.batches)
+                    f"INSERT INTO {ledger} (load_id, batch_id, message) VALUES (%s, %s, %s)", (*key, plan_entry(plan))
                 )
             else:
-                check_batches(plan, found[0])
+                check_entry(plan, found[0], found[1] == PUBLISHED)
                 if plan.mode == "overwrite" and found[1] == PUBLISHED:
                     # Its batches count as sent, but they are not in a new landing table.
                     raise ValueError(f"load {plan.load_id} is in place already; append to send failed batches again")
@@ -190,6 +209,14 @@ class PostgresTarget:
         read = spark.read.format("jdbc").options(**jdbc).option("dbtable", query).load()
         return read.withColumnRenamed("row_count", "rows")
 
+    def row_count(
+        self, spark: SparkSession, plan: LoadPlan, schema: T.StructType, jdbc: Mapping[str, str]
+    ) -> DataFrame:
+        """One row, ``target_rows``, counted by the database over JDBC."""
+        query = f"(SELECT COUNT(*) AS n FROM {quote_table(plan.table)}) counted"
+        counted = spark.read.format("jdbc").options(**jdbc).option("dbtable", query).load()
+        return counted.toDF("n").selectExpr("cast(n AS BIGINT) AS target_rows")
+
 
 class _PostgresTask:
     """One task's connection."""
@@ -204,7 +231,7 @@ class _PostgresTask:
         found = cur.fetchone()
         return found[0] if found else None
 
-    def _record(self, cur, batch_id: int, rows: int, status: str, message: str | None) -> None:
+    def _record(self, cur, batch_id: int, rows: int | None, status: str, message: str | None) -> None:
         key = (self.plan.load_id, batch_id)
         cur.execute(f"DELETE FROM {self.ledger} WHERE load_id = %s AND batch_id = %s AND status = '{FAILED}'", key)
         cur.execute(
@@ -213,31 +240,37 @@ class _PostgresTask:
             (*key, rows, status, message, _now()),
         )
 
-    def send(self, batch_id: int, rows: int, payload: BinaryIO) -> str:
+    def send(self, batch) -> str:
         """COPY one batch in a transaction of its own, unless it is there already."""
         cur = self.conn.cursor()
-        if self._status(cur, batch_id) == LOADED:
+        if self._status(cur, batch.batch_id) == LOADED:
             self.conn.rollback()
+            batch.drain()
             return LOADED
         try:
             # The record goes first: its key makes a second attempt that runs
             # at the same time wait, and then fail.
-            self._record(cur, batch_id, rows, LOADED, None)
-            cur.copy_expert(self.plan.copy_into, payload)
+            self._record(cur, batch.batch_id, None, LOADED, None)
+            cur.copy_expert(self.plan.copy_into, batch)
+            cur.execute(
+                f"UPDATE {self.ledger} SET row_count = %s WHERE load_id = %s AND batch_id = %s",
+                (batch.rows, self.plan.load_id, batch.batch_id),
+            )
             self.conn.commit()
             return LOADED
         except Exception as error:
             # A connection that is gone fails here again, and with it the task,
             # which Spark starts anew.
             self.conn.rollback()
-            return self.fail(batch_id, rows, str(error))
+            batch.drain()
+            return self.fail(batch.batch_id, batch.rows, REJECTED_ROW if batch.refused else str(error))
 
     def fail(self, batch_id: int, rows: int, message: str) -> str:
         cur = self.conn.cursor()
         if self._status(cur, batch_id) == LOADED:
             self.conn.rollback()
             return LOADED
-        self._record(cur, batch_id, rows, FAILED, message[:1000])
+        self._record(cur, batch_id, rows, FAILED, message)
         self.conn.commit()
         return FAILED
 
@@ -278,9 +311,9 @@ class FolderTarget:
         known = _read(record)
         if known is None:
             fs, place = FileSystem.from_uri(record)
-            _put(fs, place, io.BytesIO(plan.batches.encode()))
+            _put(fs, place, io.BytesIO(plan_entry(plan).encode()))
         else:
-            check_batches(plan, known.decode())
+            check_entry(plan, known.decode(), plan.load_id in self.loads(plan.table))
 
     def open(self, plan: LoadPlan) -> _FolderTask:
         return _FolderTask(self._folder(plan), self._ledger_folder(plan))
@@ -293,7 +326,7 @@ class FolderTarget:
         return json.loads(_read(self._listing(table)) or b"[]")
 
     def publish(self, plan: LoadPlan) -> None:
-        before = self.loads(plan.table) if plan.mode == "append" else []
+        before = [i for i in self.loads(plan.table) if i != plan.load_id] if plan.mode == "append" else []
         fs, place = FileSystem.from_uri(self._listing(plan.table))
         _put(fs, place, io.BytesIO(json.dumps([*before, plan.load_id]).encode()))
 
@@ -303,6 +336,12 @@ class FolderTarget:
     def ledger(self, spark: SparkSession, plan: LoadPlan, jdbc: Mapping[str, str] | None = None) -> DataFrame:
         return spark.read.schema(LEDGER_SCHEMA).json(self._ledger_folder(plan))
 
+    def row_count(
+        self, spark: SparkSession, plan: LoadPlan, schema: T.StructType, jdbc: Mapping[str, str] | None = None
+    ) -> DataFrame:
+        """One row, ``target_rows``: the records in the files of the loads that make up the table."""
+        return target_row_count(spark, self.data_paths(plan.table), schema)
+
 
 def _read(uri: str) -> bytes | None:
     fs, place = FileSystem.from_uri(uri)
@@ -316,8 +355,12 @@ def _put(fs: FileSystem, path: str, data: BinaryIO) -> None:
     """Write a file that appears whole or not at all."""
     folder, _, name = path.rpartition("/")
     draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(draft) as file:
-        shutil.copyfileobj(data, file, 1 << 20)
+    try:
+        with fs.open_output_stream(draft) as file:
+            shutil.copyfileobj(data, file, 1 << 20)
+    except Refused:
+        fs.delete_file(draft)
+        raise
     fs.move(draft, path)
 
 
@@ -337,15 +380,16 @@ class _FolderTask:
         _put(self.fs, f"{self.ledger}/batch-{batch_id:020d}.json", io.BytesIO(json.dumps(row).encode() + b"\n"))
         return status
 
-    def send(self, batch_id: int, rows: int, payload: BinaryIO) -> str:
-        if not self._loaded(batch_id):
-            _put(self.fs, self._file(batch_id), payload)
-        return self._record(batch_id, rows, LOADED, None)
-
-    def fail(self, batch_id: int, rows: int, message: str) -> str:
-        if self._loaded(batch_id):
-            return self._record(batch_id, rows, LOADED, None)
-        return self._record(batch_id, rows, FAILED, message[:1000])
+    def send(self, batch) -> str:
+        if self._loaded(batch.batch_id):
+            batch.drain()
+            return self._record(batch.batch_id, batch.rows, LOADED, None)
+        try:
+            _put(self.fs, self._file(batch.batch_id), batch)
+        except Refused as error:
+            batch.drain()
+            return self._record(batch.batch_id, batch.rows, FAILED, str(error))
+        return self._record(batch.batch_id, batch.rows, LOADED, None)
 
     def close(self) -> None:
         pass
