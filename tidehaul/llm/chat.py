@@ -154,3 +154,21 @@ def chat_format(conversations: DataFrame) -> DataFrame:
         F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def oracle() -> str:
+    """The same digests in SQL, straight from the rows and without reading back."""
+    escaped = f"regexp_replace(text, '{CONTROL}', '\\1\\\\\\2\\3', 'g')"
+    probe = "'</s>[INST] ok [/INST]'"
+    rows = (
+        "SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations "
+        f"UNION ALL SELECT -1, 0, 'user', {probe} UNION ALL SELECT -1, 1, 'assistant', {probe}"
+    )
+    learned = "coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')"
+    return (
+        "SELECT conv_id, count(*) AS n_turns, "
+        "sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256, "
+        f"length({learned}) AS loss_chars, sha256({learned}) AS loss_sha256, "
+        f"CAST(sum({len(OPEN) + 1 + len(CLOSE)} + length(role) + length({escaped})) AS BIGINT) AS formatted_chars "
+        f"FROM ({rows}) GROUP BY conv_id"
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidehaul.llm import licenses
+from tidehaul.llm import chat, licenses
 from tidehaul.llm.chat import chat_format
 from tidehaul.llm.decontaminate import contaminated
 from tidehaul.llm.fingerprints import edited_fingerprints
@@ -76,4 +76,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op10_license_scan": licenses.oracle()}
+    return {"op8_chat_format": chat.oracle(), "op10_license_scan": licenses.oracle()}
