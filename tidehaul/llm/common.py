@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidehaul.session import written
+from tidehaul.session import ship_package, written
+
+# Rows that Spark hands to Python at a time. Texts are long, and the buffers of a
+# batch lie outside the heap, in the executor and in the worker.
+ROWS_IN_BATCH = "1000"
 
 # ASCII white space, as the contracts of these operators have it.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ready_for_python(spark: SparkSession) -> None:
+    """Make this package known to the executors, and batches of rows small; the setting stays with the session."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_IN_BATCH)
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

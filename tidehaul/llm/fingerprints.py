@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidehaul.llm.common import components, numbered
+from tidehaul.llm.common import components, numbered, ready_for_python
 from tidehaul.llm.minhash import mix64
-from tidehaul.session import ship_package, written
+from tidehaul.session import written
 
 SEED = 20160619
 SLOTS = 128
@@ -125,7 +125,7 @@ def likeness(a: str, b: str) -> float:
 
 def fingerprints(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", seed: int = SEED) -> DataFrame:
     """(id, n_chars, fingerprint) for each row; NULL text counts as empty. Nothing is shuffled."""
-    ship_package(df.sparkSession)
+    ready_for_python(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +191,7 @@ def near_documents(
     missed where neither is near the bucket's least. Empty texts and rows with
     a NULL id are linked with nothing.
     """
-    ship_package(df.sparkSession)
+    ready_for_python(df.sparkSession)
     texts = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).where(
         "id is not null and text <> ''"
     )
@@ -253,7 +253,7 @@ def edited_fingerprints(documents: DataFrame, seed: int = SEED) -> DataFrame:
     ordered by text. NULL ids come last, NULL text is empty.
     """
     spark = documents.sparkSession
-    ship_package(spark)
+    ready_for_python(spark)
     narrow = documents.select(
         "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("bytes")
     )

@@ -11,8 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidehaul.session import ship_package
-
+from tidehaul.llm.common import ready_for_python
 # Elements and names of HTML pages.
 DROPPED = "script style noscript template title textarea select button iframe object svg canvas"
 CONTAINERS = set(
@@ -255,7 +254,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     Repeated rows each give a row, other columns are ignored. A page is done
     by itself, so nothing is shuffled.
     """
-    ship_package(pages.sparkSession)
+    ready_for_python(pages.sparkSession)
     tree = grow_tree(*labelled_table())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,8 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidehaul.llm.common import components
-from tidehaul.session import ship_package, written
+from tidehaul.llm.common import components, ready_for_python
+from tidehaul.session import written
 
 COORDINATES = 256
 WIDE = 2048
@@ -22,7 +22,7 @@ BANDS = 42
 SEED = 0x9E3779B97F4A7C15
 # Shingles that are sketched together: bounds a task's memory, not what is read.
 TOGETHER = 250_000
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -47,6 +47,18 @@ class _Words(dict):
 _known = _Words()
 
 
+def _forgetting(run):
+    """``run`` over a task's batches, whose words are forgotten at its end: a worker goes on to other work."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _known.clear()
+
+    return whole
+
+
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     """Distinct 64-bit hashes of a text's shingles, sorted: A-Z lowered, words split at ASCII white space.
 
@@ -162,7 +174,7 @@ def _sketched(words: int, bands: int, band_rows: int):
         if ids:
             yield finish(ids, sets)
 
-    return run
+    return _forgetting(run)
 
 
 def _verified(words: int, part: int, whole: int):
@@ -182,7 +194,7 @@ def _verified(words: int, part: int, whole: int):
                 [pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"]
             )
 
-    return run
+    return _forgetting(run)
 
 
 def _wide(words: int):
@@ -209,7 +221,7 @@ def _wide(words: int):
                 names=["rep", "n", "w"],
             )
 
-    return run
+    return _forgetting(run)
 
 
 def near_duplicates(
@@ -246,7 +258,7 @@ def near_duplicates(
     columns are ignored.
     """
     spark = docs.sparkSession
-    ship_package(spark)
+    ready_for_python(spark)
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     sk = written(texts.mapInArrow(_sketched(words, bands, band_rows), SKETCHED), "sketches")
     sets = sk.where("id is not null and n > 0")

@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidehaul.session import ship_package
-
+from tidehaul.llm.common import ready_for_python
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -119,7 +118,7 @@ def token_counts(
     Scores of this vocabulary are whole numbers, so sums are exact in any
     order and cutting a text into units changes no tie.
     """
-    ship_package(df.sparkSession)
+    ready_for_python(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     key = hash(tuple(vocabulary))
 

@@ -13,9 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidehaul.llm.common import replace_columns
+from tidehaul.llm.common import ready_for_python, replace_columns
 from tidehaul.llm.minhash import shingle_hashes
-from tidehaul.session import ship_package, written
+from tidehaul.session import written
 
 # Labelled documents that are learned from at most, and sequences of tokens that the field is fitted on.
 TRAINING_DOCUMENTS = 20_000
@@ -24,7 +24,7 @@ SEQUENCE = 32
 BUCKETS = 1 << 19
 REJECT_FROM = 0.7
 SEGMENT = 64
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 100_000
 # Tokens whose marginals are computed together: bounds a task's memory, not what is read.
 TOGETHER = 250_000
 
@@ -293,7 +293,7 @@ def toxicity(df: DataFrame, field: Field | None, text_column: str = "text", name
     (nothing to learn from) the score is 0.
     """
     df = replace_columns(df, [name])
-    ship_package(df.sparkSession)
+    ready_for_python(df.sparkSession)
     if field is None:
         return df.withColumn(name, F.expr("named_struct('score', 0D, 'spans', cast(array() as array<struct<start:int,stop:int>>))"))
     shared = df.sparkSession.sparkContext.broadcast(field)  # BUCKETS floats, whatever the data
@@ -334,7 +334,7 @@ def learn(
     them there is nothing to learn, and the result is None.
     """
     spark = documents.sparkSession
-    ship_package(spark)
+    ready_for_python(spark)
     told = labels.where("doc_id is not null and toxic is not null and crc32(cast(doc_id as string)) % 3 <> 1")
     told = told.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     n = told.count()
