@@ -38,6 +38,7 @@ from tidehaul.sinks import (
     FolderTarget,
     copy_counts,
     copy_ledger,
+    copy_staged,
     jdbc_row_count,
     load_copy,
     load_jdbc,
@@ -266,6 +267,14 @@ def q_batch_global_equal_keys(spark, sf_dir):
     )
 
 
+def q_copy_staged(spark, sf_dir):
+    """Staged files sent on to a target from the executors, and read there."""
+    path, schema = _staged(spark, sf_dir, "documents", 20)
+    target = FolderTarget(scratch_path(spark, "sent"))
+    copy_staged(spark, path, schema, target, "documents", batches_per_folder=FOLDER, strict=True)
+    return read_staged(spark, target.data_paths("documents"), schema)
+
+
 def q_target_row_count(spark, sf_dir):
     return target_row_count(spark, *_staged(spark, sf_dir, "orders"))
 
@@ -400,6 +409,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stage_copy_manifest": q_stage_copy_manifest,
         "one_column_rows": q_one_column_rows,
         "one_column_count": q_one_column_count,
+        "copy_staged": q_copy_staged,
         "target_row_count": q_target_row_count,
         "load_jdbc": q_load_jdbc,
         "jdbc_row_count": q_jdbc_row_count,
@@ -587,6 +597,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "one_column_rows": "SELECT CASE WHEN c_acctbal >= 0 THEN c_name END AS c_name FROM customer",
         "one_column_count": "SELECT count(*) AS target_rows FROM customer",
+        "copy_staged": "SELECT * FROM documents",
         "target_row_count": "SELECT count(*) AS target_rows FROM orders",
         "load_jdbc": "SELECT * FROM orders",
         "jdbc_row_count": "SELECT count(*) AS target_rows FROM orders",

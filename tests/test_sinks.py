@@ -24,6 +24,7 @@ from tidehaul.sinks import (
     PostgresTarget,
     copy_counts,
     copy_ledger,
+    copy_staged,
     jdbc_columns,
     jdbc_row_count,
     load_copy,
@@ -316,6 +317,19 @@ def test_messages_are_kept_whole(database, spark):
     assert len(message) > 5000
 
 
+def test_staged_files_are_sent_on(spark, orders, database):
+    path = scratch_path(spark, "test")
+    spark.range(0, 1000, 1, 4).selectExpr("id", "repeat('a\\n\"b,', cast(id % 4 AS INT)) AS s").write.parquet(path)
+    staged = bulk_load(spark, path, "t", batch_size=100, batches_per_folder=3, compression="gzip")
+    options = {"batches_per_folder": 3, "load_id": "on"}
+    load = copy_staged(spark, staged.path, staged.schema, standin(database), "t", **options)
+    assert ask(database, "SELECT count(*), sum(id), sum(length(s)) FROM t") == [(1000, 499500, 7500)]
+    assert sum(n for n, _ in ledger_of(database, "t").values()) == 1000
+    with pytest.raises(ValueError, match="in place already"):
+        copy_staged(spark, staged.path, staged.schema, standin(database), "t", **options)
+    assert load.plan.load_id == "on"
+
+
 def test_one_column_load(spark, database):
     path = scratch_path(spark, "test")
     spark.range(300).selectExpr("CASE WHEN id % 3 <> 0 THEN cast(id AS STRING) END AS s").write.parquet(path)

@@ -1,4 +1,4 @@
-from tidehaul.sinks.copy_load import CopyLoad, copy_counts, copy_ledger, load_copy
+from tidehaul.sinks.copy_load import CopyLoad, copy_counts, copy_ledger, copy_staged, load_copy
 from tidehaul.sinks.jdbc import jdbc_columns, jdbc_row_count, load_jdbc
 from tidehaul.sinks.staged import read_staged, stage_copy_files, staged_manifest, target_row_count
 from tidehaul.sinks.targets import FolderTarget, PostgresTarget
@@ -9,6 +9,7 @@ __all__ = [
     "PostgresTarget",
     "copy_counts",
     "copy_ledger",
+    "copy_staged",
     "jdbc_columns",
     "jdbc_row_count",
     "load_copy",

@@ -10,8 +10,9 @@ from dataclasses import asdict, dataclass
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tidehaul.functions.encode import encode_copy_rows, rejected
@@ -28,8 +29,9 @@ from tidehaul.operators.batching import (
 from tidehaul.operators.isolate import LOADED
 from tidehaul.operators.ledger import with_totals
 from tidehaul.operators.verify import CountMismatch, reconcile_counts
-from tidehaul.session import ship_package
+from tidehaul.session import ship_package, written
 from tidehaul.sources.parquet import FILE_COL, ROW_COL, source_row_count
+from tidehaul.sinks.staged import staged_manifest
 from tidehaul.sinks.targets import REJECTED_ROW, LoadPlan, Refused, plan_load, resolve
 
 FORMAT = "tidehaul_copy"
@@ -105,7 +107,8 @@ class BatchStream(io.RawIOBase):
     def _next(self) -> pa.RecordBatch | None:
         part = next(self.parts, None)
         if part is not None:
-            self.rows += len(part)
+            # A staged file comes as one piece, with the number of its records beside it.
+            self.rows += len(part) if part.num_columns < 4 else pc.sum(part.column(3)).as_py()
             self.refused = self.refused or bool(pc.any(part.column(2)).as_py())
         return part
 
@@ -287,8 +290,6 @@ def load_copy(
     if strict and mode == "append":
         raise ValueError("strict needs mode='overwrite': batches that are appended cannot be taken back")
     spark = df.sparkSession
-    ship_package(spark)
-    spark.dataSource.register(CopySource)
     content = [f for f in df.schema.fields if f.name not in (FILE_COL, ROW_COL)]
     schema = type(df.schema)(content)
     names = schema.fieldNames()
@@ -306,6 +307,56 @@ def load_copy(
         carry=[F.col("__batch").alias("batch_id"), refused.alias("refused")],
         null_mode=null_mode,
     ).select("batch_id", "line", "refused")
+    return _send(spark, lines, plan, target, strict)
+
+
+def copy_staged(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    target,
+    table: str,
+    *,
+    batches_per_folder: int = 1,
+    mode: str = "overwrite",
+    not_null: Sequence[str] = (),
+    load_id: str | None = None,
+    strict: bool = False,
+) -> CopyLoad:
+    """COPY the staged files under ``path`` into ``table``, each file a transaction.
+
+    The executors read the files and send them as they are; a file has to fit in
+    a task's memory, as a batch of rows does. Its number in the ledger is the
+    first batch of its folder times 2**20, plus its place among the folder's
+    files by name. Load id, mode and ``strict`` mean the same as in
+    ``load_copy``; a load is continued only over the same files, sizes and rows.
+    """
+    if strict and mode == "append":
+        raise ValueError("strict needs mode='overwrite': batches that are appended cannot be taken back")
+    place = F.row_number().over(Window.partitionBy("first_batch").orderBy("file")) - 1
+    files = written(
+        staged_manifest(spark, path, schema, batches_per_folder=batches_per_folder)
+        .where("rows > 0")
+        .withColumn("batch_id", F.col("first_batch") * (1 << 20) + place),
+        "manifest",
+    )
+    facts = F.xxhash64("file", "bytes", "rows").cast("decimal(38,0)")
+    total = files.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.sum(facts)).first()
+    cut = json.dumps({"staged": path, "rows": total[0], "hash": str(total[1])})
+    plan = plan_load(schema, table, mode, load_id, tuple(not_null), cut)
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    whole = texts.select(F.col("_metadata.file_path").alias("file"), "value")
+    # The writer ends what it sends with a line break of its own.
+    body = F.when(F.endswith("value", F.lit("\n")), F.expr("substr(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+    lines = whole.join(files.select("file", "batch_id", "rows"), "file").select(
+        "batch_id", body.alias("line"), F.lit(False).alias("refused"), "rows"
+    )
+    return _send(spark, lines, plan, target, strict)
+
+
+def _send(spark: SparkSession, lines: DataFrame, plan: LoadPlan, target, strict: bool) -> CopyLoad:
+    ship_package(spark)
+    spark.dataSource.register(CopySource)
     target_name, target_args = target.spec()
     target.begin(plan)
     lines.write.format(FORMAT).mode("append").options(
