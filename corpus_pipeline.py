@@ -30,7 +30,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents come as often as the mix of sources takes them, to the nearest whole number."""
+    """Whole documents, as many words of each source as the mix of sources takes of it."""
     return mixed_documents(docs)
 
 

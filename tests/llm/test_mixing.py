@@ -102,3 +102,25 @@ def test_stage_repeats_by_words_taken(documents):
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "taken"]
     counts = {r["source"]: r["count"] for r in out.groupBy("source").count().collect()}
     assert counts["a"] < 270 and counts["b"] >= 2 * 27 and counts["c"] >= 8
+
+
+@pytest.mark.parametrize("weights", [(1.0, 2.0, 3.0), (1.0, 9.0, 20.0), (9.0, 4.0, 1.0)])
+def test_stage_keeps_the_words_of_the_mix(spark, weights):
+    """Sources with long documents, one of them hot: the stage's words are the mix's, and long ones come as often."""
+    df = spark.range(9000).selectExpr(
+        "id as doc_id",
+        "repeat('w ', cast(case when id % 40 = 3 then 2000 + 37 * (id % 50) else 20 + id % 131 end as int)) as text",
+        "case when id % 10 < 8 then 'hot' when id % 10 = 8 then 'b' else 'c' end as source",
+    )
+    size = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    mixed = mix(df.withColumn("n", size), F.col("n"), F.col("doc_id"), weights=list(weights), cell_words=40_000)
+    per = F.sum("taken").alias("n"), F.sum(F.expr("if(size >= 1000, taken, 0)")).alias("long")
+    want = {r["source"]: r for r in mixed.groupBy("source").agg(*per, F.first("target").alias("t")).collect()}
+    out = mixed_documents(df, weights=list(weights), cell_words=40_000).withColumn("n", size)
+    per = F.sum("n").alias("n"), F.sum(F.expr("if(n >= 1000, n, 0)")).alias("long")
+    got = {r["source"]: r for r in out.groupBy("source").agg(*per).collect()}
+    for s, r in want.items():
+        assert abs(got[s]["n"] - r["n"]) <= 0.02 * r["n"] and abs(got[s]["n"] - r["t"]) <= 0.03 * r["t"]
+        assert abs(got[s]["long"] - r["long"]) <= max(4000, 0.15 * r["long"])
+    copies = out.groupBy("doc_id").count().join(mixed, "doc_id")
+    assert copies.where("count not in (taken div size, taken div size + 1) or count * size - taken >= size").count() == 0

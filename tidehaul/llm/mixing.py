@@ -118,8 +118,13 @@ def mix(
     NULL size counts as 0. A NULL source is a source of its own. Repeated rows
     each count. Own columns replace those of ``df`` with the same names.
     """
-    spark = df.sparkSession
     df = replace_columns(df, ["size", "source_size", "target", "taken"])
+    picked = _picked(df, size, key, source, weights, limit, block_words, cell_words, seed)
+    return picked.select("row.*", "size", "source_size", "target", "taken")
+
+
+def _picked(df, size, key, source, weights, limit, block_words, cell_words, seed) -> DataFrame:
+    """The rows of ``mix`` as ``row``, with its columns and ``_cell`` and ``_order``, the place in the cell."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("null"))))
     rows = df.select(
         F.struct("*").alias("row"), F.coalesce(size, F.lit(0)).cast("long").alias("size"),
@@ -183,7 +188,7 @@ def mix(
         f"0L, (got, j) -> got + {overlap}) end"
     )
     picked = picked.withColumn("taken", F.expr(f"_rounds * size + {last}"))
-    return picked.select("row.*", "size", "source_size", "target", "taken")
+    return picked.select("row", "source", "_cell", "_order", "size", "source_size", "target", "taken")
 
 
 def document_mix(documents: DataFrame) -> DataFrame:
@@ -195,13 +200,49 @@ def document_mix(documents: DataFrame) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-def mixed_documents(documents: DataFrame) -> DataFrame:
-    """A stage: each document as often as the mix takes it, to the nearest whole number.
-
-    A document without words stays once. All columns are kept as they are.
+def mixed_documents(
+    documents: DataFrame,
+    weights: list[float] = (1.0, 2.0, 3.0),
+    limit: int = 3,
+    cell_words: int = CELL_WORDS,
+    seed: int = SEED,
+) -> DataFrame:
+    """A stage: whole documents, as many words of each cell as the mix takes of it.
+
+    A document comes ``taken / size`` times, rounded down or up. In each cell the
+    parts that are left of a copy are added up from the longest document to the
+    shortest, from a seeded start, and the document in which the sum passes a
+    whole number gets the copy; so long documents come as often as short ones.
+    As sizes only fall, a cell is off by no more than two of its longest
+    documents. What it is off is then made up by rounding short documents,
+    none longer than half of it, the other way, in seeded order. A document
+    without words stays once. All columns are kept as they are.
     """
     size = F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("long")
-    packed = documents.select(F.struct("*").alias("_doc"), "doc_id", "source", size.alias("_size"))
-    mixed = mix(packed, F.col("_size"), F.col("doc_id"))
-    times = F.expr("case when size = 0 then 1 else cast((2 * taken + size) div (2 * size) as int) end")
-    return mixed.withColumn("_copy", F.explode(F.expr("sequence(1, 3)"))).where(F.col("_copy") <= times).select("_doc.*")
+    packed = documents.select(
+        F.struct("*").alias("_doc"), "doc_id", "source", size.alias("_size"), F.xxhash64("text").alias("_tie")
+    )
+    picked = _picked(packed, F.col("_size"), F.col("doc_id"), "source", list(weights), limit, BLOCK_WORDS, cell_words, seed)
+    cell = Window.partitionBy("source", "_cell")
+    one = 1 << 30
+    parts = picked.select(
+        F.col("row._doc").alias("_doc"), "source", "_cell", "_order", "size", F.col("row._tie").alias("_tie"),
+        F.expr("case when size = 0 then 1 else taken div size end").alias("_whole"),
+        F.expr("case when size = 0 then 0 else taken % size end").alias("_words"),
+    ).withColumns(
+        {
+            "_part": F.expr(f"case when _words = 0 then 0 else _words * {one} div size end"),
+            "_start": F.pmod(F.xxhash64("source", "_cell", F.lit(seed)), F.lit(one)),
+        }
+    )
+    falling = cell.orderBy(F.desc("size"), "_order", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.col("_start") + F.coalesce(F.sum("_part").over(falling), F.lit(0)))
+    parts = parts.withColumn("_up", F.expr(f"(_before + _part) div {one} - _before div {one}"))
+    parts = parts.withColumn("_short", F.sum(F.col("_words") - F.col("_up") * F.col("size")).over(cell))
+    able = F.expr("_words > 0 and 2 * size <= abs(_short) and _up = case when _short > 0 then 0 else 1 end")
+    seeded = cell.orderBy(F.desc("_able"), "_order", "size", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("_able", able).withColumn("_turned", F.sum(F.expr("if(_able, size, 0)")).over(seeded))
+    turn = F.expr("_able and 2 * _turned - size <= 2 * abs(_short)")
+    times = (F.col("_whole") + F.when(turn, 1 - F.col("_up")).otherwise(F.col("_up"))).cast("int")
+    copies = parts.select("_doc", times.alias("_times")).where("_times > 0")
+    return copies.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select("_doc.*")
