@@ -1,12 +1,9 @@
-import os
 import sys
 
 import pytest
+from places import ROOT
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-SF001 = "/root/testdata/sf0.001"
-SF01 = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")

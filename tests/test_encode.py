@@ -8,7 +8,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import SF01
+from places import SF01
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

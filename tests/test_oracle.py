@@ -4,7 +4,7 @@ import math
 import sys
 
 import pytest
-from conftest import SF01
+from places import SF01
 
 sys.path.append("/opt/oracle")
 duckdb = pytest.importorskip("duckdb")

@@ -5,7 +5,7 @@ import sqlite3
 import tempfile
 
 import pytest
-from conftest import ROOT, SF001, SF01
+from places import ROOT, SF001, SF01
 from pyspark.sql import functions as F
 
 from tidehaul.functions import encode_copy_rows
