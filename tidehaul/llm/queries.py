@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidehaul.llm import chat, licenses
+from tidehaul.llm import chat, licenses, merkle
 from tidehaul.llm.chat import chat_format
 from tidehaul.llm.decontaminate import contaminated
 from tidehaul.llm.fingerprints import edited_fingerprints
@@ -60,6 +60,10 @@ def op10_license_scan(spark, sf_dir):
     return licenses.license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest_proofs(_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op1_edit_fingerprints": op1_edit_fingerprints,
@@ -72,8 +76,13 @@ def queries():
         "op8_chat_format": op8_chat_format,
         "op9_decontamination": op9_decontamination,
         "op10_license_scan": op10_license_scan,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 
 def oracle_sql():
-    return {"op8_chat_format": chat.oracle(), "op10_license_scan": licenses.oracle()}
+    return {
+        "op8_chat_format": chat.oracle(),
+        "op10_license_scan": licenses.oracle(),
+        "op12_merkle_manifest": merkle.oracle(),
+    }
