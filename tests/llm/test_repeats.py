@@ -1,0 +1,111 @@
+import hashlib
+import random
+import re
+
+import pytest
+from llm_cases import EDGES
+
+from tidehaul.llm import repeats
+from tidehaul.llm.repeats import COVER, PERIOD, repeated_passages, without_repeats
+
+
+def brute(rows, window=50):
+    """Every window of every (doc_id, text) row, as a tuple of words."""
+    order = lambda i: 2**63 - 1 if i is None else i
+    split = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
+    least = {}
+    for i, words in split:
+        for k in range(len(words) - window + 1):
+            key = tuple(words[k : k + window])
+            least[key] = min(least.get(key, order(i)), order(i))
+    out = []
+    for i, words in split:
+        gone = set()
+        for k in range(len(words) - window + 1):
+            if least[tuple(words[k : k + window])] < order(i):
+                gone.update(range(k, k + window))
+        kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+        out.append((i, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
+
+
+def check(docs):
+    out = repeated_passages(docs)
+    assert out.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    found = [tuple(r) for r in out.collect()]
+    expected = brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert sorted(map(str, found)) == sorted(map(str, expected))
+    return found
+
+
+def test_cover_has_every_distance():
+    assert {(a - b) % PERIOD for a in COVER for b in COVER} == set(range(PERIOD))
+
+
+def test_whole_table_equals_brute_force(table):
+    assert sum(r[2] > 0 for r in check(table("documents"))) > 10
+
+
+def test_matches_of_any_length_at_any_offset(documents):
+    """Passages of 48 to 120 words at all offsets modulo the period, also at the ends, in chains of documents."""
+    rng = random.Random(5)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows, shared = [], [fresh(120) for _ in range(6)]
+    for k in range(90):
+        words = fresh(rng.randrange(0, 70))
+        for passage in rng.sample(shared, 2):
+            a = rng.randrange(0, 60)
+            words += passage[a : a + rng.randrange(48, 121)] + fresh(rng.randrange(0, 40))
+        rows.append((k, rng.choice([" ", "\n", "\t "]).join(words), "en", "s"))
+    found = check(documents(rows))
+    assert 0 < sum(r[2] for r in found) < sum(r[1] for r in found)
+
+
+def test_periodic_texts(documents):
+    """Few words again and again: very many equal windows inside and between texts."""
+    rows = [(k, " ".join((["a", "b"] if k % 2 else ["a", "b", "a"]) * (20 + k)), "en", "s") for k in range(12)]
+    check(documents(rows + [(20 + k, "a " * (45 + k), "en", "s") for k in range(12)]))
+
+
+def test_hot_copies_and_a_passage_in_every_document(documents):
+    """A third of the rows are one text, all share a passage, and the least id has it too."""
+    rng = random.Random(3)
+    passage = " ".join(f"p{k}" for k in range(70))
+    other = lambda n: " ".join(f"x{rng.randrange(10**9)}" for _ in range(n))
+    copy = other(200) + " " + passage
+    rows = [(k, copy if k % 3 == 0 else f"{other(k % 90)} {passage} {other(30)}", "en", "s") for k in range(240)]
+    found = {r[0]: r for r in check(documents(rows))}
+    assert found[0][2] == 0 and all(found[k][2] == found[k][1] for k in range(3, 240, 3))
+    assert all(found[k][2] == 70 for k in range(240) if k % 3)
+
+
+def test_edges_ties_and_clashing_columns(documents):
+    """NULL ids and texts, repeated ids with equal and other texts, long texts, and names used inside."""
+    long = " ".join(f"v{k}" for k in range(60))
+    rows = EDGES + [(i, t, "en", "s") for i, t in [(7, long), (7, long), (7, long + " end"), (None, long), (None, long + " z")]]
+    rows += [(50, "word " * 30_000, "en", "s"), (51, "word " * 49, "en", "s"), (52, "\x1c".join("abc") + " " + long, "en", "s")]
+    check(documents(rows, "id text_key starts anchors at one first_id"))
+
+
+def test_empty_tables(documents):
+    docs = documents([(1, "a", "en", "s")])
+    assert repeated_passages(docs.where("doc_id > 1")).count() == 0
+    assert [tuple(r)[:3] for r in repeated_passages(docs.selectExpr("doc_id", "CAST(NULL AS STRING) text")).collect()] == [(1, 0, 0)]
+
+
+def test_spans_and_kept_words(documents):
+    """The operator itself gives spans and text; other lengths of windows are possible."""
+    words = [f"w{k}" for k in range(100)]
+    rows = [(1, " ".join(words), "en", "s"), (2, " ".join(["x", *words[10:60], "y", *words[:20], *words[40:90]]), "en", "s")]
+    found = {r["doc_id"]: r for r in without_repeats(documents(rows), window=40).collect()}
+    assert found[1]["removed"] == [] and found[1]["kept"].decode() == " ".join(words)
+    assert [tuple(s) for s in found[2]["removed"]] == [(1, 51), (72, 122)]
+    assert found[2]["kept"].decode().split() == ["x", "y", *words[:20]]
+    with pytest.raises(ValueError):
+        without_repeats(documents(rows), window=PERIOD)
+
+
+def test_small_memory_of_words_changes_nothing(table, monkeypatch):
+    monkeypatch.setattr(repeats, "WORDS_HELD", 10)
+    monkeypatch.setattr(repeats, "ROWS_TOGETHER", 7)
+    check(table("documents").limit(40))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidehaul.llm import chat, licenses, merkle
+from tidehaul.llm import chat, licenses, merkle, repeats
 from tidehaul.llm.chat import chat_format
 from tidehaul.llm.decontaminate import contaminated
 from tidehaul.llm.fingerprints import edited_fingerprints
@@ -64,6 +64,10 @@ def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest_proofs(_table(spark, sf_dir, "documents"))
 
 
+def op13_substring_dedup(spark, sf_dir):
+    return repeats.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op1_edit_fingerprints": op1_edit_fingerprints,
@@ -77,6 +81,7 @@ def queries():
         "op9_decontamination": op9_decontamination,
         "op10_license_scan": op10_license_scan,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_substring_dedup": op13_substring_dedup,
     }
 
 
@@ -85,4 +90,5 @@ def oracle_sql():
         "op8_chat_format": chat.oracle(),
         "op10_license_scan": licenses.oracle(),
         "op12_merkle_manifest": merkle.oracle(),
+        "op13_substring_dedup": repeats.oracle(),
     }
