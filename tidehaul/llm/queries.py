@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidehaul.llm import chat, licenses, merkle, repeats
+from tidehaul.llm import chat, divergence, licenses, merkle, repeats
 from tidehaul.llm.chat import chat_format
 from tidehaul.llm.decontaminate import contaminated
 from tidehaul.llm.fingerprints import edited_fingerprints
@@ -60,6 +60,10 @@ def op10_license_scan(spark, sf_dir):
     return licenses.license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark, sf_dir):
     return merkle.manifest_proofs(_table(spark, sf_dir, "documents"))
 
@@ -80,6 +84,7 @@ def queries():
         "op8_chat_format": op8_chat_format,
         "op9_decontamination": op9_decontamination,
         "op10_license_scan": op10_license_scan,
+        "op11_source_divergence": op11_source_divergence,
         "op12_merkle_manifest": op12_merkle_manifest,
         "op13_substring_dedup": op13_substring_dedup,
     }
@@ -89,6 +94,7 @@ def oracle_sql():
     return {
         "op8_chat_format": chat.oracle(),
         "op10_license_scan": licenses.oracle(),
+        "op11_source_divergence": divergence.oracle(),
         "op12_merkle_manifest": merkle.oracle(),
         "op13_substring_dedup": repeats.oracle(),
     }
