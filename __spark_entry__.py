@@ -39,6 +39,7 @@ from tidehaul.sinks import (
     copy_counts,
     copy_ledger,
     copy_staged,
+    copy_summary,
     jdbc_row_count,
     load_copy,
     load_jdbc,
@@ -47,7 +48,7 @@ from tidehaul.sinks import (
     staged_manifest,
     target_row_count,
 )
-from tidehaul.sources import scan_source, source_row_count
+from tidehaul.sources import footer_row_count, footer_statistics, scan_source, source_row_count
 
 # Operators for training data and their pipeline can be taken out as a whole.
 _OPTIONAL = ("tidehaul.llm", "tidehaul.llm.queries", "corpus_pipeline")
@@ -64,6 +65,10 @@ RANGE = 4096
 PARTITION = 7000
 FOLDER = 25
 REJECT = "o_totalprice > 499500"
+LINEITEM = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus "
+    "l_shipdate"
+).split()
 
 
 def _scan(spark: SparkSession, sf_dir: str, table: str, **options) -> DataFrame:
@@ -78,7 +83,11 @@ def q_scan_source(spark, sf_dir):
 
 
 def q_source_row_count(spark, sf_dir):
-    return source_row_count(_scan(spark, sf_dir, "lineitem"))
+    return footer_row_count(spark, f"{sf_dir}/lineitem.parquet")
+
+
+def q_footer_statistics(spark, sf_dir):
+    return footer_statistics(spark, f"{sf_dir}/lineitem.parquet")
 
 
 def q_profile_columns(spark, sf_dir):
@@ -330,6 +339,11 @@ def q_load_copy_counts(spark, sf_dir):
     return copy_counts(spark, load, _scan(spark, sf_dir, "events", position=True))
 
 
+def q_copy_summary(spark, sf_dir):
+    load, _ = _copied(spark, sf_dir)
+    return copy_summary(spark, load).select("batches", "failed_batches", "source_rows", "loaded_rows")
+
+
 def q_load_copy_rows(spark, sf_dir):
     load, schema = _copied(spark, sf_dir)
     return read_staged(spark, load.target.data_paths("events"), schema)
@@ -353,12 +367,32 @@ def q_reconcile_counts(spark, sf_dir):
     return full.select(F.lit("full").alias("load"), "*").unionAll(partial.select(F.lit("partial").alias("load"), "*"))
 
 
-def q_bulk_load(spark, sf_dir):
+def _bulk_load(spark, sf_dir, **options):
     path = f"{sf_dir}/orders.parquet"
-    load = bulk_load(
-        spark, path, "public.orders", batch_size=BATCH, check=F.expr(REJECT), batches_per_folder=FOLDER
+    return bulk_load(
+        spark, path, "public.orders", batch_size=BATCH, check=F.expr(REJECT), batches_per_folder=FOLDER, **options
     )
-    return load.ledger
+
+
+def q_bulk_load(spark, sf_dir):
+    return _bulk_load(spark, sf_dir).ledger
+
+
+def q_bulk_load_manifest(spark, sf_dir):
+    """Files of loaded batches, as the tasks that wrote them report them."""
+    files = _bulk_load(spark, sf_dir).manifest
+    return files.groupBy("first_batch").agg(F.sum("rows").alias("rows"))
+
+
+def q_bulk_load_counts(spark, sf_dir):
+    return _bulk_load(spark, sf_dir).counts
+
+
+def q_bulk_load_sent(spark, sf_dir):
+    """Staged and sent on in one call; the rows of the target."""
+    target = FolderTarget(scratch_path(spark, "sent"))
+    load = _bulk_load(spark, sf_dir, target=target)
+    return read_staged(spark, target.data_paths("public.orders"), load.schema)
 
 
 def q_bulk_load_by_key(spark, sf_dir):
@@ -387,6 +421,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_source": q_scan_source,
         "source_row_count": q_source_row_count,
+        "footer_statistics": q_footer_statistics,
         "profile_columns": q_profile_columns,
         "project_to_target": q_project_to_target,
         "project_to_target_events": q_project_to_target_events,
@@ -417,10 +452,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_copy_ledger": q_load_copy_ledger,
         "load_copy_counts": q_load_copy_counts,
         "load_copy_rows": q_load_copy_rows,
+        "copy_summary": q_copy_summary,
         "reconcile_columns": q_reconcile_columns,
         "reconcile_counts": q_reconcile_counts,
         "bulk_load": q_bulk_load,
         "bulk_load_by_key": q_bulk_load_by_key,
+        "bulk_load_manifest": q_bulk_load_manifest,
+        "bulk_load_counts": q_bulk_load_counts,
+        "bulk_load_sent": q_bulk_load_sent,
         **{k: q for m in _more for k, q in m.queries().items()},
     }
 
@@ -527,6 +566,11 @@ def oracle_sql() -> dict[str, str]:
     return {
         "scan_source": "SELECT * FROM orders",
         "source_row_count": "SELECT count(*) AS row_count FROM lineitem",
+        "footer_statistics": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) AS row_count, count({c}) AS value_count, "
+            f"count(*) - count({c}) AS null_count FROM lineitem"
+            for c in LINEITEM
+        ),
         "profile_columns": _sql_profile(
             [
                 ("event_id", "bigint", "BIGINT"),
@@ -614,6 +658,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT count(*) AS source_rows, count(*) AS target_rows, CAST(0 AS BIGINT) AS diff, true AS match FROM events"
         ),
         "load_copy_rows": "SELECT * FROM events",
+        "copy_summary": (
+            f"SELECT (count(*) + {BATCH - 1}) // {BATCH} AS batches, CAST(0 AS BIGINT) AS failed_batches, "
+            "count(*) AS source_rows, count(*) AS loaded_rows FROM events"
+        ),
         "reconcile_columns": _sql_columns(),
         "reconcile_counts": (
             "SELECT 'full' AS load, s AS source_rows, s AS target_rows, CAST(0 AS BIGINT) AS diff, true AS match "
@@ -623,5 +671,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bulk_load": ledger,
         "bulk_load_by_key": ledger,
+        "bulk_load_manifest": f"SELECT batch_id AS first_batch, rows FROM ({batches}) WHERE status = 'LOADED'",
+        "bulk_load_counts": (
+            "SELECT s AS source_rows, t AS target_rows, s - t AS diff, s = t AS match "
+            f"FROM (SELECT (SELECT count(*) FROM orders) AS s, ({loaded}) AS t)"
+        ),
+        "bulk_load_sent": (
+            f"SELECT o.* EXCLUDE (batch_id) FROM ({orders}) o JOIN ({batches}) b USING (batch_id) WHERE b.status = 'LOADED'"
+        ),
         **{k: sql for m in _more for k, sql in m.oracle_sql().items()},
     }

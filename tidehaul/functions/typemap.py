@@ -71,6 +71,11 @@ def is_nested(data_type: T.DataType) -> bool:
     return isinstance(data_type, NESTED)
 
 
+def is_flat(data_type: T.DataType) -> bool:
+    """Whether a column of this type is a single Parquet column."""
+    return not is_nested(data_type) and not isinstance(data_type, T.VariantType)
+
+
 def _known(data_type: T.DataType) -> str | None:
     if isinstance(data_type, T.DecimalType):
         return f"NUMERIC({data_type.precision},{data_type.scale})"

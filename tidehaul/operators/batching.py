@@ -210,6 +210,8 @@ def batch_by_position(
             min(slices or 1, MAX_PARTITIONS), FILE_COL, "__slice"
         )
         placed = sliced.join(per_slice.hint("shuffle_hash"), [FILE_COL, "__slice"])
+        # A scan gives a file's rows in order, an exchange does not.
+        placed = placed.sortWithinPartitions(FILE_COL, ROW_COL)
     return _with_batch(placed, ROW_COL, _content(df), batch_size, batch)
 
 

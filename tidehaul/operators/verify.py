@@ -18,8 +18,9 @@ def reconcile_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     Each side's only column is its count.
     """
     nothing = F.lit(0).cast("bigint")
-    sides = source.select(ref(source.columns[0]).alias("source_rows"), nothing.alias("target_rows")).unionAll(
-        target.select(nothing.alias("source_rows"), ref(target.columns[0]).alias("target_rows"))
+    # The target's side goes first: the source's may come from a session with settings of its own.
+    sides = target.select(nothing.alias("source_rows"), ref(target.columns[0]).alias("target_rows")).unionAll(
+        source.select(ref(source.columns[0]).alias("source_rows"), nothing.alias("target_rows"))
     )
     return sides.agg(F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows")).select(
         "source_rows",

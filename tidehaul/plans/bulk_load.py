@@ -1,4 +1,4 @@
-"""A whole staged load: scan, check, encode, batch, stage, verify."""
+"""A whole staged load: scan, batch, check, encode and stage in one pass, verify, send."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from time import monotonic
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidehaul.functions.encode import encode_copy_rows, rejected
@@ -20,12 +19,13 @@ from tidehaul.operators.batching import (
     is_lopsided,
     partition_count,
 )
-from tidehaul.operators.isolate import isolate_failed_batches, rows_of_loaded_batches
 from tidehaul.operators.ledger import load_ledger, load_summary
 from tidehaul.operators.verify import reconcile_counts, require_match
-from tidehaul.session import scratch_path, written
-from tidehaul.sinks.staged import stage_copy_files, staged_manifest, target_row_count
-from tidehaul.sources.parquet import FILE_COL, ROW_COL, row_count, scan_source, source_row_count
+from tidehaul.session import scratch_path
+from tidehaul.sinks.copy_load import CopyLoad, copy_staged
+from tidehaul.sinks.one_pass import reported_row_count, stage_batches
+from tidehaul.sinks.staged import target_row_count
+from tidehaul.sources.parquet import FILE_COL, ROW_COL, footer_row_count, row_count, scan_source
 
 # Fixed value: rows per COPY batch where the caller names none.
 DEFAULT_BATCH_SIZE = 100_000
@@ -33,7 +33,10 @@ DEFAULT_BATCH_SIZE = 100_000
 
 @dataclass
 class StagedLoad:
-    """What a load leaves behind. The DataFrames are read from storage when used."""
+    """What a load leaves behind. The DataFrames are read from storage when used.
+
+    ``sent`` is the load of the staged files into a target, where one was given.
+    """
 
     path: str
     schema: T.StructType
@@ -43,6 +46,30 @@ class StagedLoad:
     summary: DataFrame
     counts: DataFrame
     manifest: DataFrame
+    sent: CopyLoad | None = None
+
+
+def encoded_batches(
+    scanned: DataFrame,
+    schema: T.StructType,
+    keys: str | Sequence[str] | None,
+    batch_size: int,
+    refused: Column,
+    null_mode: str,
+    rows_per_range: int,
+) -> DataFrame:
+    """``batch_id, refused, line`` of a source scanned with positions, the rows of a batch side by side."""
+    if keys is not None:
+        batched = batch_global(scanned, keys, batch_size, batch="__batch", rows_per_range=rows_per_range)
+    else:
+        batched = batch_by_position(scanned, batch_size, batch="__batch")
+        # Encoding and writing follow the scan's partitions unless one of them would do most of the work.
+        plain = scanned.select(*schema.fieldNames())
+        if is_lopsided(plain, batch_size):
+            expected = partition_count(row_count(plain), batch_size)
+            batched = co_locate_batches(batched, batches=expected, batch="__batch")
+    carry = [ref("__batch").alias("batch_id"), refused.alias("refused")]
+    return encode_copy_rows(batched, schema.fieldNames(), carry=carry, null_mode=null_mode)
 
 
 def bulk_load(
@@ -60,54 +87,46 @@ def bulk_load(
     batches_per_folder: int = 1,
     strict: bool = False,
     rows_per_range: int = 1_000_000,
+    verify: str = "reports",
+    target=None,
+    load_id: str | None = None,
+    mode: str = "overwrite",
 ) -> StagedLoad:
-    """Load the Parquet ``source`` into staged COPY files for ``table``.
+    """Load the Parquet ``source`` into staged COPY files for ``table``, and on into ``target``.
 
-    Batches follow the order of the source, or of ``keys`` where given. Batches
-    with rejected rows are kept out and show as FAILED in the ledger; ``strict``
-    makes any difference between source and target an error. The target's
-    statements come with the result; nothing is dropped before the files stand.
+    The source's columns are read once, and its rows are written once: the tasks
+    that write the files report the rows, rejected rows and bytes of each, and
+    ledger, manifest and counts are made from that. Batches follow the order of
+    the source, or of ``keys`` where given. Batches with rejected rows leave no
+    files and show as FAILED in the ledger; ``strict`` makes any difference
+    between source and files an error. The source's rows are counted on their
+    own, from its footers; ``verify="files"`` counts the records in the staged
+    files as well, instead of going by the reports.
+
+    With a ``target`` the files are then sent to it, each as a transaction under
+    ``load_id``. Without one, the statements for them come with the result.
+    Nothing is dropped before the files stand.
     """
+    if verify not in ("reports", "files"):
+        raise ValueError("verify must be 'reports' or 'files'")
     started = monotonic()
     path = path or scratch_path(spark, "staged")
     scanned = scan_source(spark, source, position=True)
     schema = T.StructType([f for f in scanned.schema.fields if f.name not in (FILE_COL, ROW_COL)])
-    names = schema.fieldNames()
-    refused = rejected(schema, not_null=not_null, check=check).alias("refused")
-
-    def encoded(df: DataFrame) -> DataFrame:
-        carry = [ref("__batch").alias("batch_id"), refused]
-        return encode_copy_rows(df, names, carry=carry, null_mode=null_mode)
-
-    if keys is None:
-        batched = batch_by_position(scanned, batch_size, batch="__batch")
-        # The ledger needs only the columns that the reject rules look at, in
-        # whatever partitions they are.
-        judged = encoded(batched)
-        # Encoding and writing follow the scan's partitions unless one of them
-        # would do most of the work.
-        if is_lopsided(scanned, batch_size):
-            expected = partition_count(row_count(scanned), batch_size)
-            lines = encoded(co_locate_batches(batched, batches=expected, batch="__batch"))
-        else:
-            lines = judged
-    else:
-        # Rows are exchanged once: the outcome is written down, and the ledger
-        # then reads two narrow columns of it.
-        in_order = batch_global(scanned, keys, batch_size, batch="__batch", rows_per_range=rows_per_range)
-        lines = judged = written(encoded(in_order), "batched")
-    # The ledger stands before any row is staged, as it decides which ones are.
-    batches = written(isolate_failed_batches(judged, F.col("refused")), "ledger")
-    stage_copy_files(
-        rows_of_loaded_batches(lines, batches),
-        path,
-        batches_per_folder=batches_per_folder,
-        compression=compression,
-    )
-    ledger = load_ledger(batches)
-    counts = reconcile_counts(source_row_count(scanned), target_row_count(spark, path, schema))
+    refused = rejected(schema, not_null=not_null, check=check)
+    lines = encoded_batches(scanned, schema, keys, batch_size, refused, null_mode, rows_per_range)
+    staged = stage_batches(lines, path, batches_per_folder=batches_per_folder, compression=compression)
+    found = reported_row_count(staged.manifest) if verify == "reports" else target_row_count(spark, path, schema)
+    counts = reconcile_counts(footer_row_count(spark, source), found)
     if strict:
         require_match(counts)
+    sent = None
+    if target is not None:
+        sent = copy_staged(
+            spark, path, schema, target, table,
+            files=staged.manifest, mode=mode, not_null=not_null, load_id=load_id, strict=strict and mode == "overwrite",
+        )
+    ledger = load_ledger(staged.batches)
     return StagedLoad(
         path=path,
         schema=schema,
@@ -116,5 +135,6 @@ def bulk_load(
         ledger=ledger,
         summary=load_summary(ledger, monotonic() - started),
         counts=counts,
-        manifest=staged_manifest(spark, path, schema, batches_per_folder=batches_per_folder),
+        manifest=staged.manifest,
+        sent=sent,
     )

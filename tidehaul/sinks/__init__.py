@@ -1,5 +1,6 @@
-from tidehaul.sinks.copy_load import CopyLoad, copy_counts, copy_ledger, copy_staged, load_copy
+from tidehaul.sinks.copy_load import CopyLoad, copy_counts, copy_ledger, copy_staged, copy_summary, load_copy
 from tidehaul.sinks.jdbc import jdbc_columns, jdbc_row_count, load_jdbc
+from tidehaul.sinks.one_pass import reported_batches, reported_manifest, stage_batches, stage_once
 from tidehaul.sinks.staged import read_staged, stage_copy_files, staged_manifest, target_row_count
 from tidehaul.sinks.targets import FolderTarget, PostgresTarget
 
@@ -10,12 +11,17 @@ __all__ = [
     "copy_counts",
     "copy_ledger",
     "copy_staged",
+    "copy_summary",
     "jdbc_columns",
     "jdbc_row_count",
     "load_copy",
     "load_jdbc",
     "read_staged",
+    "reported_batches",
+    "reported_manifest",
+    "stage_batches",
     "stage_copy_files",
+    "stage_once",
     "staged_manifest",
     "target_row_count",
 ]

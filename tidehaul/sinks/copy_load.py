@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import io
 import json
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass
+from time import monotonic
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,14 +26,18 @@ from tidehaul.operators.batching import (
     partition_count,
 )
 from tidehaul.operators.isolate import LOADED
-from tidehaul.operators.ledger import with_totals
+from tidehaul.operators.ledger import load_summary, running_total, with_totals
 from tidehaul.operators.verify import CountMismatch, reconcile_counts
 from tidehaul.session import ship_package, written
 from tidehaul.sources.parquet import FILE_COL, ROW_COL, source_row_count
 from tidehaul.sinks.staged import staged_manifest
-from tidehaul.sinks.targets import REJECTED_ROW, LoadPlan, Refused, plan_load, resolve
+from tidehaul.sinks.stream import BatchStream, FileStream, whole_batches
+from tidehaul.sinks.targets import LoadPlan, plan_load, resolve
 
 FORMAT = "tidehaul_copy"
+FILE_FORMAT = "tidehaul_copy_files"
+# Bytes of staged files that a task is given, where nothing else is asked for.
+BYTES_IN_TASK = 1 << 28
 
 
 @dataclass
@@ -49,10 +52,11 @@ class TaskTotals(WriterCommitMessage):
 
 @dataclass
 class CopyLoad:
-    """A finished load: its plan, its target and where its ledger is."""
+    """A finished load: its plan, its target, where its ledger is, and the seconds that sending took."""
 
     plan: LoadPlan
     target: object
+    seconds: float
 
 
 class CopyWriter(DataSourceArrowWriter):
@@ -66,11 +70,15 @@ class CopyWriter(DataSourceArrowWriter):
         return resolve(self.target_name)(**self.target_args)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> TaskTotals:
+        return self._send(whole_batches(iterator))
+
+    def _send(self, batches: Iterator[BatchStream | FileStream]) -> TaskTotals:
         totals = TaskTotals()
         task = self._target().open(self.plan)
         try:
-            for batch in whole_batches(iterator):
-                status = task.send(batch)
+            for batch in batches:
+                with batch:
+                    status = task.send(batch)
                 totals.batches += 1
                 totals.rows += batch.rows
                 if status == LOADED:
@@ -92,91 +100,15 @@ class CopyWriter(DataSourceArrowWriter):
         """Nothing is taken back: a run with the same load id goes on from here."""
 
 
-class BatchStream(io.RawIOBase):
-    """The lines of one batch, read from the task's Arrow chunks as the target asks for them.
-
-    Nothing is kept but the chunk at hand. A rejected row raises ``Refused``, so
-    that the transaction it would be in is rolled back. After ``drain`` all
-    rows of the batch are counted in ``rows``.
-    """
-
-    def __init__(self, batch_id: int, parts: Iterator[pa.RecordBatch]):
-        self.batch_id, self.parts = batch_id, parts
-        self.rows, self.refused, self.left = 0, False, memoryview(b"")
-
-    def _next(self) -> pa.RecordBatch | None:
-        part = next(self.parts, None)
-        if part is not None:
-            # A staged file comes as one piece, with the number of its records beside it.
-            self.rows += len(part) if part.num_columns < 4 else pc.sum(part.column(3)).as_py()
-            self.refused = self.refused or bool(pc.any(part.column(2)).as_py())
-        return part
-
-    def readable(self) -> bool:
-        return True
-
-    def readinto(self, room) -> int:
-        while not self.left:
-            part = self._next()
-            if self.refused:
-                raise Refused(REJECTED_ROW)
-            if part is None:
-                return 0
-            # Lines are joined by Arrow, not one by one.
-            lines = part.column(1).cast(pa.large_string())
-            whole = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), lines)
-            joined = pc.binary_join(whole, pa.scalar("\n", pa.large_string()))[0].as_buffer()
-            self.left = memoryview(joined.to_pybytes() + b"\n")
-        n = min(len(room), len(self.left))
-        room[:n] = self.left[:n]
-        self.left = self.left[n:]
-        return n
-
-    def drain(self) -> None:
-        while self._next() is not None:
-            pass
-
-
-def whole_batches(iterator: Iterator[pa.RecordBatch]) -> Iterator[BatchStream]:
-    """A stream for each run of equal batch ids; what the caller leaves of one is skipped."""
-    seen: set[int] = set()
-    ahead: list[tuple[int, pa.RecordBatch]] = []
-    source = (
-        (value, chunk.slice(start, length)) for chunk in iterator for value, length, start in _runs(chunk.column(0))
-    )
+class FileWriter(CopyWriter):
+    """Sends staged files as they are. A row names a file; a task reads the files it was given, one after the other."""
 
-    def parts(batch_id: int) -> Iterator[pa.RecordBatch]:
-        while True:
-            found = ahead.pop() if ahead else next(source, None)
-            if found is None:
-                return
-            if found[0] != batch_id:
-                ahead.append(found)
-                return
-            yield found[1]
-
-    while True:
-        if not ahead:
-            found = next(source, None)
-            if found is None:
-                return
-            ahead.append(found)
-        batch_id = ahead[0][0]
-        if batch_id in seen:
-            raise ValueError(f"batch {batch_id} is not in one piece")
-        seen.add(batch_id)
-        batch = BatchStream(batch_id, parts(batch_id))
-        yield batch
-        batch.drain()
-
-
-def _runs(ids: pa.Array) -> Iterator[tuple[int, int, int]]:
-    """``value, length, start`` of the runs in a column."""
-    encoded = pc.run_end_encode(ids)
-    start = 0
-    for value, end in zip(encoded.values.to_pylist(), encoded.run_ends.to_pylist(), strict=True):
-        yield value, end - start, start
-        start = end
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> TaskTotals:
+        return self._send(
+            FileStream(*row)
+            for batch in iterator
+            for row in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True)
+        )
 
 
 class CopySource(DataSource):
@@ -188,6 +120,15 @@ class CopySource(DataSource):
         return CopyWriter(self.options)
 
 
+class FileSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return FILE_FORMAT
+
+    def writer(self, schema, overwrite: bool) -> FileWriter:
+        return FileWriter(self.options)
+
+
 def _batched(
     df: DataFrame, batch_size: int, layout: str | Sequence[str], rows: int, max_connections: int | None
 ) -> DataFrame:
@@ -317,56 +258,70 @@ def copy_staged(
     target,
     table: str,
     *,
+    files: DataFrame | None = None,
     batches_per_folder: int = 1,
     mode: str = "overwrite",
     not_null: Sequence[str] = (),
     load_id: str | None = None,
     strict: bool = False,
+    bytes_in_task: int = BYTES_IN_TASK,
+    max_connections: int | None = None,
 ) -> CopyLoad:
     """COPY the staged files under ``path`` into ``table``, each file a transaction.
 
-    The executors read the files and send them as they are; a file has to fit in
-    a task's memory, as a batch of rows does. Its number in the ledger is the
-    first batch of its folder times 2**20, plus its place among the folder's
-    files by name. Load id, mode and ``strict`` mean the same as in
-    ``load_copy``; a load is continued only over the same files, sizes and rows.
+    ``files`` is their manifest where there is one already (``file, first_batch,
+    rows, bytes``); otherwise the files are read once to make it. Only names are
+    dealt out: a task gets files that follow each other, of ``bytes_in_task``
+    bytes or one file, opens them itself and sends them in pieces, so no text
+    goes through an exchange and none is held whole. At most ``max_connections``
+    tasks share the files, if given.
+
+    A file's number in the ledger is the first batch of its folder times 2**20,
+    plus its place among the folder's files by name. Load id, mode and
+    ``strict`` mean the same as in ``load_copy``; a load is continued only over
+    the same files, sizes and rows.
     """
     if strict and mode == "append":
         raise ValueError("strict needs mode='overwrite': batches that are appended cannot be taken back")
+    if files is None:
+        files = staged_manifest(spark, path, schema, batches_per_folder=batches_per_folder)
     place = F.row_number().over(Window.partitionBy("first_batch").orderBy("file")) - 1
-    files = written(
-        staged_manifest(spark, path, schema, batches_per_folder=batches_per_folder)
-        .where("rows > 0")
-        .withColumn("batch_id", F.col("first_batch") * (1 << 20) + place),
-        "manifest",
+    numbered = files.where("rows > 0").select(
+        (F.col("first_batch") * (1 << 20) + place).alias("batch_id"), "file", "rows", "bytes"
+    )
+    placed = written(
+        running_total(numbered, "batch_id", running={"bytes": "upto"}, overall={"bytes": "all_bytes"}), "manifest"
     )
     facts = F.xxhash64("file", "bytes", "rows").cast("decimal(38,0)")
-    total = files.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.sum(facts)).first()
-    cut = json.dumps({"staged": path, "rows": total[0], "hash": str(total[1])})
+    rows, hashes, count, size = placed.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)), F.sum(facts), F.count(F.lit(1)), F.max("all_bytes")
+    ).first()
+    cut = json.dumps({"staged": path, "rows": rows, "hash": str(hashes)})
     plan = plan_load(schema, table, mode, load_id, tuple(not_null), cut)
-    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    whole = texts.select(F.col("_metadata.file_path").alias("file"), "value")
-    # The writer ends what it sends with a line break of its own.
-    body = F.when(F.endswith("value", F.lit("\n")), F.expr("substr(value, 1, length(value) - 1)")).otherwise(F.col("value"))
-    lines = whole.join(files.select("file", "batch_id", "rows"), "file").select(
-        "batch_id", body.alias("line"), F.lit(False).alias("refused"), "rows"
-    )
-    return _send(spark, lines, plan, target, strict)
+    tasks = max(1, min(-(-(size or 0) // bytes_in_task), count, max_connections or count, MAX_PARTITIONS))
+    # By the bytes before it a file goes to the task of its share of all bytes.
+    task = F.least(F.expr(f"cast((upto - bytes) * {tasks}L div greatest(all_bytes, 1) as int)"), F.lit(tasks - 1))
+    names = placed.repartitionById(tasks, task).sortWithinPartitions("batch_id").select("batch_id", "file", "rows")
+    return _send(spark, names, plan, target, strict, FILE_FORMAT)
 
 
-def _send(spark: SparkSession, lines: DataFrame, plan: LoadPlan, target, strict: bool) -> CopyLoad:
+def _send(
+    spark: SparkSession, rows: DataFrame, plan: LoadPlan, target, strict: bool, writer: str = FORMAT
+) -> CopyLoad:
+    started = monotonic()
     ship_package(spark)
-    spark.dataSource.register(CopySource)
+    for source in (CopySource, FileSource):
+        spark.dataSource.register(source)
     target_name, target_args = target.spec()
     target.begin(plan)
-    lines.write.format(FORMAT).mode("append").options(
+    rows.write.format(writer).mode("append").options(
         target=target_name,
         # The key's name makes Spark hide the value where it prints options.
         target_secret_args=json.dumps(target_args),
         plan=json.dumps(asdict(plan)),
         strict=str(strict).lower(),
     ).save()
-    return CopyLoad(plan, target)
+    return CopyLoad(plan, target, monotonic() - started)
 
 
 def copy_ledger(spark: SparkSession, load: CopyLoad, jdbc: Mapping[str, str] | None = None) -> DataFrame:
@@ -374,6 +329,11 @@ def copy_ledger(spark: SparkSession, load: CopyLoad, jdbc: Mapping[str, str] | N
     return with_totals(load.target.ledger(spark, load.plan, jdbc or {}), "message", "finished_at")
 
 
+def copy_summary(spark: SparkSession, load: CopyLoad, jdbc: Mapping[str, str] | None = None) -> DataFrame:
+    """One row of totals over the load's batches, with the seconds it took and its rows per second."""
+    return load_summary(load.target.ledger(spark, load.plan, jdbc or {}), load.seconds)
+
+
 def copy_counts(spark: SparkSession, load: CopyLoad, source: DataFrame, jdbc: Mapping[str, str] | None = None) -> DataFrame:
     """``source_rows, target_rows, diff, match``: the source against what the target itself counts."""
     schema = type(source.schema)([f for f in source.schema.fields if f.name not in (FILE_COL, ROW_COL)])

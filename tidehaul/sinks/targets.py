@@ -11,13 +11,11 @@ import hashlib
 import importlib
 import io
 import json
-import shutil
 import uuid
 from collections.abc import Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime
-from typing import BinaryIO
 
 from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +24,7 @@ from pyspark.sql import types as T
 from tidehaul.functions.statements import copy_statement, create_table_statement, quote_identifier, quote_table
 from tidehaul.operators.isolate import FAILED, LOADED
 from tidehaul.sinks.staged import target_row_count
+from tidehaul.sinks.stream import REJECTED_ROW, Refused, put_whole
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -55,7 +54,6 @@ class LoadPlan:
 NAME_BYTES = 63
 # The entry under which a ledger keeps how a load's batches were cut.
 PLAN_ENTRY = -1
-REJECTED_ROW = "rejected row in batch"
 PUBLISHED = "PUBLISHED"
 
 
@@ -63,10 +61,6 @@ class OtherBatches(ValueError):
     """A load cannot go on, as its batches would now hold other rows than before."""
 
 
-class Refused(ValueError):
-    """A batch holds a row that must not be sent."""
-
-
 def plan_entry(plan: LoadPlan) -> str:
     return json.dumps({"batches": plan.batches, "mode": plan.mode, "landing": plan.landing})
 
@@ -311,7 +305,7 @@ class FolderTarget:
         known = _read(record)
         if known is None:
             fs, place = FileSystem.from_uri(record)
-            _put(fs, place, io.BytesIO(plan_entry(plan).encode()))
+            put_whole(fs, place, io.BytesIO(plan_entry(plan).encode()))
         else:
             check_entry(plan, known.decode(), plan.load_id in self.loads(plan.table))
 
@@ -328,7 +322,7 @@ class FolderTarget:
     def publish(self, plan: LoadPlan) -> None:
         before = [i for i in self.loads(plan.table) if i != plan.load_id] if plan.mode == "append" else []
         fs, place = FileSystem.from_uri(self._listing(plan.table))
-        _put(fs, place, io.BytesIO(json.dumps([*before, plan.load_id]).encode()))
+        put_whole(fs, place, io.BytesIO(json.dumps([*before, plan.load_id]).encode()))
 
     def data_paths(self, table: str) -> list[str]:
         return [f"{self.path}/{table}/{load}" for load in self.loads(table)]
@@ -351,19 +345,6 @@ def _read(uri: str) -> bytes | None:
         return file.read()
 
 
-def _put(fs: FileSystem, path: str, data: BinaryIO) -> None:
-    """Write a file that appears whole or not at all."""
-    folder, _, name = path.rpartition("/")
-    draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    try:
-        with fs.open_output_stream(draft) as file:
-            shutil.copyfileobj(data, file, 1 << 20)
-    except Refused:
-        fs.delete_file(draft)
-        raise
-    fs.move(draft, path)
-
-
 class _FolderTask:
     def __init__(self, folder: str, ledger: str):
         self.fs, self.folder = FileSystem.from_uri(folder)
@@ -377,7 +358,7 @@ class _FolderTask:
 
     def _record(self, batch_id: int, rows: int, status: str, message: str | None) -> str:
         row = {"batch_id": batch_id, "rows": rows, "status": status, "message": message, "finished_at": _now()}
-        _put(self.fs, f"{self.ledger}/batch-{batch_id:020d}.json", io.BytesIO(json.dumps(row).encode() + b"\n"))
+        put_whole(self.fs, f"{self.ledger}/batch-{batch_id:020d}.json", io.BytesIO(json.dumps(row).encode() + b"\n"))
         return status
 
     def send(self, batch) -> str:
@@ -385,7 +366,7 @@ class _FolderTask:
             batch.drain()
             return self._record(batch.batch_id, batch.rows, LOADED, None)
         try:
-            _put(self.fs, self._file(batch.batch_id), batch)
+            put_whole(self.fs, self._file(batch.batch_id), batch)
         except Refused as error:
             batch.drain()
             return self._record(batch.batch_id, batch.rows, FAILED, str(error))
