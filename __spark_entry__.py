@@ -36,13 +36,16 @@ from tidehaul.plans import bulk_load
 from tidehaul.session import scratch_path
 from tidehaul.sinks import (
     FolderTarget,
+    TargetCatalog,
     copy_counts,
     copy_ledger,
     copy_staged,
     copy_summary,
+    jdbc_ledger,
     jdbc_row_count,
     load_copy,
     load_jdbc,
+    load_jdbc_batches,
     read_staged,
     stage_copy_files,
     staged_manifest,
@@ -316,6 +319,59 @@ def q_jdbc_row_count(spark, sf_dir):
     return jdbc_row_count(spark, url, "orders_loaded")
 
 
+def _jdbc_batches(spark, sf_dir):
+    """Orders loaded batch by batch; some batches have rejected rows and stay out."""
+    url, source = _jdbc_url(spark), _scan(spark, sf_dir, "orders", position=True)
+    load = load_jdbc_batches(source, url, "orders_once", batch_size=BATCH, check=F.expr(REJECT), mode="overwrite")
+    return url, load
+
+
+def q_load_jdbc_batches(spark, sf_dir):
+    url, _ = _jdbc_batches(spark, sf_dir)
+    schema = _scan(spark, sf_dir, "orders").schema
+    options = {"url": url, "dbtable": '"orders_once"', "preferTimestampNTZ": "true"}
+    back = spark.read.format("jdbc").options(**options).load()
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def q_load_jdbc_ledger(spark, sf_dir):
+    return _jdbc_batches(spark, sf_dir)[1].ledger
+
+
+def q_load_jdbc_counts(spark, sf_dir):
+    return _jdbc_batches(spark, sf_dir)[1].counts
+
+
+def q_jdbc_ledger(spark, sf_dir):
+    url, load = _jdbc_batches(spark, sf_dir)
+    return jdbc_ledger(spark, url, "orders_once", load.plan.load_id).select("batch_id", "rows", "status")
+
+
+def _changed_customers(spark, sf_dir):
+    source = _scan(spark, sf_dir, "customer")
+    return source.drop("c_mktsegment").withColumn("c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_name")))
+
+
+def _live_target(spark, sf_dir):
+    url = _jdbc_url(spark)
+    load_jdbc_batches(_changed_customers(spark, sf_dir), url, "customer_live")
+    return TargetCatalog(spark, url)
+
+
+def q_target_columns(spark, sf_dir):
+    """The columns of a live target, as its database lists them."""
+    return _live_target(spark, sf_dir).columns("customer_live").select("column_name", "position", "target_type")
+
+
+def q_target_value_counts(spark, sf_dir):
+    return _live_target(spark, sf_dir).value_counts("customer_live")
+
+
+def q_reconcile_live_target(spark, sf_dir):
+    """The source's columns against those of a live target."""
+    return _live_target(spark, sf_dir).reconcile(_scan(spark, sf_dir, "customer"), "customer_live")
+
+
 def _copied(spark, sf_dir):
     source = _scan(spark, sf_dir, "events", position=True)
     target = FolderTarget(scratch_path(spark, "copied"))
@@ -354,8 +410,7 @@ def q_load_copy_rows(spark, sf_dir):
 
 def q_reconcile_columns(spark, sf_dir):
     source = _scan(spark, sf_dir, "customer")
-    target = source.drop("c_mktsegment").withColumn("c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_name")))
-    return reconcile_columns(source, target)
+    return reconcile_columns(source, _changed_customers(spark, sf_dir))
 
 
 def q_reconcile_counts(spark, sf_dir):
@@ -448,6 +503,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "target_row_count": q_target_row_count,
         "load_jdbc": q_load_jdbc,
         "jdbc_row_count": q_jdbc_row_count,
+        "load_jdbc_batches": q_load_jdbc_batches,
+        "load_jdbc_ledger": q_load_jdbc_ledger,
+        "load_jdbc_counts": q_load_jdbc_counts,
+        "jdbc_ledger": q_jdbc_ledger,
+        "target_columns": q_target_columns,
+        "target_value_counts": q_target_value_counts,
+        "reconcile_live_target": q_reconcile_live_target,
         "load_copy": q_load_copy,
         "load_copy_ledger": q_load_copy_ledger,
         "load_copy_counts": q_load_copy_counts,
@@ -563,6 +625,13 @@ def oracle_sql() -> dict[str, str]:
         f"round(sum({ok}) OVER (ORDER BY batch_id) * 100.0 / sum(rows) OVER (), 1) AS percent FROM ({batches})"
     )
     loaded = f"SELECT CAST(sum({ok}) AS BIGINT) AS t FROM ({batches})"
+    kept_orders = (
+        f"SELECT o.* EXCLUDE (batch_id) FROM ({orders}) o JOIN ({batches}) b USING (batch_id) WHERE b.status = 'LOADED'"
+    )
+    order_counts = (
+        "SELECT s AS source_rows, t AS target_rows, s - t AS diff, s = t AS match "
+        f"FROM (SELECT (SELECT count(*) FROM orders) AS s, ({loaded}) AS t)"
+    )
     return {
         "scan_source": "SELECT * FROM orders",
         "source_row_count": "SELECT count(*) AS row_count FROM lineitem",
@@ -645,6 +714,24 @@ def oracle_sql() -> dict[str, str]:
         "target_row_count": "SELECT count(*) AS target_rows FROM orders",
         "load_jdbc": "SELECT * FROM orders",
         "jdbc_row_count": "SELECT count(*) AS target_rows FROM orders",
+        "load_jdbc_batches": kept_orders,
+        "load_jdbc_ledger": ledger,
+        "load_jdbc_counts": order_counts,
+        "jdbc_ledger": f"SELECT batch_id, rows, status FROM ({batches}) WHERE status = 'LOADED'",
+        "target_columns": (
+            "SELECT * FROM (VALUES ('c_custkey', 1, 'BIGINT'), ('c_name', 2, 'TEXT'), ('c_nationkey', 3, 'INTEGER'), "
+            "('c_acctbal', 4, 'DOUBLE PRECISION')) t(column_name, position, target_type)"
+        ),
+        "target_value_counts": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) AS row_count, count({v}) AS value_count FROM customer"
+            for c, v in (
+                ("c_custkey", "c_custkey"),
+                ("c_name", "CASE WHEN c_acctbal >= 0 THEN c_name END"),
+                ("c_nationkey", "c_nationkey"),
+                ("c_acctbal", "c_acctbal"),
+            )
+        ),
+        "reconcile_live_target": _sql_columns(),
         "load_copy": (
             "SELECT batch_id, count(*) AS rows, 'LOADED' AS status "
             f"FROM ({_sql_batches('events', 'event_id', BATCH)}) GROUP BY batch_id"
@@ -672,12 +759,7 @@ def oracle_sql() -> dict[str, str]:
         "bulk_load": ledger,
         "bulk_load_by_key": ledger,
         "bulk_load_manifest": f"SELECT batch_id AS first_batch, rows FROM ({batches}) WHERE status = 'LOADED'",
-        "bulk_load_counts": (
-            "SELECT s AS source_rows, t AS target_rows, s - t AS diff, s = t AS match "
-            f"FROM (SELECT (SELECT count(*) FROM orders) AS s, ({loaded}) AS t)"
-        ),
-        "bulk_load_sent": (
-            f"SELECT o.* EXCLUDE (batch_id) FROM ({orders}) o JOIN ({batches}) b USING (batch_id) WHERE b.status = 'LOADED'"
-        ),
+        "bulk_load_counts": order_counts,
+        "bulk_load_sent": kept_orders,
         **{k: sql for m in _more for k, sql in m.oracle_sql().items()},
     }

@@ -240,7 +240,7 @@ def test_folder_target(spark, orders):
 
 @pytest.mark.parametrize("layout", ["position", "partition", ["id"]], ids=str)
 def test_connections_can_be_capped_in_every_layout(spark, layout):
-    from tidehaul.sinks.copy_load import _batched, _cut
+    from tidehaul.sinks.copy_load import batches_in_place, how_cut
 
     path = scratch_path(spark, "test")
     spark.range(0, 1000, 1, 10).write.parquet(path)
@@ -248,7 +248,7 @@ def test_connections_can_be_capped_in_every_layout(spark, layout):
     load = load_copy(df, FolderTarget(scratch_path(spark, "test")), "t", batch_size=50, layout=layout, max_connections=2)
     assert copy_ledger(spark, load).agg(F.sum("rows")).first()[0] == 1000
     source = df.coalesce(2) if layout == "partition" else df
-    batched = _batched(source, 50, layout, _cut(source, 50, layout)[0], 2)
+    batched = batches_in_place(source, 50, layout, how_cut(source, 50, layout)[0], 2)
     assert batched.select(F.spark_partition_id().alias("p")).distinct().count() <= 2
 
 

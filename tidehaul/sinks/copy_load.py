@@ -129,7 +129,7 @@ class FileSource(DataSource):
         return FileWriter(self.options)
 
 
-def _batched(
+def batches_in_place(
     df: DataFrame, batch_size: int, layout: str | Sequence[str], rows: int, max_connections: int | None
 ) -> DataFrame:
     """``df`` with a ``__batch`` column, each batch whole in one partition."""
@@ -158,7 +158,7 @@ def _file_facts(df: DataFrame) -> list[Column]:
     return facts
 
 
-def _cut(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> tuple[int, str]:
+def how_cut(df: DataFrame, batch_size: int, layout: str | Sequence[str]) -> tuple[int, str]:
     """All rows, and how the batches are cut.
 
     The text is equal for two runs only if they read the same files (path,
@@ -238,9 +238,9 @@ def load_copy(
         layout = "position" if ROW_COL in df.columns else "partition"
     if layout == "partition" and max_connections:
         df = df.coalesce(max_connections)
-    rows, cut = _cut(df, batch_size, layout)
+    rows, cut = how_cut(df, batch_size, layout)
     plan = plan_load(schema, table, mode, load_id, tuple(not_null), cut)
-    batched = _batched(df, batch_size, layout, rows, max_connections)
+    batched = batches_in_place(df, batch_size, layout, rows, max_connections)
     refused = rejected(schema, not_null=not_null, check=check)
     lines = encode_copy_rows(
         batched,
