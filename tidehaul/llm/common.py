@@ -31,6 +31,14 @@ def replace_columns(df: DataFrame, own: list[str]) -> DataFrame:
     return df.drop(*[c for c in df.columns if c in own])
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """``stem``, with underscores added until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def numbered(df: DataFrame, *order: Column, label: str, sums: dict[str, Column] | None = None) -> DataFrame:
     """Adds ``_rank`` (0-based, over all rows in this order) and running sums before each row.
 

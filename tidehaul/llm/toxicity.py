@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import pickle
 import re
 import zlib
 from collections.abc import Iterator
@@ -13,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidehaul.llm.common import ready_for_python, replace_columns
+from tidehaul.llm.common import free_name, ready_for_python, replace_columns
 from tidehaul.llm.minhash import shingle_hashes
 from tidehaul.session import written
 
@@ -376,20 +378,19 @@ def learn(
         )
 
     sums = sample.select("text", "toxic").mapInArrow(counted, "bucket bigint, clean bigint, toxic bigint")
-    # At most BUCKETS + 1 rows of three numbers, whatever the data.
-    sums = sums.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
-    whole = sums[sums.bucket == -1]
-    if whole.empty or not int(whole.clean.iloc[0]) or not int(whole.toxic.iloc[0]):
+    sums = written(
+        sums.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "feature-counts"
+    )
+    whole = sums.where("bucket = -1").first()
+    if whole is None or not whole["clean"] or not whole["toxic"]:
         return None
-    rate = int(whole.toxic.iloc[0]) / (int(whole.toxic.iloc[0]) + int(whole.clean.iloc[0]))
-    rows = sums[sums.bucket >= 0]
-    pos, neg = rows.toxic.to_numpy(float), rows.clean.to_numpy(float)
-    share = pos / (pos + neg)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = pos * np.log(share / rate) + np.where(neg > 0, neg * np.log((1 - share) / (1 - rate)), 0.0)
-    telling = (share > 0.8) & (ratio > np.log(len(rows) + 1.0))
+    rate = whole["toxic"] / (whole["toxic"] + whole["clean"])
+    features = sums.where("bucket >= 0").withColumn("share", F.expr("toxic / (toxic + clean)"))
+    # The features that tell of toxic documents beyond chance; only these come to the driver.
+    ratio = F.expr(f"toxic * ln(share / {rate!r}D) + if(clean > 0, clean * ln((1 - share) / {1 - rate!r}D), 0)")
+    telling = features.where("share > 0.8").where(ratio > math.log(features.count() + 1.0))
     tells = np.zeros(BUCKETS, bool)
-    tells[rows.bucket.to_numpy()[telling]] = True
+    tells[[r["bucket"] for r in telling.select("bucket").collect()]] = True
     seeds = spark.sparkContext.broadcast(np.packbits(tells))
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,12 +424,21 @@ def learn(
         "sequences",
     )
     seeds.destroy()
-    chosen = []
-    for toxic in (1, 0):
-        chosen += drawn.where(F.col("toxic") == toxic).orderBy("draw", "words").limit(training_sequences // 2).collect()
-    if not any(any(r["labels"]) for r in chosen):
+    classes = [drawn.where(F.col("toxic") == t).orderBy("draw", "words").limit(training_sequences // 2) for t in (1, 0)]
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        rows.sort(key=lambda r: (-r["toxic"], r["draw"], r["words"]))
+        found = []
+        if any(any(r["labels"]) for r in rows):
+            found = [pickle.dumps(fit_field([[word_features(w) for w in r["words"]] for r in rows], [r["labels"] for r in rows]))]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["field"])
+
+    # One task has the bounded sample; the driver gets the field alone.
+    model = classes[0].unionAll(classes[1]).coalesce(1).mapInArrow(fitted, "field binary").first()
+    if model is None:
         return None
-    field = fit_field([[word_features(w) for w in r["words"]] for r in chosen], [list(r["labels"]) for r in chosen])
+    field = pickle.loads(model["field"])
     held = spark.sparkContext.broadcast(field)
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -438,12 +448,14 @@ def learn(
             columns = [pa.array([r[k] for r in rows], pa.float64()) for k in range(4)]
             yield pa.RecordBatch.from_arrays([*columns, batch.column("toxic")], names=["a", "b", "c", "d", "toxic"])
 
-    # At most about training_documents rows of five numbers.
-    x = sample.select("text", "toxic").mapInArrow(
-        summaries, "a double, b double, c double, d double, toxic int"
-    ).orderBy("a", "b", "c", "d", "toxic").toPandas()
+    def curve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # About training_documents rows of five numbers.
+        rows = np.array(sorted(tuple(r.values()) for batch in batches for r in batch.to_pylist()))
+        yield pa.RecordBatch.from_arrays([pa.array(_fit_curve(rows[:, :4], (rows[:, 4] > 0).astype(float)))], names=["c"])
+
+    x = sample.select("text", "toxic").mapInArrow(summaries, "a double, b double, c double, d double, toxic int")
+    field.curve = np.array([r["c"] for r in x.repartition(1).mapInArrow(curve, "c double").collect()])
     held.destroy()
-    field.curve = _fit_curve(x[["a", "b", "c", "d"]].to_numpy(), (x.toxic > 0).to_numpy(float))
     field.base = rate
     return field
 
@@ -451,7 +463,8 @@ def learn(
 def document_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``op4``: a score and a verdict for each document, with the offsets that it rests on.
 
-    NULL ids are never held out. Repeated rows are each scored.
+    NULL ids are never held out. Repeated rows are each scored. Other columns take
+    no part, and an empty table gives no rows.
     """
     scored = toxicity(documents.select("doc_id", "text"), learn(documents, labels))
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
@@ -462,6 +475,12 @@ def document_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """A stage: ``documents`` without those that are rejected. All columns are kept."""
-    scored = toxicity(documents, learn(documents, labels), name="_toxicity")
-    return scored.where(F.col("_toxicity.score") < REJECT_FROM).drop("_toxicity")
+    """A stage: ``documents`` without those that are rejected. All columns are kept.
+
+    NULL and empty texts have the score of a document in which nothing is found
+    and stay; repeated rows are each judged; an empty table, or labels that say
+    nothing, reject nothing.
+    """
+    name = free_name(documents, "_toxicity")
+    scored = toxicity(documents, learn(documents, labels), name=name)
+    return scored.where(F.col(f"{name}.score") < REJECT_FROM).drop(name)
