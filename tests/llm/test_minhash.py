@@ -108,3 +108,15 @@ def test_stage_keeps_one_row_of_each_group(documents):
     assert out.columns == df.columns
     ids = sorted((r["doc_id"] for r in out.collect()), key=str)
     assert ids == sorted([0, 1, 2, 3, 4, 5, 6, 8, None], key=str)
+
+
+def test_rows_of_an_id_link_by_any_of_their_texts(documents):
+    """Two texts under one id, each near another document, in either order: all three are one group."""
+    rng = random.Random(6)
+    base = [[f"{k}w{rng.randrange(10**6)}" for _ in range(120)] for k in "ab"]
+    near = [" ".join(w if j != 60 else "changed" for j, w in enumerate(words)) for words in base]
+    a, b = (" ".join(words) for words in base)
+    for five in ((a, b), (b, a)):
+        rows = [(1, near[0], "en", "s"), (2, near[1], "en", "s"), *[(5, t, "en", "s") for t in five], (9, "alone", "en", "s")]
+        out = near_duplicates(documents(rows), words=3, part=85, whole=100).collect()
+        assert {(r["doc_id"], r["component_id"]) for r in out} == {(1, 1), (2, 1), (5, 1), (9, 9)}

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidehaul.llm.common import components, ready_for_python
+from tidehaul.llm.common import components, free_name, ready_for_python
 from tidehaul.session import written
 
 COORDINATES = 256
@@ -281,7 +281,8 @@ def near_duplicates(
     def texts_of(ids: DataFrame) -> DataFrame:
         # The ids grow with the data, so they are not broadcast.
         wanted = texts.join(ids.hint("merge"), "id", "left_semi")
-        return written(wanted.dropDuplicates(["id"]), "texts")
+        # Rows of an id are one document, so each of their texts may be what links it.
+        return written(wanted.dropDuplicates(["id", "text"]), "texts")
 
     def links(pairs: DataFrame, have: DataFrame) -> DataFrame:
         """Those of the candidate pairs (a, b) that are links on full sets."""
@@ -341,13 +342,15 @@ def near_duplicates(
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each component: that of the least id. Of several rows with that id, one stays.
 
-    All columns are kept. Rows with a NULL id stay.
+    All columns are kept. Rows with a NULL id stay, and so do NULL and empty
+    texts, which are linked with nothing. An empty table stays empty.
     """
-    kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_id"))
-    ids = written(kept.where("_id is not null").groupBy("_id").agg(F.count("*").alias("_times")), "kept-ids")
-    once, often = ids.where("_times = 1").select("_id"), ids.where("_times > 1").select("_id")
-    same = F.col("doc_id") == F.col("_id")
-    single = docs.join(once, same, "left_semi").unionAll(docs.where("doc_id is null"))
+    name = free_name(docs, "_id")
+    times = free_name(docs, "_times")
+    kept = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias(name))
+    ids = written(kept.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias(times)), "kept-ids")
+    once, often = ids.where(F.col(times) == 1).select(name), ids.where(F.col(times) > 1).select(name)
+    single = docs.join(once, docs["doc_id"] == once[name], "left_semi").unionAll(docs.where("doc_id is null"))
     if often.isEmpty():
         return single
-    return single.unionAll(docs.join(often, same, "left_semi").dropDuplicates(["doc_id"]))
+    return single.unionAll(docs.join(often, docs["doc_id"] == often[name], "left_semi").dropDuplicates(["doc_id"]))
