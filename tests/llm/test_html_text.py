@@ -70,3 +70,77 @@ def test_edges(spark):
     by = {r["page_id"]: r for r in got}
     assert by[1]["text"] == "" and by[2]["n_chars"] == 0 and by[3]["n_chars"] == 5 * 50_000 - 1
     assert extract_main_text(df.limit(0)).collect() == []
+
+
+W46, W76 = " ".join(["alpha"] * 46), " ".join(["beta"] * 76)
+SURROUNDINGS = [
+    f"<section class=comments>{W76}</section>", f"<aside class=sidebar><p>{W76}</p></aside>", f"<div class='cookie-notice'>{W76}</div>",
+    f"<footer>{W76}</footer>", f"<div class=ad><p>{W76}</p></div>", f"<form><p>{W76}</p></form>", f"<p>{W76}</p>",
+]
+
+
+@pytest.mark.parametrize("around", SURROUNDINGS)
+def test_long_surroundings_go(around):
+    """However long it is, what stands around an article is not its text, before it, after it, or on both sides."""
+    for tag in ("article", "main"):
+        main = f"<{tag}><h1>Head line</h1><p>{W46}</p><p>So.</p></{tag}>"
+        for page in (main + around, around + main, around + main + around):
+            assert main_text(page, TREE) == f"Head line {W46} So."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div><p>{W46}</p><p>Short.</p><p>{W46}</p></div>", f"{W46} Short. {W46}"),
+    (f"<table><tr><td>{W46}</td></tr></table>", W46),
+    (f"<p>{W46}</p>", W46),
+    (f"<article class='post share-enabled'><p>{W46}</p></article>", W46),
+    (f"<article class=reader><p>{W46}</p></article>", W46),
+    (f"<body class=comments-open><article><p>{W46}</p></article></body>", W46),
+    (f"<html id=banner><body class='menu ad'><main class=promo><p>{W46}</p></main></body></html>", W46),
+    (f"<article><p>{W46}</p><section id=discussion><p>{W46}</p></section></article>", f"{W46} {W46}"),
+    (f"<article><p>{W46}</p></article><section id=discussion><p>{W76}</p></section>", W46),
+    (f"<p><a href=/>{W76}</a></p><p>{W46}</p><p><a href=/>{W46}</a> x</p>", W46),
+])
+def test_what_has_to_stay_stays(page, want):
+    assert main_text(page, TREE) == want
+
+
+def test_link_density_decides():
+    def features(node):
+        return set() if len(node) == 1 else {node[0]} | features(node[2]) | features(node[3])
+
+    from tidehaul.llm.html_text import FEATURES
+
+    assert {FEATURES.index("link_density"), FEATURES.index("words")} <= features(TREE)
+
+
+@pytest.mark.parametrize("piece", [
+    "<a ", "<p title='", "<p title=\"x' ", "<div>", "</ul>", "<a <b ", "<a href='x\">", "<!-- ", "<script ", "</", "<a '", "<title>", "<td><tr",
+])
+def test_time_grows_with_the_page(piece):
+    """Tags that never end, quotes that never close: five million characters in seconds."""
+    import time
+
+    page = f"<article><p>{W46}</p></article>" + piece * (5_000_000 // len(piece)) + "<ul>" * 1000 + "</ol>" * 100_000 + "'"
+    start = time.monotonic()
+    assert main_text(page, TREE).startswith(W46)
+    assert time.monotonic() - start < 60
+
+
+def test_scanner_agrees_with_a_plain_one():
+    """On pages of random pieces, tags end where a search from each of them finds it."""
+    import random
+    import re
+
+    from tidehaul.llm.html_text import tags_of
+
+    plain = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
+    rng = random.Random(4)
+    for _ in range(3000):
+        page = "".join(rng.choice(["<a", "<p ", ">", "'", '"', " x", "</p", "<", "=", "é"]) for _ in range(rng.randrange(25)))
+        want, at = [], 0
+        while (m := re.compile(r"</?[a-zA-Z][a-zA-Z0-9:-]*").search(page, at)) is not None:
+            rest = plain.match(page, m.end())
+            if rest:
+                want.append((m.start(), rest.end()))
+            at = rest.end() if rest else m.start() + 1
+        assert [(s, e) for s, e, name, *_ in tags_of(page) if name] == want

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -12,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tidehaul.llm.common import ready_for_python
+
 # Elements and names of HTML pages.
 DROPPED = "script style noscript template title textarea select button iframe object svg canvas"
 CONTAINERS = set(
@@ -21,6 +23,8 @@ CONTAINERS = set(
 BLOCKS = CONTAINERS | set("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption pre address hr head legend summary option".split())
 BREAKS = {"br", "wbr", "img", "input"}
 MAIN_TAGS = {"article", "main"}
+# Their classes say what kind of page it is, not what stands around its text.
+WHOLE_TAGS = MAIN_TAGS | {"html", "body"}
 BOILER_TAGS = {"nav", "aside", "footer", "form", "menu", "dialog"}
 MAIN_WORDS = set("article main content post entry story body".split())
 BOILER_WORDS = set(
@@ -29,16 +33,13 @@ BOILER_WORDS = set(
     "recommended recommendations share sharing social subscribe newsletter signup login popup modal overlay toolbar "
     "pagination pager skip contentinfo complementary search dialog copyright legal disclaimer teaser".split()
 )
-COMMENT_WORDS = set("comment comments commentlist respond replies reply disqus discussion reader".split())
-
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(DROPPED.split())})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|</?[a-zA-Z][^<>]*\Z",
-    re.S | re.I,
-)
+COMMENT_WORDS = set("comment comments commentlist respond replies reply disqus".split())
+# These are comments beside the main text, and parts of it inside.
+COMMENT_WORDS_OUTSIDE = {"discussion", "reader", "readers"}
+
+_NAME = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_STOP = re.compile("[>\"']")
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in DROPPED.split()}
 _HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _PART = re.compile(r"[a-z]+")
 
@@ -60,19 +61,86 @@ class Block:
 
 def _hint(name: str, attrs: str, in_main: bool) -> int:
     """2 for reader comments, -1 for what surrounds the main text, 1 for main text, 0 for nothing known."""
+    if name in WHOLE_TAGS:
+        return int(name in MAIN_TAGS)
     said: set[str] = set()
     if attrs and "=" in attrs:
         for m in _HINTS.finditer(attrs):
             said.update(_PART.findall((m[1] or m[2] or m[3] or "").lower()))
-    if said & COMMENT_WORDS:
+    if said & COMMENT_WORDS or not in_main and said & COMMENT_WORDS_OUTSIDE:
         return 2
     if said & BOILER_WORDS or name in BOILER_TAGS:
         return -1
     if not in_main and (name == "header" or "header" in said):
         return -1
-    if name in MAIN_TAGS or said & MAIN_WORDS and name in CONTAINERS and name != "body":
-        return 1
-    return 0
+    return int(bool(said & MAIN_WORDS) and name in CONTAINERS)
+
+
+class _Ends:
+    """Where tags end: at the first ``>`` outside of quotes. Looks at no place of a page more than a few times.
+
+    A tag without an end is known by the quotes that its search ran into, so
+    that the searches of later tags stop there.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.dead = page, set()
+        self.low = self.stop = -1
+
+    def _next_stop(self, at: int) -> int:
+        if not self.low <= at <= self.stop:
+            found = _STOP.search(self.page, at)
+            self.low, self.stop = at, found.start() if found else len(self.page)
+        return self.stop
+
+    def after(self, at: int) -> int:
+        """The place after the end of the tag whose attributes begin at ``at``, -1 if it has none."""
+        page, path = self.page, []
+        while True:
+            stop = self._next_stop(at)
+            if stop < len(page) and stop not in self.dead:
+                if page[stop] == ">":
+                    return stop + 1
+                path.append(stop)
+                close = page.find(page[stop], stop + 1)
+                if close >= 0:
+                    at = close + 1
+                    continue
+            self.dead.update(path)
+            return -1
+
+
+def tags_of(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, is_end, attributes) of what is no text, in order. The name is empty where nothing but the place counts."""
+    ends, at = _Ends(page), 0
+    last_open, last_close = page.rfind("<"), page.rfind(">")
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        if page.startswith("!--", at):
+            close = page.find("-->", at + 3)
+            at = len(page) if close < 0 else close + 3
+            yield start, at, "", False, ""
+        elif page[at : at + 1] in ("!", "?"):
+            close = page.find(">", at)
+            at = len(page) if close < 0 else close + 1
+            yield start, at, "", False, ""
+        elif found := _NAME.match(page, at):
+            end = ends.after(found.end())
+            if end < 0:
+                if start == last_open > last_close:
+                    # The page breaks off inside of a tag.
+                    yield start, len(page), "", False, ""
+                    return
+                continue
+            name, attrs = found[2].lower(), page[found.end() : end - 1]
+            at = end
+            if name in _RAW_END:
+                if not found[1] and not attrs.endswith("/"):
+                    close = _RAW_END[name].search(page, end)
+                    at = close.end() if close else len(page)
+                yield start, at, "", False, ""
+            else:
+                yield start, at, name, bool(found[1]), attrs
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -93,31 +161,30 @@ def blocks_of(page: str) -> list[Block]:
             if in_link:
                 now.linked.append(piece)
 
-    at = 0
-    for m in _TAG.finditer(page):
-        text(page[at : m.start()])
-        at = m.end()
-        name = m["name"]
-        if name is None:
-            continue
-        name = name.lower()
+    at, open_names = 0, Counter()
+    for start, end, name, is_end, attrs in tags_of(page):
+        text(page[at:start])
+        at = end
         if name == "a":
-            in_link = 0 if m["end"] else 1
+            in_link = 0 if is_end else 1
         elif name in BREAKS:
             now.parts.append(" ")
         elif name in BLOCKS:
             inside = stack[-1][1] if stack else 0
-            if m["end"]:
-                if name in CONTAINERS and any(n == name for n, _ in stack):
-                    while stack.pop()[0] != name:
-                        pass
+            if is_end:
+                if open_names[name]:
+                    closed = ""
+                    while closed != name:
+                        closed = stack.pop()[0]
+                        open_names[closed] -= 1
                 begin(stack[-1][1] if stack else 0)
                 continue
-            hint = _hint(name, m["attrs"], inside == 1)
+            hint = _hint(name, attrs, inside == 1)
             # Comments stay comments whatever is inside them; else the innermost that says something decides.
             state = 2 if inside == 2 or hint == 2 else hint or inside
             if name in CONTAINERS:
                 stack.append((name, state))
+                open_names[name] += 1
                 begin(state)
             else:
                 begin(state, len(name) == 2 and name[0] == "h" and name[1].isdigit())
@@ -129,9 +196,9 @@ def blocks_of(page: str) -> list[Block]:
     return [b for b in out if b.text]
 
 
+# ``region``: -1 in what surrounds a text; on pages that mark their main content 0 outside and 2 inside of it; 1 on others.
 FEATURES = [
-    "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
-    "state", "page_has_main", "heading",
+    "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "region", "heading",
 ]
 
 
@@ -145,9 +212,9 @@ def features_of(blocks: list[Block]) -> np.ndarray:
         x[:, 0], x[:, 1] = words, density
         x[1:, 2], x[1:, 3] = words[:-1], density[:-1]
         x[:-1, 4], x[:-1, 5] = words[1:], density[1:]
-        x[:, 6] = [b.state for b in blocks]
-        x[:, 7] = float((x[:, 6] == 1).any())
-        x[:, 8] = [b.heading for b in blocks]
+        state = np.array([b.state for b in blocks], float)
+        x[:, 6] = np.where(state == 1, 2, np.where(state == 0, float(not (state == 1).any()), -1))
+        x[:, 7] = [b.heading for b in blocks]
     return x
 
 
@@ -188,6 +255,81 @@ LABELLED = [
         (1, "<article><p>w5</p></article>"),
         (0, "<p>w40</p><p>w4</p>"),
     ],
+    # What surrounds a text can be as long as the text.
+    [
+        (0, "<div class=cookie-notice><p>w76</p></div><div class=ad>w90</div>"),
+        (1, "<article><p>w30</p></article>"),
+        (0, "<section class=comments><p>w76</p><p>w130</p></section>"),
+    ],
+    [
+        (1, "<article><p>w30</p><p>w64</p></article>"),
+        (0, "<aside class=sidebar><p>w76</p></aside><p>w80</p><footer>w76</footer>"),
+    ],
+    [
+        (0, "<div class=banner>w70</div>"),
+        (1, "<main><p>w12</p><ul><li><a href=/>w6</a></li><li><a href=/>w9</a></li></ul></main>"),
+        (0, "<div class=related>w140</div><div class=newsletter>w66</div>"),
+    ],
+    # Inside of an article short blocks and lists of links count as well.
+    [
+        (0, "<nav><a href=/>w1</a></nav>"),
+        (1, "<article><h1>w3</h1><p>w60</p><p>w1</p><p><a href=/>w2</a></p><p>w2</p></article>"),
+        (0, "<footer>w4</footer>"),
+    ],
+    [
+        (0, "<div class=menu><a href=/>w1</a> <a href=/>w2</a></div><p><a href=/>w2</a></p><p>w2</p>"),
+        (1, "<main><h1>w2</h1><p>w4</p><p>w46</p><p><a href=/>w20</a></p><p>w5</p></main>"),
+        (0, "<p>w3</p><p>w16</p><p><a href=/>w4</a></p>"),
+    ],
+    [
+        (0, "<nav><a href=/>w2</a></nav><p>w5</p>"),
+        (
+            1,
+            "<article><h1>w1</h1><p>w2</p><p>w1</p><p>w3</p><ul><li><a href=/>w3</a></li><li><a href=/>w1</a></li>"
+            "<li><a href=/>w2</a></li><li><a href=/>w12</a></li></ul><p>w2</p><p>w9</p><p><a href=/>w4</a></p>"
+            "<p>w1</p><p>w5</p><p><a href=/>w30</a></p><p><a href=/>w7</a></p><p>w3</p></article>",
+        ),
+        (0, "<p>w2</p><p>w4</p>"),
+    ],
+    [
+        (0, "<p>w8</p>"),
+        (
+            1,
+            "<main><p>w1</p><p>w2</p><table><tr><td>w1</td><td><a href=/>w1</a></td></tr><tr><td>w2</td><td><a href=/>w2</a>"
+            "</td></tr><tr><td>w3</td><td><a href=/>w5</a></td></tr></table><p><a href=/>w17</a></p><p>w4</p>"
+            "<p><a href=/>w9</a></p><p><a href=/>w3</a></p></main>",
+        ),
+        (0, "<div>w6</div>"),
+    ],
+    # Without article or main, links and neighbours tell.
+    [(1, "<p>w46</p>")],
+    [(0, "<div>w3</div>"), (1, "<div><h1>w3</h1><p>w40</p><h2>w2</h2><p>w25</p></div>"), (0, "<div>w2</div>")],
+    [(0, "<div><a href=/>w2</a></div>"), (1, "<div><h1>w3</h1><p>w44</p></div>"), (0, "<div><a href=/>w3</a></div>")],
+    [(0, "<ul><li><a href=/>w2</a></li></ul>"), (1, "<h1>w1</h1><p>w30</p>"), (0, "<div><a href=/>w1</a></div>")],
+    [(0, "<p>w2</p>"), (1, "<h1>w2</h1><p>w60</p><h3>w1</h3><p>w18</p>"), (0, "<div>w3</div>")],
+    [(1, "<table><tr><td>w46</td></tr></table>")],
+    [(1, "<p>w14</p>")],
+    [(1, "<div><p>w46</p><p>w1</p><p>w46</p></div>")],
+    [
+        (0, "<p><a href=/>w30</a></p>"),
+        (1, "<p>w30</p><p>w2</p><p>w52 <a href=/>w8</a></p><p>w5</p><p>w33</p>"),
+        (0, "<p><a href=/>w46</a></p><p><a href=/>w20</a> w2</p><div><a href=/>w60</a></div>"),
+    ],
+    [
+        (0, "<div><a href=/>w12</a></div><div>w3</div>"),
+        (1, "<div>w46</div><div>w20</div><div>w9</div><div>w25</div>"),
+        (0, "<div><a href=/>w70</a></div><div>w4</div>"),
+    ],
+    [
+        (0, "<div class=comments><p>w50</p></div>"),
+        (1, "<div><p>w46</p><p>w18</p></div>"),
+        (0, "<footer><p>w90</p><p>w4</p></footer>"),
+    ],
+    [
+        (0, "<ul><li><a href=/>w9</a></li><li><a href=/>w11</a></li><li><a href=/>w25</a></li></ul>"),
+        (1, "<p>w22 <a href=/>w10</a> w4</p><p>w3</p><p>w19 <a href=/>w9</a></p>"),
+        (0, "<p><a href=/>w5</a> <a href=/>w5</a> w1</p>"),
+    ],
 ]
 
 
@@ -202,7 +344,7 @@ def labelled_table() -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(x), np.array(y)
 
 
-def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 6) -> tuple:
+def grow_tree(x: np.ndarray, y: np.ndarray, depth: int = 8) -> tuple:
     """A decision tree by least Gini impurity: ``(share,)`` or ``(feature, threshold, low, high)``."""
     share = float(y.mean())
     if depth == 0 or share in (0.0, 1.0):
