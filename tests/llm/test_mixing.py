@@ -5,6 +5,7 @@ import pytest
 from llm_cases import EDGES
 from pyspark.sql import functions as F
 
+from tidehaul.llm import mixing
 from tidehaul.llm.mixing import document_mix, mix, mixed_documents, sainte_lague, source_targets
 from tidehaul.llm.queries import queries
 
@@ -96,6 +97,15 @@ def test_edges(documents):
     check(twice, document_mix(documents(twice)).collect())
 
 
+def test_rows_without_an_id_do_not_share_a_cell(spark):
+    """Their texts deal them, so no cell has more than a few times its share of words."""
+    df = spark.range(4000).selectExpr("cast(null as bigint) doc_id", "repeat('w ', 100 + cast(id % 90 as int)) || id text", "'s' source")
+    check([(None, r["text"], "en", "s") for r in df.collect()], document_mix(df).collect())
+    packed = df.select("doc_id", "source", F.lit(300).alias("n"), mixing.document_key())
+    cells = mixing._picked(packed, F.col("n"), F.col("_key"), "source", [1.0], 3, 64, 20_000, 1).groupBy("_cell").agg(F.sum("size").alias("s"))
+    assert cells.count() == 60 and cells.agg(F.max("s")).first()[0] < 2.5 * 20_000
+
+
 def test_stage_repeats_by_words_taken(documents):
     rows = [(k, "w " * 100, "en", "abc"[k % 10 // 9 + (k % 100 == 99)]) for k in range(300)]
     out = mixed_documents(documents(rows, "taken"))

@@ -191,12 +191,22 @@ def _picked(df, size, key, source, weights, limit, block_words, cell_words, seed
     return picked.select("row", "source", "_cell", "_order", "size", "source_size", "target", "taken")
 
 
+def document_key() -> Column:
+    """A document's id, or without one a hash of its text, as ``_key``."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.xxhash64("text"))).alias("_key")
+
+
 def document_mix(documents: DataFrame) -> DataFrame:
-    """``op5``: all documents with the words that the mix takes of each; NULL or empty text has size 0."""
+    """``op5``: all documents with the words that the mix takes of each; NULL or empty text has size 0.
+
+    Documents are dealt by id, those without one by their text, so NULL ids do
+    not share a cell; rows of one id do. An empty table gives no rows, other
+    columns take no part.
+    """
     narrow = documents.select(
-        "doc_id", "source", F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("long").alias("_size")
+        "doc_id", "source", F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("long").alias("_size"), document_key()
     )
-    mixed = mix(narrow, F.col("_size"), F.col("doc_id"))
+    mixed = mix(narrow, F.col("_size"), F.col("_key"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
@@ -220,9 +230,9 @@ def mixed_documents(
     """
     size = F.regexp_count(text_or_empty("text"), F.lit(WORD)).cast("long")
     packed = documents.select(
-        F.struct("*").alias("_doc"), "doc_id", "source", size.alias("_size"), F.xxhash64("text").alias("_tie")
+        F.struct("*").alias("_doc"), "source", size.alias("_size"), F.xxhash64("text").alias("_tie"), document_key()
     )
-    picked = _picked(packed, F.col("_size"), F.col("doc_id"), "source", list(weights), limit, BLOCK_WORDS, cell_words, seed)
+    picked = _picked(packed, F.col("_size"), F.col("_key"), "source", list(weights), limit, BLOCK_WORDS, cell_words, seed)
     cell = Window.partitionBy("source", "_cell")
     one = 1 << 30
     parts = picked.select(
