@@ -20,11 +20,14 @@ from pyspark.sql import functions as F
 from tidehaul.functions import encode_copy_rows, nested_to_json, project_to_target
 from tidehaul.operators import (
     batch_by_position,
+    batch_digests,
     batch_global,
     batch_within_partition,
+    differing_batches,
     isolate_failed_batches,
     load_ledger,
     load_summary,
+    partition_by_weight,
     partition_for_load,
     partition_sizes,
     profile_columns,
@@ -49,6 +52,7 @@ from tidehaul.sinks import (
     read_staged,
     stage_copy_files,
     staged_manifest,
+    staged_records,
     target_row_count,
 )
 from tidehaul.sources import footer_row_count, footer_statistics, scan_source, source_row_count
@@ -64,10 +68,12 @@ for _name in _OPTIONAL[1:]:
             raise
 
 BATCH = 1000
+PARTS = 16
 RANGE = 4096
 PARTITION = 7000
 FOLDER = 25
 REJECT = "o_totalprice > 499500"
+CHANGED = "o_orderkey % 10007 = 4321"
 LINEITEM = (
     "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus "
     "l_shipdate"
@@ -148,6 +154,7 @@ def _encoded(table: str, key: str):
 def q_partition_for_load(spark, sf_dir):
     source = _scan(spark, sf_dir, "lineitem", position=True)
     rows = source_row_count(source).first()["row_count"]
+    files = source.select("_src_file").distinct().count()
 
     def report(mode: str) -> DataFrame:
         loaded = partition_for_load(source, PARTITION, rows=rows, mode=mode)
@@ -156,16 +163,45 @@ def q_partition_for_load(spark, sf_dir):
             F.sum("rows").alias("row_count"),
             F.lit(PARTITION).cast("bigint").alias("batch_size"),
             F.count(F.lit(1)).alias("num_partitions"),
-            F.min("rows").alias("min_rows"),
-            F.max("rows").alias("max_rows"),
+            # One row more or less from each file of the source.
+            (F.max("rows") - F.min("rows") <= F.lit(files)).alias("even"),
         )
 
     return report("ceil").unionAll(report("floor"))
 
 
+def q_partition_by_bytes(spark, sf_dir):
+    """Lines of documents, whose lengths differ by a factor of thousands, in parts of equal bytes."""
+    docs = _scan(spark, sf_dir, "documents")
+    lines = encode_copy_rows(docs, docs.columns)
+    size = F.octet_length("line") + 1
+    parts = partition_by_weight(lines, size, PARTS).groupBy(F.spark_partition_id().alias("part"))
+    parts = parts.agg(F.sum(size).alias("bytes"), F.max(size).alias("longest"))
+    found = parts.agg(
+        F.count(F.lit(1)).alias("num_partitions"),
+        F.sum("bytes").alias("bytes"),
+        F.max("longest").alias("longest_line"),
+        F.max("bytes").alias("largest"),
+        F.min("bytes").alias("smallest"),
+    )
+    share = F.col("bytes") / F.col("num_partitions")
+    near = (F.col("largest") <= share + F.col("longest_line")) & (F.col("smallest") >= share - F.col("longest_line"))
+    return found.select("num_partitions", "bytes", "longest_line", near.alias("even"))
+
+
 def q_batch_within_partition(spark, sf_dir):
+    """The laws of the batches, for any split of the source: full ones but for the last of each partition, numbered without gaps."""
     batched = batch_within_partition(_scan(spark, sf_dir, "orders"), BATCH)
-    return batched.groupBy("part_id", "batch_no").agg(F.count(F.lit(1)).alias("rows")).select("batch_no", "rows")
+    batches = batched.groupBy("part_id", "batch_no").agg(F.count(F.lit(1)).alias("rows"))
+    parts = batches.groupBy("part_id").agg(
+        F.sum("rows").alias("rows"),
+        F.count(F.lit(1)).alias("batches"),
+        F.max("batch_no").alias("last"),
+        F.sum((F.col("rows") == BATCH).cast("int")).alias("full"),
+        F.max("rows").alias("largest"),
+    )
+    lawful = (F.col("batches") == F.col("last") + 1) & (F.col("full") >= F.col("last")) & (F.col("largest") <= BATCH)
+    return parts.agg(F.sum("rows").alias("row_count"), F.min(lawful).alias("lawful"))
 
 
 def q_batch_by_position(spark, sf_dir):
@@ -422,6 +458,37 @@ def q_reconcile_counts(spark, sf_dir):
     return full.select(F.lit("full").alias("load"), "*").unionAll(partial.select(F.lit("partial").alias("load"), "*"))
 
 
+def q_differing_batches(spark, sf_dir):
+    """One value in ten thousand changed in a staged copy: the counts agree, the digests name the batches."""
+    batched = batch_global(_scan(spark, sf_dir, "orders"), "o_orderkey", BATCH, unique=True, rows_per_range=RANGE)
+    staged = read_staged(spark, *_staged(spark, sf_dir, "orders"))
+    changed = staged.withColumn("o_totalprice", F.expr(f"o_totalprice + if({CHANGED}, 1, 0)"))
+    path = scratch_path(spark, "changed")
+    changed.write.parquet(path)
+    there = batch_global(scan_source(spark, path), "o_orderkey", BATCH, unique=True, rows_per_range=RANGE)
+    return differing_batches(batch_digests(batched), batch_digests(there))
+
+
+def q_batch_digests(spark, sf_dir):
+    """Digests of what was staged and read back, against those of the source: batches with equal content."""
+    source = batch_by_position(_scan(spark, sf_dir, "documents", position=True), 20)
+    lines = encode_copy_rows(source, source.columns[:-1], carry=["batch_id"])
+    path = scratch_path(spark, "staged")
+    stage_copy_files(lines, path)
+    schema = source.drop("batch_id").schema
+    number = F.regexp_extract(F.input_file_name(), r"batch_range=(\d+)/", 1).cast("long")
+    staged = read_staged(spark, path, schema, also=[number.alias("batch_id")])
+    a, b = batch_digests(source), batch_digests(staged)
+    return a.join(b, ["batch_id", "rows", "one", "two"]).select("batch_id", "rows")
+
+
+def q_staged_records(spark, sf_dir):
+    """Records by staged file, counted block by block; the files hold texts of many lines."""
+    path, _ = _staged(spark, sf_dir, "documents", 20)
+    number = F.regexp_extract("file", r"batch_range=(\d+)/", 1).cast("long")
+    return staged_records(spark, path).groupBy(number.alias("folder")).agg(F.sum("rows").alias("rows"))
+
+
 def _bulk_load(spark, sf_dir, **options):
     path = f"{sf_dir}/orders.parquet"
     return bulk_load(
@@ -485,6 +552,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "encode_copy_rows_pages": _encoded("pages", "page_id"),
         "encode_copy_rows_part": _encoded("part", "p_partkey"),
         "partition_for_load": q_partition_for_load,
+        "partition_by_bytes": q_partition_by_bytes,
         "batch_within_partition": q_batch_within_partition,
         "batch_by_position": q_batch_by_position,
         "batch_global": q_batch_global,
@@ -520,6 +588,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bulk_load": q_bulk_load,
         "bulk_load_by_key": q_bulk_load_by_key,
         "bulk_load_manifest": q_bulk_load_manifest,
+        "differing_batches": q_differing_batches,
+        "batch_digests": q_batch_digests,
+        "staged_records": q_staged_records,
         "bulk_load_counts": q_bulk_load_counts,
         "bulk_load_sent": q_bulk_load_sent,
         **{k: q for m in _more for k, q in m.queries().items()},
@@ -574,7 +645,7 @@ def _sql_batches(table: str, key: str, size: int) -> str:
 def _sql_partitions(mode: str, partitions: str) -> str:
     return (
         f"SELECT '{mode}' AS mode, n AS row_count, CAST({PARTITION} AS BIGINT) AS batch_size, "
-        f"p AS num_partitions, n // p AS min_rows, (n + p - 1) // p AS max_rows "
+        f"p AS num_partitions, true AS even "
         f"FROM (SELECT count(*) AS n, greatest({partitions}, 1) AS p FROM lineitem)"
     )
 
@@ -679,10 +750,16 @@ def oracle_sql() -> dict[str, str]:
             ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
         )
         + " AS line FROM part",
+        "partition_by_bytes": (
+            f"SELECT CAST({PARTS} AS BIGINT) AS num_partitions, CAST(sum(n) AS BIGINT) AS bytes, max(n) AS longest_line, "
+            "true AS even FROM (SELECT octet_length(encode("
+            + _sql_line(["text", "lang", "source"], ["doc_id", "n_chars"], ["doc_id", "text", "lang", "source", "n_chars"])
+            + ")) + 1 AS n FROM documents)"
+        ),
         "partition_for_load": _sql_partitions("ceil", f"(count(*) + {PARTITION} - 1) // {PARTITION}")
         + " UNION ALL "
         + _sql_partitions("floor", f"count(*) // {PARTITION}"),
-        "batch_within_partition": f"SELECT batch_id AS batch_no, count(*) AS rows FROM ({orders}) GROUP BY batch_id",
+        "batch_within_partition": "SELECT count(*) AS row_count, true AS lawful FROM orders",
         "batch_by_position": f"SELECT o_orderkey, batch_id FROM ({orders})",
         "batch_global": f"SELECT o_orderkey, batch_id FROM ({orders})",
         "batch_global_events": f"SELECT event_id, batch_id FROM ({_sql_batches('events', 'event_id', BATCH)})",
@@ -758,6 +835,17 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bulk_load": ledger,
         "bulk_load_by_key": ledger,
+        "differing_batches": (
+            "SELECT batch_id, count(*) AS source_rows, count(*) AS target_rows "
+            f"FROM ({orders}) GROUP BY batch_id HAVING bool_or({CHANGED})"
+        ),
+        "batch_digests": (
+            f"SELECT batch_id, count(*) AS rows FROM ({_sql_batches('documents', 'doc_id', 20)}) GROUP BY batch_id"
+        ),
+        "staged_records": (
+            f"SELECT batch_id // {FOLDER} AS folder, CAST(count(*) AS BIGINT) AS rows "
+            f"FROM ({_sql_batches('documents', 'doc_id', 20)}) GROUP BY ALL"
+        ),
         "bulk_load_manifest": f"SELECT batch_id AS first_batch, rows FROM ({batches}) WHERE status = 'LOADED'",
         "bulk_load_counts": order_counts,
         "bulk_load_sent": kept_orders,

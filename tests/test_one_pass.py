@@ -14,7 +14,17 @@ from tidehaul.operators import batch_by_position
 from tidehaul.plans import bulk_load
 from tidehaul.plans.bulk_load import encoded_batches
 from tidehaul.session import scratch_path
-from tidehaul.sinks import FolderTarget, copy_ledger, copy_staged, copy_summary, read_staged, stage_batches, stage_once
+from tidehaul.sinks import (
+    FolderTarget,
+    copy_ledger,
+    copy_progress,
+    copy_staged,
+    copy_summary,
+    load_copy,
+    read_staged,
+    stage_batches,
+    stage_once,
+)
 from tidehaul.sinks.one_pass import qualified
 from tidehaul.sinks.stream import FileStream
 from tidehaul.sources import scan_source
@@ -171,6 +181,34 @@ def test_files_are_dealt_by_bytes(spark, many_files, bytes_in_task, monkeypatch)
     assert copy_ledger(spark, load).count() == files
 
 
+def test_progress_before_a_load_is_done(spark):
+    """What has arrived is seen while the load is not finished; here its one task fails on the way."""
+
+    @F.udf("boolean")
+    def dies(k):
+        if k == 999:
+            raise RuntimeError("lost")
+        return False
+
+    path = scratch_path(spark, "test")
+    spark.range(0, 1000, 1, 2).selectExpr("id", "repeat('x', 5000) AS s").write.parquet(path)
+    begun = []
+    source, target = scan_source(spark, path), FolderTarget(scratch_path(spark, "test"))
+    options = {"batch_size": 10, "max_connections": 1, "load_id": "x"}
+    rows_at_once = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows_at_once)
+    spark.conf.set(rows_at_once, "20")
+    try:
+        with pytest.raises(Exception, match="lost"):
+            load_copy(source, target, "t", check=dies(F.col("id")), on_start=begun.append, **options)
+    finally:
+        spark.conf.set(rows_at_once, before)
+    row = copy_progress(spark, begun[0]).first()
+    assert 0 < row["loaded_rows"] < 1000 == row["source_rows"] and 0 < row["percent"] < 100
+    load = load_copy(source, target, "t", **options)
+    assert tuple(copy_progress(spark, load).first())[1:] == (0, 1000, 1000, 100.0)
+
+
 def test_a_file_is_read_in_pieces():
     folder = tempfile.mkdtemp(prefix="run-")
     with open(f"{folder}/x.csv", "wb") as f:

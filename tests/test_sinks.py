@@ -18,7 +18,7 @@ from tidehaul.operators import (
     rows_of_loaded_batches,
 )
 from tidehaul.plans import bulk_load
-from tidehaul.session import scratch_path, shared_folder
+from tidehaul.session import clean_scratch, scratch_path, shared_folder
 from tidehaul.sinks import (
     FolderTarget,
     PostgresTarget,
@@ -247,8 +247,7 @@ def test_connections_can_be_capped_in_every_layout(spark, layout):
     df = scan_source(spark, path, position=True)
     load = load_copy(df, FolderTarget(scratch_path(spark, "test")), "t", batch_size=50, layout=layout, max_connections=2)
     assert copy_ledger(spark, load).agg(F.sum("rows")).first()[0] == 1000
-    source = df.coalesce(2) if layout == "partition" else df
-    batched = batches_in_place(source, 50, layout, how_cut(source, 50, layout)[0], 2)
+    batched = batches_in_place(df, 50, layout, how_cut(df, 50, layout)[0], 2)
     assert batched.select(F.spark_partition_id().alias("p")).distinct().count() <= 2
 
 
@@ -341,9 +340,10 @@ def test_one_column_load(spark, database):
 
 
 def test_connections_can_be_capped(spark, database):
+    """Two tasks share the batches of twenty partitions, which stay as they are."""
     df = spark.range(0, 1000, 1, 20)
     load_copy(df, standin(database), "t", batch_size=1000, max_connections=2)
-    assert [n for n, _ in ledger_of(database, "t").values()] == [500, 500]
+    assert [n for n, _ in ledger_of(database, "t").values()] == [50] * 20
 
 
 def test_table_names(spark, database):
@@ -470,6 +470,31 @@ def test_reconcile_counts(spark):
     assert tuple(reconcile_counts(a, a).first()) == (10, 10, 0, True)
 
 
+def test_batches_in_place_do_not_depend_on_the_connections(spark, database):
+    """A load begun with few connections goes on with many, over the same batches."""
+    path = scratch_path(spark, "test")
+    spark.read.parquet(f"{SF001}/orders.parquet").repartition(7).write.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        source = scan_source(spark, path)
+        load_copy(source, standin(database), "o", batch_size=40, mode="append", load_id="x", max_connections=2)
+        few = ledger_of(database, "o")
+        load_copy(source, standin(database), "o", batch_size=40, mode="append", load_id="x")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert ledger_of(database, "o") == few and len(few) > 30
+    assert ask(database, "SELECT count(*) FROM o") == [(1500,)]
+
+
+def test_old_scratch_is_removed(spark):
+    kept, old = scratch_path(spark, "new"), scratch_path(spark, "old")
+    for path in (kept, old):
+        spark.range(1).write.parquet(path)
+    os.utime(old.removeprefix("file://"), (0, 0))
+    assert clean_scratch(spark, older_than_hours=1000) == 1
+    assert spark.read.parquet(kept).count() == 1 and not os.path.exists(old.removeprefix("file://"))
+
+
 def test_shared_folder_is_the_sessions(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

@@ -149,6 +149,6 @@ def from_target(name: str, data_type: T.DataType) -> Column:
     return F.expr(f"cast({col} AS {data_type.simpleString()})")
 
 
-def read_back(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns, in ``schema`` order, as values of the source types."""
-    return df.select(*[from_target(f.name, f.dataType).alias(f.name) for f in schema.fields])
+def read_back(df: DataFrame, schema: T.StructType, also: Sequence[Column] = ()) -> DataFrame:
+    """Text columns, in ``schema`` order, as values of the source types, then ``also``."""
+    return df.select(*[from_target(f.name, f.dataType).alias(f.name) for f in schema.fields], *also)

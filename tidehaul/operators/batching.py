@@ -11,8 +11,9 @@ Three ways to number batches, cheapest first:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,6 +78,55 @@ def partition_for_load(
     return df.repartition(n)
 
 
+def partition_by_weight(df: DataFrame, weight: Column, partitions: int) -> DataFrame:
+    """``df`` in ``partitions`` parts of near equal weight: rows follow each other, and a part ends where its share is full.
+
+    ``weight`` is a whole number of each row, not negative, such as the length
+    of its line. A part's weight is within the heaviest row's of an even share,
+    however rows differ. ``df`` is a scan, or a projection of one: its partitions
+    are weighed first, then a row's place is the weight of the partitions before
+    its own and of the rows before it there. Only the weights go through Python,
+    and one sum per partition meets in one task. The rows are exchanged once.
+    """
+    if partitions < 1:
+        raise ValueError("partitions must be at least 1")
+    n = min(partitions, MAX_PARTITIONS)
+    weighed = df.select(weight.cast("long").alias("__weight"))
+    sums = weighed.groupBy(F.spark_partition_id().alias("__part")).agg(F.sum("__weight").alias("__sum"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = written(
+        written(sums, "weights").select(
+            "__part",
+            F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__from"),
+            F.sum("__sum").over(everything).alias("__all"),
+        ),
+        "weights-before",
+    )
+
+    @F.pandas_udf("long")
+    def before(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        total = 0
+        for part in parts:
+            sums = part.cumsum()
+            yield sums - part + total
+            total += int(sums.iloc[-1]) if len(sums) else 0
+
+    tagged = df.select("*", weight.cast("long").alias("__weight"), F.spark_partition_id().alias("__part"))
+    tagged = tagged.withColumn("__before", before(F.col("__weight")))
+    # One row of 24 bytes for each scan partition; beyond the bound they are joined.
+    side = F.broadcast(offsets) if offsets.count() <= MAX_BROADCAST_FILES else offsets.hint("merge")
+    place = "cast((`__from` + `__before`) as decimal(38,0))"
+    share = f"least(cast({place} * {n} div greatest(`__all`, 1) as int), {n - 1})"
+    return (
+        tagged.join(side, "__part")
+        .withColumn("__to", F.expr(share))
+        .drop("__weight", "__part", "__before", "__from", "__all")
+        .repartitionById(n, F.col("__to"))
+        .drop("__to")
+    )
+
+
 def partition_sizes(df: DataFrame) -> DataFrame:
     """``partition_id, rows`` of the partitions that hold rows."""
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("rows"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -75,6 +76,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidehaul/{label}-{uuid.uuid4().hex}"
 
 
+def clean_scratch(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Remove scratch tables that were last written to so long ago; how many there were.
+
+    Ledgers and manifests of loads are read from scratch tables, so this is for
+    the time when their loads are no longer needed. Tables of other
+    applications in the same shared folder count as well.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tidehaul")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return 0
+    before = (time.time() - older_than_hours * 3600) * 1000
+    old = [s.getPath() for s in fs.listStatus(folder) if s.getModificationTime() <= before]
+    return sum(bool(fs.delete(path, True)) for path in old)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and safe when executors are lost."""
     path = scratch_path(df.sparkSession, label)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass
 from time import monotonic
 
@@ -135,9 +135,10 @@ def batches_in_place(
     """``df`` with a ``__batch`` column, each batch whole in one partition."""
     if layout == "partition":
         parts = batch_within_partition(df, batch_size, part="__part", batch="__no")
-        return parts.withColumn("__batch", F.shiftleft(F.col("__part").cast("bigint"), 33) + F.col("__no")).drop(
-            "__part", "__no"
-        )
+        numbered = parts.withColumn("__batch", F.shiftleft(F.col("__part").cast("bigint"), 33) + F.col("__no"))
+        numbered = numbered.drop("__part", "__no")
+        # Numbered first and put together afterwards, so the batches do not depend on the connections.
+        return numbered.coalesce(max_connections) if max_connections else numbered
     if layout == "position":
         numbered = batch_by_position(df, batch_size, batch="__batch")
     else:
@@ -202,6 +203,7 @@ def load_copy(
     max_connections: int | None = None,
     load_id: str | None = None,
     strict: bool = False,
+    on_start: Callable[[CopyLoad], None] | None = None,
 ) -> CopyLoad:
     """COPY ``df`` into ``table``, each batch a transaction, all tasks at once.
 
@@ -226,7 +228,10 @@ def load_copy(
 
     Each task has a connection of its own: as many at a time as Spark has
     cores, or at most ``max_connections``, whatever the layout; batches then
-    share partitions, and with layout "partition" they are cut anew.
+    share partitions, but they are cut as they would be without.
+
+    ``on_start`` is called with the load before its first batch is sent, for
+    instance to follow it by ``copy_progress`` from another thread.
     """
     if strict and mode == "append":
         raise ValueError("strict needs mode='overwrite': batches that are appended cannot be taken back")
@@ -236,8 +241,6 @@ def load_copy(
     names = schema.fieldNames()
     if layout is None:
         layout = "position" if ROW_COL in df.columns else "partition"
-    if layout == "partition" and max_connections:
-        df = df.coalesce(max_connections)
     rows, cut = how_cut(df, batch_size, layout)
     plan = plan_load(schema, table, mode, load_id, tuple(not_null), cut)
     batched = batches_in_place(df, batch_size, layout, rows, max_connections)
@@ -248,7 +251,7 @@ def load_copy(
         carry=[F.col("__batch").alias("batch_id"), refused.alias("refused")],
         null_mode=null_mode,
     ).select("batch_id", "line", "refused")
-    return _send(spark, lines, plan, target, strict)
+    return _send(spark, lines, plan, target, strict, on_start=on_start)
 
 
 def copy_staged(
@@ -306,7 +309,13 @@ def copy_staged(
 
 
 def _send(
-    spark: SparkSession, rows: DataFrame, plan: LoadPlan, target, strict: bool, writer: str = FORMAT
+    spark: SparkSession,
+    rows: DataFrame,
+    plan: LoadPlan,
+    target,
+    strict: bool,
+    writer: str = FORMAT,
+    on_start: Callable[[CopyLoad], None] | None = None,
 ) -> CopyLoad:
     started = monotonic()
     ship_package(spark)
@@ -314,6 +323,8 @@ def _send(
         spark.dataSource.register(source)
     target_name, target_args = target.spec()
     target.begin(plan)
+    if on_start is not None:
+        on_start(CopyLoad(plan, target, 0.0))
     rows.write.format(writer).mode("append").options(
         target=target_name,
         # The key's name makes Spark hide the value where it prints options.
@@ -329,6 +340,20 @@ def copy_ledger(spark: SparkSession, load: CopyLoad, jdbc: Mapping[str, str] | N
     return with_totals(load.target.ledger(spark, load.plan, jdbc or {}), "message", "finished_at")
 
 
+def copy_progress(spark: SparkSession, load: CopyLoad, jdbc: Mapping[str, str] | None = None) -> DataFrame:
+    """One row, ``batches, failed_batches, loaded_rows, source_rows, percent``, of a load that may still be running.
+
+    What its target has recorded so far, against the rows that were counted
+    before it began. ``load`` is what ``on_start`` was given, or the finished load.
+    """
+    rows = json.loads(load.plan.batches)["rows"]
+    so_far = load_summary(load.target.ledger(spark, load.plan, jdbc or {}))
+    share = F.round(F.col("loaded_rows") * 100.0 / F.lit(rows), 1) if rows else F.lit(0.0)
+    return so_far.select(
+        "batches", "failed_batches", "loaded_rows", F.lit(rows).cast("long").alias("source_rows"), share.alias("percent")
+    )
+
+
 def copy_summary(spark: SparkSession, load: CopyLoad, jdbc: Mapping[str, str] | None = None) -> DataFrame:
     """One row of totals over the load's batches, with the seconds it took and its rows per second."""
     return load_summary(load.target.ledger(spark, load.plan, jdbc or {}), load.seconds)
