@@ -148,6 +148,8 @@ def withdraw_failed(pieces: DataFrame, batches: DataFrame) -> None:
     tasks run. A file that is gone already, by an earlier attempt, is no error.
     """
     failed = batches.where(F.col("status") == FAILED).select("batch_id")
+    if failed.isEmpty():
+        return
     left = pieces.where("file is not null").join(failed, "batch_id", "left_semi").select("file")
 
     def remove(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
