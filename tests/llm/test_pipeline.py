@@ -1,5 +1,5 @@
 import corpus_pipeline as cp
-from llm_cases import SF
+from llm_cases import EDGES, SF
 from test_decontaminate import brute as leaks
 from test_minhash import brute as groups
 from test_minhash import shingles
@@ -38,3 +38,31 @@ def test_run_gives_the_last_stage(spark):
     out = cp.run(spark, SF)
     assert {"doc_id", "text", "lang", "source", "n_chars", "shard", "slot"} <= set(out.columns)
     assert out.count() > 50 and [n for n, _ in cp.STAGES] == ["toxicity", "near_dedup", "decontamination", "mixing", "sharding"]
+
+
+def _folder(spark, docs, sf=SF):
+    """A folder of tables with these documents, and the labels and benchmark of another."""
+    folder = cp.written(docs, "documents").inputFiles()[0].rpartition("/")[0] + "-sf"
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_edges_and_clashing_columns(spark, documents, table):
+    """NULL and empty texts, NULL and repeated ids, a long text, and columns with names that the stages use."""
+    base = [tuple(r)[:4] for r in table("documents").limit(60).collect()]
+    rows = [(None if i is None else 10**6 + i, *rest) for i, *rest in EDGES]
+    docs = documents([*base, *rows], "_toxicity _hit _id _times _doc _cell _order size taken row item_id")
+    out = cp.run(spark, _folder(spark, docs))
+    assert set(docs.columns) <= set(out.columns) and {"shard", "slot"} <= set(out.columns)
+    found = out.collect()
+    assert all(r["_hit"] == r["_id"] == r["size"] == "x" for r in found)
+    texts = {r["text"] for r in found}
+    assert None in texts and "" in texts and any(r["doc_id"] is None for r in found)
+    assert {r["text"] for r in found} <= {t for _, t, *_ in [*base, *rows]}
+
+
+def test_an_empty_table_stays_empty(spark, documents):
+    docs = documents([(1, "a", "en", "s")]).where("doc_id > 1")
+    assert cp.run(spark, _folder(spark, docs)).count() == 0
