@@ -2,7 +2,8 @@
 
 Rows with NULL or empty texts hold nothing that a stage looks for: they pass
 toxicity, near_dedup and decontamination, stay once in mixing, and are put in
-shards. Rows with a NULL id pass, too. Of rows that share an id, near_dedup
+shards. Rows with a NULL id pass the first three stages, too; mixing takes of them what it
+takes of others. Of rows that share an id, near_dedup
 keeps one, and decontamination takes out all or none. Texts of any length are
 read whole. An empty table stays empty. Columns besides those of ``documents``
 are carried along, but for ``shard``, ``slot`` and ``curve``, which sharding
