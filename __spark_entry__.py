@@ -28,6 +28,7 @@ from tidehaul.operators import (
     load_ledger,
     load_summary,
     partition_by_weight,
+    partition_count,
     partition_for_load,
     partition_sizes,
     profile_columns,
@@ -154,17 +155,19 @@ def _encoded(table: str, key: str):
 def q_partition_for_load(spark, sf_dir):
     source = _scan(spark, sf_dir, "lineitem", position=True)
     rows = source_row_count(source).first()["row_count"]
-    files = source.select("_src_file").distinct().count()
 
     def report(mode: str) -> DataFrame:
         loaded = partition_for_load(source, PARTITION, rows=rows, mode=mode)
-        return partition_sizes(loaded).agg(
+        # Partitions without rows count as well.
+        every = spark.range(partition_count(rows, PARTITION, mode)).select(F.col("id").cast("int").alias("partition_id"))
+        size = F.coalesce("rows", F.lit(0).cast("bigint"))
+        return every.join(partition_sizes(loaded), "partition_id", "full").agg(
             F.lit(mode).alias("mode"),
-            F.sum("rows").alias("row_count"),
+            F.sum(size).alias("row_count"),
             F.lit(PARTITION).cast("bigint").alias("batch_size"),
             F.count(F.lit(1)).alias("num_partitions"),
-            # One row more or less from each file of the source.
-            (F.max("rows") - F.min("rows") <= F.lit(files)).alias("even"),
+            F.min(size).alias("min_rows"),
+            F.max(size).alias("max_rows"),
         )
 
     return report("ceil").unionAll(report("floor"))
@@ -645,7 +648,7 @@ def _sql_batches(table: str, key: str, size: int) -> str:
 def _sql_partitions(mode: str, partitions: str) -> str:
     return (
         f"SELECT '{mode}' AS mode, n AS row_count, CAST({PARTITION} AS BIGINT) AS batch_size, "
-        f"p AS num_partitions, true AS even "
+        f"p AS num_partitions, n // p AS min_rows, (n + p - 1) // p AS max_rows "
         f"FROM (SELECT count(*) AS n, greatest({partitions}, 1) AS p FROM lineitem)"
     )
 

@@ -205,6 +205,31 @@ def test_partition_for_load(spark, files):
     assert partition_for_load(plain.where("id < 0"), B).rdd.getNumPartitions() == 1
 
 
+def test_partitions_of_many_files_differ_by_one_row(spark):
+    source = scan_source(spark, stored(spark, spark.range(1001), 7), position=True)
+    placed = partition_for_load(source, B)
+    assert placed.columns == source.columns
+    assert sorted(r["rows"] for r in partition_sizes(placed).collect()) == [91] * 11
+    assert sorted(r["id"] for r in placed.collect()) == list(range(1001))
+    # Rows that are left out may make sizes differ, but none is lost.
+    assert partition_for_load(source.where("id % 10 = 9"), B).count() == 100
+
+
+@pytest.mark.parametrize(("rows", "files"), [(0, 1), (6_999, 2), (30_003, 7)])
+def test_query_of_load_partitions_over_many_files(spark, rows, files):
+    """Sizes of the partitions, not only that they are even, whatever the files."""
+    import __spark_entry__ as entry
+
+    folder = scratch_path(spark, "test")
+    spark.range(rows).repartition(files).write.parquet(f"{folder}/lineitem.parquet")
+    want = []
+    for mode, n in (("ceil", max(1, -(-rows // 7000))), ("floor", max(1, rows // 7000))):
+        want.append((mode, rows, 7000, n, rows // n, -(-rows // n)))
+    got = entry.queries()["partition_for_load"](spark, folder)
+    assert got.columns == ["mode", "row_count", "batch_size", "num_partitions", "min_rows", "max_rows"]
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_batches_stay_whole(spark):
     df = spark.range(0, 1000, 1, 7).withColumn("batch_id", F.col("id") % 13)
     for limit in (100, 4):

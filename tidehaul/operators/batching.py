@@ -63,19 +63,23 @@ def partition_for_load(
 ) -> DataFrame:
     """``df`` in evenly filled partitions of about ``batch_size`` rows.
 
-    A source scanned with ``position=True`` is dealt out by the rows' indexes,
-    so the sizes differ by at most one row per file and no sort is needed to
-    make the exchange repeatable. Other inputs go round-robin. There are never
-    more than ``max_partitions``, whatever ``at_least`` says: beyond that each
-    partition holds several batches.
+    A source scanned with ``position=True`` is dealt out by the rows' places in
+    it, so the sizes of a whole source differ by at most one row, however many
+    files it has, and no sort is needed to make the exchange repeatable. The
+    places take one count per file, as in ``batch_by_position``. Other inputs go
+    round-robin. There are never more than ``max_partitions``, whatever
+    ``at_least`` says: beyond that each partition holds several batches.
     """
     n = min(partition_count(row_count(df) if rows is None else rows, batch_size, mode, at_least), max_partitions)
-    if ROW_COL in df.columns:
-        # Files start at different partitions, or the first ones would get
-        # one row more from every file.
-        start = F.pmod(F.xxhash64(FILE_COL), F.lit(n)) if FILE_COL in df.columns else F.lit(0)
-        return df.repartitionById(n, F.pmod(F.col(ROW_COL) + start, F.lit(n)).cast("int"))
-    return df.repartition(n)
+    if ROW_COL not in df.columns:
+        return df.repartition(n)
+    if FILE_COL not in df.columns:
+        return df.repartitionById(n, F.pmod(F.col(ROW_COL), F.lit(n)).cast("int"))
+    # A file's next row would start where its last one ends, also where rows have been left out.
+    counts = written(df.groupBy(FILE_COL).agg((F.max(ROW_COL) + 1).alias("__rows")), "files")
+    placed = _with_offsets(df, counts, MAX_BROADCAST_FILES)
+    dealt = placed.repartitionById(n, F.pmod(F.col("__offset") + F.col(ROW_COL), F.lit(n)).cast("int"))
+    return dealt.select(*[ref(c) for c in df.columns])
 
 
 def partition_by_weight(df: DataFrame, weight: Column, partitions: int) -> DataFrame:
@@ -207,6 +211,28 @@ def _file_offsets(counts: DataFrame) -> DataFrame:
     return written(placed, "file-offsets")
 
 
+def _with_offsets(df: DataFrame, counts: DataFrame, max_broadcast_files: int) -> DataFrame:
+    """Adds ``__offset``, the rows of the files before a row's own. ``counts`` has ``__rows`` of each file, written down."""
+    slices, files, hashes = counts.agg(
+        F.sum(whole_div("__rows", ROWS_PER_SLICE) + 1), F.count(F.lit(1)), F.count_distinct(F.xxhash64(FILE_COL))
+    ).first()
+    offsets = _file_offsets(counts)
+    if files <= max_broadcast_files and hashes == files:
+        compact = offsets.select(F.xxhash64(FILE_COL).alias("__file"), "__offset")
+        return df.withColumn("__file", F.xxhash64(FILE_COL)).join(F.broadcast(compact), "__file")
+    per_slice = offsets.select(
+        FILE_COL,
+        "__offset",
+        F.explode(F.sequence(F.lit(0).cast("bigint"), whole_div("__rows", ROWS_PER_SLICE))).alias("__slice"),
+    )
+    sliced = df.withColumn("__slice", whole_div(ROW_COL, ROWS_PER_SLICE)).repartition(
+        min(slices or 1, MAX_PARTITIONS), FILE_COL, "__slice"
+    )
+    placed = sliced.join(per_slice.hint("shuffle_hash"), [FILE_COL, "__slice"])
+    # A scan gives a file's rows in order, an exchange does not.
+    return placed.sortWithinPartitions(FILE_COL, ROW_COL)
+
+
 def _content(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in (FILE_COL, ROW_COL)]
 
@@ -238,30 +264,10 @@ def batch_by_position(
     counts = written(
         df.groupBy(FILE_COL).agg(F.count(F.lit(1)).alias("__rows"), (F.max(ROW_COL) + 1).alias("__end")), "files"
     )
-    filtered, slices, files, hashes = counts.agg(
-        F.count(F.when(F.col("__rows") != F.col("__end"), F.lit(1))),
-        F.sum(whole_div("__rows", ROWS_PER_SLICE) + 1),
-        F.count(F.lit(1)),
-        F.count_distinct(F.xxhash64(FILE_COL)),
-    ).first()
+    filtered = counts.agg(F.count(F.when(F.col("__rows") != F.col("__end"), F.lit(1)))).first()[0]
     if filtered:
         raise ValueError("batches by position need the whole source; filter after batching")
-    offsets = _file_offsets(counts)
-    if files <= max_broadcast_files and hashes == files:
-        compact = offsets.select(F.xxhash64(FILE_COL).alias("__file"), "__offset")
-        placed = df.withColumn("__file", F.xxhash64(FILE_COL)).join(F.broadcast(compact), "__file")
-    else:
-        per_slice = offsets.select(
-            FILE_COL,
-            "__offset",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), whole_div("__rows", ROWS_PER_SLICE))).alias("__slice"),
-        )
-        sliced = df.withColumn("__slice", whole_div(ROW_COL, ROWS_PER_SLICE)).repartition(
-            min(slices or 1, MAX_PARTITIONS), FILE_COL, "__slice"
-        )
-        placed = sliced.join(per_slice.hint("shuffle_hash"), [FILE_COL, "__slice"])
-        # A scan gives a file's rows in order, an exchange does not.
-        placed = placed.sortWithinPartitions(FILE_COL, ROW_COL)
+    placed = _with_offsets(df, counts.drop("__end"), max_broadcast_files)
     return _with_batch(placed, ROW_COL, _content(df), batch_size, batch)
 
 
