@@ -68,6 +68,49 @@ def test_space_equals_the_exact_decomposition(spark):
     assert np.allclose(q.T @ q, np.eye(32), atol=1e-4)
 
 
+def test_matrix_and_products_equal_plain_ones():
+    """All passages of all texts, the last short ones too, and products in pieces."""
+    rng = np.random.default_rng(5)
+    idf = np.append(rng.random(dc.TERMS) + 1, 0).astype(np.float32)
+    idf[:40] = 0
+    texts = [rng.integers(0, 300, n) for n in (0, 1, 32, 33, 700, 5)] + [np.array([dc.TERMS, 3])]
+    row, at, x = dc.passage_matrix(texts, idf)
+    want = [dc.weighted(t[k : k + 32], idf) for t in texts for k in range(0, len(t), 32)]
+    dense = np.zeros((len(want), 300), np.float32)
+    for k, (a, v) in enumerate(want):
+        dense[k, a] = v
+    got = np.zeros_like(dense)
+    got[row, at] = x
+    assert np.allclose(got, dense, atol=1e-6) and (np.diff(row) >= 0).all()
+    q = rng.standard_normal((300, 7)).astype(np.float32)
+    for most in (1, 50, 1 << 13):
+        out = np.zeros((300, 7), np.float32)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(dc, "ENTRIES_AT_ONCE", most)
+            dc.add_product(out, row, at, x, q)
+        assert np.allclose(out, dense.T @ (dense @ q), atol=1e-4)
+
+
+def test_the_space_is_fitted_on_every_passage(spark, documents, monkeypatch):
+    """More passages than the 4,000 of old; words late in long texts count as those at the start do."""
+    rng = random.Random(6)
+    rows = [(k, " ".join(_words(rng, "w", 640)), "en", "s") for k in range(250)]
+    seen = {}
+    fit = dc.fit_space
+
+    def watch(passages, *args, rows, more, **options):
+        pieces = [r for p in passages.collect() for r in np.frombuffer(p["row"], np.int32).tolist()]
+        seen["entries"], seen["items"] = len(pieces), len(set(more[0].tolist()))
+        return fit(passages, *args, rows=rows, more=more, **options)
+
+    monkeypatch.setattr(dc, "fit_space", watch)
+    bench = spark.createDataFrame([(k, " ".join(_words(rng, "w", 30))) for k in range(3)], ITEMS)
+    contaminated(documents(rows), bench).collect()
+    distinct = sum(len(set(t.split()[k : k + 32])) for _, t, *_ in rows for k in range(0, 640, 32))
+    # Words of a number are one term, and those of two numbers one document have no dimension.
+    assert 0.95 * distinct < seen["entries"] <= distinct and seen["items"] == 3
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     """Filler documents, items, and documents that hold items whole, broken over lines, or paraphrased."""
