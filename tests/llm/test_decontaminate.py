@@ -99,8 +99,9 @@ def test_the_space_is_fitted_on_every_passage(spark, documents, monkeypatch):
     fit = dc.fit_space
 
     def watch(passages, *args, rows, more, **options):
-        pieces = [r for p in passages.collect() for r in np.frombuffer(p["row"], np.int32).tolist()]
-        seen["entries"], seen["items"] = len(pieces), len(set(more[0].tolist()))
+        seen["entries"] = sum(len(p["x"]) // 4 for p in passages.collect())
+        seen["passages"] = sum(len(p["sizes"]) // 4 for p in passages.collect())
+        seen["items"] = len(set(more[0].tolist()))
         return fit(passages, *args, rows=rows, more=more, **options)
 
     monkeypatch.setattr(dc, "fit_space", watch)
@@ -108,7 +109,7 @@ def test_the_space_is_fitted_on_every_passage(spark, documents, monkeypatch):
     contaminated(documents(rows), bench).collect()
     distinct = sum(len(set(t.split()[k : k + 32])) for _, t, *_ in rows for k in range(0, 640, 32))
     # Words of a number are one term, and those of two numbers one document have no dimension.
-    assert 0.95 * distinct < seen["entries"] <= distinct and seen["items"] == 3
+    assert 0.95 * distinct < seen["entries"] <= distinct and seen["passages"] == 5000 and seen["items"] == 3
 
 
 @pytest.fixture(scope="module")
