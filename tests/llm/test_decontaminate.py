@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import EDGES, SF01
 
@@ -91,6 +92,52 @@ def test_matrix_and_products_equal_plain_ones():
         assert np.allclose(out, dense.T @ (dense @ q), atol=1e-4)
 
 
+def test_texts_are_numbered_together_as_one_by_one(monkeypatch):
+    rng = random.Random(9)
+    parts = ["a", "Bc", "z9", " ", "  ", "\t", "\n", "-", "…", "é", "漢", "'", "(", "\x0b", "\x1c", "\x00", "\u2003"]
+    texts = [None, "", " ", "-", "ab", "cd"] + ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(200)]
+    for most in (1, 50, 1 << 16):
+        monkeypatch.setattr(dc, "BYTES_AT_ONCE", most)
+        for some in (texts, [*texts, "x" * 1500 + " y", "tail"], ["a b " * 50000, None, "c"], [None], []):
+            got = list(dc.numbered(pa.array(["cut", *some], pa.string())[1:]))
+            assert len(got) == len(some)
+            assert all(np.array_equal(g, dc.numbers_of(t)) for g, t in zip(got, some, strict=True))
+
+
+def test_all_rows_are_read_once_for_all_rounds(spark):
+    """In any order of columns, and where the last squares are not full."""
+    rng = np.random.default_rng(2)
+    size = 2 * dc.TILE + 30
+    dense, rows = np.zeros((500, size), np.float32), []
+    for k in range(500):
+        at = rng.choice(size, rng.integers(1, 20), replace=False)
+        dense[k, at] = rng.random(len(at))
+        rows.append((at.tolist(), dense[k, at].tolist()))
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batch):
+        seen.add(batch.num_rows)
+        yield from dc._listed(batch)
+
+    df = spark.createDataFrame(rows, "at array<long>, x array<float>").repartition(4)
+    held = np.zeros((6, dc.TILE**2), np.float32)
+    for part in dc._listed(pa.RecordBatch.from_pylist([{"at": a, "x": x} for a, x in rows])):
+        dc.add_gram(held.reshape(-1), *part, 3)
+    q, out = rng.standard_normal((size, 5)).astype(np.float32), np.zeros((size, 5), np.float32)
+    for k, (i, j) in enumerate(zip(*np.triu_indices(3), strict=True)):
+        dc.add_tile(out, i, j, held[k].reshape(dc.TILE, dc.TILE), q)
+    assert np.allclose(out, dense.T @ (dense @ q), atol=1e-2)
+    space = dc.fit_space(df, rank=16, rounds=6, dimensions=size, rows=watch)
+    assert seen.value == 500
+    # The leading direction stands out, the others less.
+    assert np.linalg.norm(np.linalg.svd(dense)[2][:1] @ space) > 0.99
+
+
+def test_texts_without_passages(spark, documents):
+    bench = spark.createDataFrame([(1, "red blue green white black")], ITEMS)
+    assert contaminated(documents([(1, None, "en", "s"), (2, " - ", "en", "s")]), bench).collect() == []
+
+
 def test_the_space_is_fitted_on_every_passage(spark, documents, monkeypatch):
     """More passages than the 4,000 of old; words late in long texts count as those at the start do."""
     rng = random.Random(6)
