@@ -5,7 +5,8 @@ import pytest
 from llm_cases import EDGES
 from pyspark.sql import functions as F
 
-from tidehaul.llm.common import bin_of, cuts
+from tidehaul.llm import common
+from tidehaul.llm.common import bin_of, cuts, cuts_of
 from tidehaul.llm.queries import queries
 from tidehaul.llm.shards import document_shards, hilbert_index, write_shards
 
@@ -46,6 +47,31 @@ def test_the_curve_visits_each_cell_and_steps_to_neighbours(spark, axes, bits):
     assert all(curve([r[n] for n in names], bits) == r["at"] for r in rows)
 
 
+def test_the_curve_is_one_projection(spark):
+    """The driver's memory goes with the plan, which must not grow with axes and bits."""
+    names = ["a", "b", "c"]
+    cells = spark.range(3000).select("id", *[F.expr(f"pmod(hash(id, {k}), 32)").alias(n) for k, n in enumerate(names)])
+    placed = hilbert_index(cells.select("*", *[F.col(n).alias(f"_{n}") for n in names]), [f"_{n}" for n in names], 5, "at")
+    assert placed._jdf.queryExecution().analyzed().toString().count("Project") <= 4
+    assert all(curve([r[n] for n in names], 5) == r["at"] for r in placed.collect())
+
+
+def test_cuts_of_several_columns_take_one_pass(spark, monkeypatch):
+    rows = [(k % 7 if k % 5 else None, "äzA"[k % 3] if k % 4 else None, None, k / 3) for k in range(90)]
+    df = spark.createDataFrame(rows, "n bigint, s string, e string, f double").repartition(4)
+    labels = []
+    monkeypatch.setattr(common, "written", lambda df, label, f=common.written: labels.append(label) or f(df, label))
+    found = cuts_of(df, [F.col(c) for c in df.columns], 8)
+    assert labels == ["cuts"]
+    for k, got in enumerate(found):
+        values = [r[k] for r in rows]
+        least = {}
+        for v in sorted({v for v in values if v is not None}):
+            least.setdefault(sum(x is None or x < v for x in values) * 8 // len(rows), v)
+        assert got == [(b, v) for b, v in least.items() if b]
+    assert cuts_of(df.where("false"), [F.col("n"), F.col("s")], 8) == [[], []]
+
+
 def test_cuts_are_exact_quantiles(spark):
     values = [None, None, *([5] * 40), *range(100)]
     df = spark.createDataFrame([(v,) for v in values], "v int").repartition(5)
